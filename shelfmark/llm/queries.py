@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import packing, quality_rules, secrets, urls
+from shelfmark.llm import classifier, decontaminate, packing, pii, quality_rules, secrets, toxicity, urls
 from shelfmark.llm.common import table
 
 
@@ -21,6 +21,19 @@ def tokenizer_path(spark: SparkSession) -> str:
     return path("word_bpe_49k.json")
 
 
+#: The key of surrogates where the session has none in spark.shelfmark.pii.key.
+DEMO_KEY = "shelfmark demonstration key"
+
+
+def pii_key(spark: SparkSession) -> bytes:
+    return spark.conf.get("spark.shelfmark.pii.key", DEMO_KEY).encode().ljust(16, b"\0")[:64]
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.replace_pii(docs.select("doc_id", "text"), pii_key(spark)).select("doc_id", "text", "n_entities", "entities")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(spark))
 
@@ -34,12 +47,36 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("path").alias("doc_id"), *counts, digest, secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    judged = decontaminate.decontaminate(docs.select("doc_id", "text"), benchmark)
+    return judged.select("doc_id", "contaminated", "n_items", "items", "n_windows")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     judged = quality_rules.judge(docs.select("doc_id", "text"), quality_rules.trusted(labels))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ratio")
 
 
+def op8_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = classifier.fold(F.col("doc_id"), 4) == 2
+    known = labels.where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    scored = classifier.score_quality(docs, known)
+    predicted = F.when(F.col("score") >= 0.7, 1).otherwise(0)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = classifier.fold(F.col("doc_id"), 5) == 0
+    known = labels.where(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.score_toxicity(docs, known)
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 #: The rules of the contract and hosts known for advertisements and fraud.  Fixed values.
 URL_RULES = [
     ("block", "com/en/"),
@@ -57,9 +94,13 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op3_packing": op3_packing,
     "op5_secrets": op5_secrets,
+    "op6_decontaminate": op6_decontaminate,
     "op7_quality": op7_quality,
+    "op8_classifier": op8_classifier,
+    "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
 }
 
