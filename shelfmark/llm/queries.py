@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import classifier, decontaminate, packing, pii, quality_rules, secrets, toxicity, urls
+from shelfmark.llm import classifier, decontaminate, jaccard, packing, pii, quality_rules, secrets, toxicity, urls
 from shelfmark.llm.common import table
 
 
@@ -21,6 +21,11 @@ def tokenizer_path(spark: SparkSession) -> str:
     return path("word_bpe_49k.json")
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = jaccard.join_ngrams(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "class_key")
+
+
 #: The key of surrogates where the session has none in spark.shelfmark.pii.key.
 DEMO_KEY = "shelfmark demonstration key"
 
@@ -94,6 +99,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard": op1_jaccard,
     "op2_pii": op2_pii,
     "op3_packing": op3_packing,
     "op5_secrets": op5_secrets,
