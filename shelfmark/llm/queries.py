@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import classifier, decontaminate, jaccard, packing, pii, quality_rules, secrets, toxicity, urls
+from shelfmark.llm import backoff, classifier, decontaminate, jaccard, packing, pii, quality_rules, secrets, toxicity, urls
 from shelfmark.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(spark))
 
 
+def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_RULES))
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_pii": op2_pii,
     "op3_packing": op3_packing,
+    "op4_backoff": op4_backoff,
     "op5_secrets": op5_secrets,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality": op7_quality,
