@@ -445,7 +445,7 @@ def incremental(spark, sf_dir):
     return forward.select("from_id", "to_id", F.round("coeff", 6).alias("coeff"))
 
 
-@query("q35_compared_count", "SELECT source AS ElsName, count_if(doc_id % 3 = 0) AS compared, count(*) AS n FROM documents GROUP BY source")
+@query("q35_compared_count", "SELECT source AS ElsName, count(*) FILTER (WHERE doc_id % 3 = 0) AS compared, count(*) AS n FROM documents GROUP BY source")
 def compared_count(spark, sf_dir):
     return derived_books(spark, sf_dir).groupBy("ElsName").agg(F.count_if("Compared").alias("compared"), F.count(F.lit(1)).alias("n"))
 
@@ -494,7 +494,7 @@ def bib_field_regex(spark, sf_dir):
     )
 
 
-_INITIALS = [(1, "Иванов", "Книга / А.Б. Иванов. - М.", "Иванов"), (2, "Иванов", "Книга / А.Б.-Иванов, ред.", "Иванов А.Б."), (3, "Ив(анов", "Ив(анов А.Б.", "Ив(анов"), (4, "Петров", None, "Петров")]
+_INITIALS = [(1, "Иванов", "Книга / А.Б. Иванов. - М.", "Иванов А.Б."), (2, "Иванов", "Книга / А.Б.-Иванов, ред.", "Иванов А.Б."), (3, "Ив(анов", "Ив(анов А.Б.", "Ив(анов"), (4, "Петров", None, "Петров")]
 
 
 @query("q40_author_initials", f"SELECT * FROM {_values([(r[0], r[3]) for r in _INITIALS])} AS t(id, author)")

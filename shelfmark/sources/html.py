@@ -39,11 +39,12 @@ class _Tree(HTMLParser):
             attrs = [(m[1].lower(), m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "") for m in _ATTRIBUTE.finditer(raw)]
         held = {k: v or "" for k, v in reversed(attrs)}
         row = {"i": len(self.rows), "parent": parent, "last": len(self.rows), "tag": tag, "cls": held.get("class"), "id": held.get("id"), "attrs": held}
-        self._settle(parent, None)
-        if parent >= 0 and self.rows[parent]["first"] is None:
-            self.rows[parent]["first"] = row["i"]
-        self.rows.append(row | {"parts": [], "next": None, "first": None})
-        self.waiting = [w for w in self.waiting if self.rows[w]["parent"] != parent]
+        self._settle(parent)
+        if parent >= 0:
+            if self.rows[parent]["first"] is None:
+                self.rows[parent]["first"] = row["i"]
+            self.rows[parent]["first_ended"] = True
+        self.rows.append(row | {"parts": [], "next": None, "first": None, "first_ended": False})
         if tag in VOID:
             self._close(row["i"])
         else:
@@ -66,11 +67,12 @@ class _Tree(HTMLParser):
         self.rows[i]["last"] = len(self.rows) - 1
         self.waiting.append(i)
 
-    def _settle(self, parent: int, text: str | None) -> None:
-        """The first thing after an element is its next sibling: a text, or an element, whose text follows later."""
-        for w in [w for w in self.waiting if self.rows[w]["parent"] == parent]:
-            self.rows[w]["next"] = text if text is not None else len(self.rows)
-            self.waiting.remove(w)
+    def _settle(self, parent: int) -> None:
+        """An element that follows is the next sibling of those closed before it, unless a text came between."""
+        for w in self.waiting:
+            if self.rows[w]["parent"] == parent and self.rows[w]["next"] is None:
+                self.rows[w]["next"] = len(self.rows)
+        self.waiting = [w for w in self.waiting if self.rows[w]["parent"] != parent]
 
     def _text(self, text: str) -> None:
         parent = self.open[-1] if self.open else -1
@@ -80,7 +82,7 @@ class _Tree(HTMLParser):
             if isinstance(self.rows[w]["next"], int):
                 continue
             self.rows[w]["next"] = (self.rows[w]["next"] or "") + text
-        if parent >= 0 and (self.rows[parent]["first"] is None or isinstance(self.rows[parent]["first"], str)):
+        if parent >= 0 and not self.rows[parent]["first_ended"]:
             self.rows[parent]["first"] = (self.rows[parent]["first"] or "") + text
 
     handle_data = _text
