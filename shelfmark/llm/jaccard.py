@@ -8,6 +8,8 @@ Jaccard distance is a metric, and two documents link when it is at most r = 0.2.
    20 % of shingles (in one order of all shingles, frequent ones last), so for each such shingle the
    class with the smallest key is the pivot of its holders.  A pivot's region is all that share a
    leading shingle with it; a document on a boundary is replicated to each of its pivots' regions.
+   Within a region, counts by bucket bound every distance from below, in a metric of their own; what
+   they hold apart is parted before any set moves.
 3. A region that is too large for a task is parted again: pivots within it create Voronoi cells,
    and a document goes to every cell whose pivot is within 2 r of its nearest distance (triangle
    inequality), or to the cell of what is far from all pivots.  A cell that stays too large is
@@ -21,7 +23,7 @@ Jaccard distance is a metric, and two documents link when it is at most r = 0.2.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,6 +41,8 @@ CELLS, FILTER_BITS = 1 << 22, 1 << 24
 SLICES = 64
 #: A region with more members or shingles is parted again; so often; with so many pivots.
 MAX_MEMBERS, MAX_SHINGLES, DEPTH, PIVOTS = 2000, 4_000_000, 2, 16
+#: Buckets of the counts that bound a distance from below, and members of a region that are compared by them in one task.
+BUCKETS, MAX_COUNTED = 256, 5000
 #: Beyond this distance from all pivots a document counts as far.
 FAR = 0.6
 
@@ -109,22 +113,23 @@ def _bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, n: int, similarity: int, hot: bytes, cells: int) -> DataFrame:
-    """doc_id, key and the leading shingles of each document's set: rare ones first, then by hash."""
+    """doc_id, key, the leading shingles of each document's set (rare ones first, then by hash) and its counts by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(hot, np.uint8)
         for b in batches:
             sets = _sets(b.column(1).to_pylist(), n)
-            lead = []
+            lead, counts = [], []
             for s in sets:
+                counts.append(bucket_counts(s))
                 size = len(s) - -(-similarity * len(s) // 100) + 1 if len(s) else 0
                 often = _bit(bits, (s & np.uint64(cells - 1)).astype(np.int64)).astype(bool)
                 rare = s[~often][:size]
                 lead.append((np.concatenate([rare, s[often][: size - len(rare)]]) if len(rare) < size else rare).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), _long([set_key(s) for s in sets]), pa.array(lead, pa.binary())], ["doc_id", "key", "lead"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _long([set_key(s) for s in sets]), pa.array(lead, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "key", "lead", "counts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, key long, lead binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, key long, lead binary, counts binary")
 
 
 def members(lead: DataFrame, buckets: int) -> DataFrame:
@@ -196,16 +201,32 @@ def common(flat: np.ndarray, starts: np.ndarray, probe: np.ndarray) -> np.ndarra
     return np.add.reduceat(hit, starts, dtype=np.int64) if len(starts) else np.empty(0, np.int64)
 
 
-def solve(keys: np.ndarray, sets: list[np.ndarray], similarity: int = SIMILARITY) -> np.ndarray:
-    """The smallest key of each member's component, by pivots, balls and windows; exact.
+Meet = Callable[[np.ndarray, int], np.ndarray]
 
-    Sets are taken by size.  The pivot is the smallest one left, so what links to its ball has at most
+
+def of_sets(sets: list[np.ndarray]) -> Meet:
+    """Sizes of the intersections of some sets with one."""
+
+    def meet(some: np.ndarray, one: int) -> np.ndarray:
+        starts = np.append(0, np.cumsum([len(sets[i]) for i in some])[:-1])
+        return common(np.concatenate([sets[i] for i in some]), starts, sets[one])
+
+    return meet
+
+
+def of_counts(counts: np.ndarray) -> Meet:
+    """Bounds of the intersections from counts by bucket: no two sets share more than the smaller count of each bucket."""
+    return lambda some, one: np.minimum(counts[some], counts[one]).sum(1, dtype=np.int64)
+
+
+def solve(keys: np.ndarray, size: np.ndarray, meet: Meet, similarity: int = SIMILARITY) -> np.ndarray:
+    """The smallest key of each member's component, by pivots, balls and windows; exact in the metric that meet makes.
+
+    Members are taken by size.  The pivot is the smallest one left, so what links to its ball has at most
     size / t**2, and d(y, pivot) <= 2 r.
     """
-    order = np.lexsort((keys, [len(s) for s in sets]))
-    keys, sets = keys[order], [sets[i] for i in order]
-    size = np.array([len(s) for s in sets], np.int64)
-    root = np.arange(len(sets))
+    order = np.lexsort((keys, size))
+    root = np.arange(len(keys))  # by rank in that order
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -218,33 +239,62 @@ def solve(keys: np.ndarray, sets: list[np.ndarray], similarity: int = SIMILARITY
         root[max(a, b)] = min(a, b)
 
     t = similarity / 100
-    alive = np.arange(len(sets))
+    ranked = size[order]
+    alive = np.arange(len(keys))
     while len(alive):
         p = alive[0]
-        near = alive[: np.searchsorted(size[alive], size[p] / t**2 + 1, side="right")]
-        starts = np.append(0, np.cumsum(size[near])[:-1])
-        inter = common(np.concatenate([sets[i] for i in near]), starts, sets[p])
-        ball = linked(inter, size[near], size[p], similarity)
+        near = alive[: np.searchsorted(ranked[alive], ranked[p] / t**2 + 1, side="right")]
+        inter = meet(order[near], order[p])
+        ball = linked(inter, ranked[near], ranked[p], similarity)
+        ball[0] = True
         inside = near[ball]
         for i in inside[1:]:
             union(p, i)
-        distance = 1 - inter / (size[near] + size[p] - inter)
-        window = near[~ball & (distance <= 2 * (1 - t) + 1e-9)]
-        if len(window) and len(inside):
-            starts = np.append(0, np.cumsum(size[inside])[:-1])
-            flat = np.concatenate([sets[i] for i in inside])
-            for y in window:
-                if find(y) != find(p) and linked(common(flat, starts, sets[y]), size[inside], size[y], similarity).any():
-                    union(p, y)
+        distance = 1 - inter / (ranked[near] + ranked[p] - inter)
+        for y in near[~ball & (distance <= 2 * (1 - t) + 1e-9)]:
+            if find(y) != find(p) and linked(meet(order[inside], order[y]), ranked[inside], ranked[y], similarity).any():
+                union(p, y)
         alive = np.setdiff1d(alive, inside, assume_unique=True)
-    roots = np.array([find(i) for i in range(len(sets))])
+    roots = order[np.array([find(i) for i in range(len(keys))], np.int64)]  # of each rank, as a member
     least = keys.copy()
-    np.minimum.at(least, roots, keys)
+    np.minimum.at(least, roots, keys[order])
     out = np.empty_like(keys)
     out[order] = least[roots]
     return out
 
 
+def bucket_counts(s: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each of BUCKETS: a contraction of the metric, at an eighth of the set's size and less."""
+    return np.bincount((s >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS).astype(np.uint16 if len(s) < 65536 else np.uint32).tobytes()
+
+
+def _counts(raw: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * BUCKETS else np.uint32).astype(np.int32) for x in raw])
+
+
+def refine(rows: DataFrame, similarity: int) -> DataFrame:
+    """Parts regions (region, key, counts) into what may be linked by the counts, a lower bound of the distance; (region, key).
+
+    Distances of counts are a metric too, so the same pivots, balls and windows work, on far smaller
+    rows; only members of a part of two or more go on, with their sets.
+    """
+    sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("m"))
+    large = stash(sizes.where(F.col("m") > MAX_COUNTED).withColumn("w", F.lit(0.0)), "large")
+    if large.take(1):
+        tagged = rows.join(large, "region", "left")
+        blocks = _blocks(tagged.where("m is not null").withColumnRenamed("counts", "shingles"), MAX_COUNTED)
+        rows = tagged.where("m is null").drop("m", "w").unionByName(blocks.withColumnRenamed("shingles", "counts"))
+
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("key")
+        keys, counts = pdf["key"].to_numpy(np.int64), _counts(pdf["counts"].tolist())
+        root = solve(keys, counts.sum(1, dtype=np.int64), of_counts(counts), similarity)
+        some = np.isin(root, root[root != keys])
+        return pd.DataFrame({"region": root[some], "key": keys[some]})
+
+    return rows.groupBy("region").applyInPandas(part, "region long, key long").distinct()
+
+
 def part_regions(rows: DataFrame, similarity: int, depth: int = DEPTH, pivots: int = PIVOTS) -> DataFrame:
     """Parts regions (region string, key, shingles) that are too large by pivots of their own, then by blocks."""
     r = 1 - similarity / 100
@@ -259,7 +309,7 @@ def part_regions(rows: DataFrame, similarity: int, depth: int = DEPTH, pivots: i
         small.append(tagged.where("m is null").drop("m", "w"))
         tagged = tagged.where("m is not null")
         if level == depth:
-            small.append(_blocks(tagged))
+            small.append(_blocks(tagged, MAX_MEMBERS))
             break
         salt = F.pmod(F.xxhash64("key", F.lit(level)), F.lit(pivots))
         chosen = tagged.groupBy("region", salt.alias("salt")).agg(F.min(F.struct(F.xxhash64("key", F.lit(-level - 1)), "shingles")).alias("x"))
@@ -292,9 +342,9 @@ def _voronoi(r: float):
     return cells
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Every pair of blocks of a region as a region of its own."""
-    n = F.greatest(F.ceil(F.col("m") / (MAX_MEMBERS / 2)), F.ceil(F.col("w") / (MAX_SHINGLES / 2))).cast("int")
+def _blocks(rows: DataFrame, most: int) -> DataFrame:
+    """Every pair of blocks of a region as a region of its own, with most members at most, about."""
+    n = F.greatest(F.lit(1), F.ceil(F.col("m") / (most / 2)), F.ceil(F.col("w") / (MAX_SHINGLES / 2))).cast("int")
     mine = F.pmod(F.xxhash64("key", F.lit("block")), n).cast("int")
     each = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.concat_ws("+", F.least(j, mine), F.greatest(j, mine)))
     return rows.select("region", "key", "shingles", F.explode(each).alias("pair")).select(F.concat_ws("#", "region", "pair").alias("region"), "key", "shingles")
@@ -334,7 +384,10 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = stash(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep")), "classes")
     named = classes.where("rep is not null").select("key", F.col("rep").alias("doc_id"))
     lead = prefixes(base, n, similarity, hot, cells).join(named, ["doc_id", "key"], "left_semi")
+    lead = stash(lead.select("key", "lead", "counts"), "leading")
     region = stash(members(lead, max(64, 4 * partitions(spark))), "members")
+    counted = region.join(lead.select("key", "counts"), "key").select(F.col("region").cast("string").alias("region"), "key", "counts")
+    region = stash(refine(counted, similarity), "refined")
     candidates = stash(region.select("key").distinct().join(named, "key"), "candidates")
     sieve = candidate_filter(candidates.select("key"), FILTER_BITS)
     sets = candidate_sets(base, n, sieve, FILTER_BITS).join(candidates, ["doc_id", "key"], "left_semi").dropDuplicates(["key"])
@@ -345,7 +398,8 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def solved(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("key")
         keys = pdf["key"].to_numpy(np.int64)
-        root = solve(keys, [np.frombuffer(x, np.uint64) for x in pdf["shingles"]], similarity)
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        root = solve(keys, np.array([len(x) for x in sets]), of_sets(sets), similarity)
         return pd.DataFrame({"key": keys, "root": root})[root != keys]
 
     links = stash(held.groupBy("region").applyInPandas(solved, "key long, root long").distinct(), "links")
