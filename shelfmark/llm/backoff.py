@@ -26,17 +26,19 @@ from shelfmark.llm.hashing import mix, ngrams, word_hashes
 #: Longest n-gram, weight of a shorter one, least count of an n-gram of two or more words in the tables.
 ORDER, ALPHA, LEAST = 3, 0.4, 2
 #: Words of a block and of a hash partition, about.
-BLOCK_WORDS, PART_WORDS = 1_500_000, 1_000_000
+BLOCK_WORDS, PART_WORDS = 1_200_000, 1_000_000
 #: Bytes kept of an n-gram's hash beside its partition.
 WIDTH = 6
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """block, doc_ids, ends (words of the documents up to each), vocabulary (hashes), words (places in it): a few MB a row."""
+    """block, doc_ids, ends (words of the documents up to each), vocabulary (hashes, frequent ones first), words (places in it)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def row(ids: list[pa.Array], held: list[np.ndarray]) -> pa.RecordBatch:
-        vocabulary, place = np.unique(np.concatenate(held), return_inverse=True)
+        vocabulary, place, uses = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+        by_use = np.argsort(-uses, kind="stable")  # frequent words get small numbers
+        vocabulary, place = vocabulary[by_use], np.argsort(by_use)[place]
         ends = np.cumsum([len(w) for w in held]).astype(np.int64)
         flat = pa.concat_arrays(ids)
         values = [
@@ -44,7 +46,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK
             pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat),
             pa.array([ends.tobytes()], pa.binary()),
             pa.array([vocabulary.tobytes()], pa.binary()),
-            pa.array([place.astype(np.int32).tobytes()], pa.binary()),
+            pa.array([_squeeze(place)], pa.binary()),
             pa.array([int(ends[-1])], pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(values, ["block", "doc_ids", "ends", "vocabulary", "words", "n_words"])
@@ -74,7 +76,7 @@ class Block:
 
     def __init__(self, ends: bytes, vocabulary: bytes, words: bytes):
         self.ends = np.frombuffer(ends, np.int64)
-        self.words = np.frombuffer(vocabulary, np.uint64)[np.frombuffer(words, np.int32)]
+        self.words = np.frombuffer(vocabulary, np.uint64)[_loose(words, int(self.ends[-1]) if len(self.ends) else 0)]
         starts = np.append(0, self.ends[:-1])
         self.position = np.arange(len(self.words)) - np.repeat(starts, np.diff(self.ends, prepend=0))
 
@@ -90,18 +92,42 @@ def _cut(g: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """Distinct hashes ordered by partition, their counts, and where each partition begins."""
     g, n = np.unique(g, return_counts=True)
     part = (g >> np.uint64(8 * WIDTH)) % np.uint64(parts)
-    order = np.argsort(part, kind="stable")
+    order = np.lexsort((g & np.uint64((1 << 8 * WIDTH) - 1), part))
     return g[order], n[order], np.searchsorted(part[order], np.arange(parts + 1))
 
 
 def _pack(g: np.ndarray) -> bytes:
-    return np.ascontiguousarray(g.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH]).tobytes()
+    """Ascending hashes by their low WIDTH bytes: gaps of five bytes where they fit, which they do but in small blocks."""
+    low = g & np.uint64((1 << 8 * WIDTH) - 1)
+    gap = np.diff(low, prepend=np.uint64(0))
+    width = 5 if (gap < np.uint64(1 << 40)).all() else WIDTH
+    return bytes([width]) + np.ascontiguousarray(gap.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // WIDTH, 8), np.uint8)
-    out[:, :WIDTH] = np.frombuffer(raw, np.uint8).reshape(-1, WIDTH)
-    return out.view("<u8").reshape(-1)
+    width = raw[0]
+    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(out.view("<u8").reshape(-1))
+
+
+def _squeeze(values: np.ndarray) -> bytes:
+    """Compressed numbers, in planes of bytes: the higher planes of small numbers cost next to nothing."""
+    import zstandard
+
+    wide = values.astype("<i8").view(np.uint8).reshape(-1, 8)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(wide[:, : 8 if len(values) and values.max() >= 1 << 24 else 3].T).tobytes())
+
+
+def _loose(raw: bytes, n: int) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    if not n:
+        return np.empty(0, np.int64)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, : len(planes) // n] = planes.reshape(-1, n).T
+    return out.view("<i8").reshape(-1)
 
 
 def counts(of: DataFrame, order: int, parts: int, least: int) -> DataFrame:
@@ -118,19 +144,18 @@ def counts(of: DataFrame, order: int, parts: int, least: int) -> DataFrame:
                     g, c, at = _cut(held.grams(n), parts)
                     some = np.flatnonzero(np.diff(at))
                     spans = [(at[p], at[p + 1]) for p in some]
-                    one = lambda i, j: b"" if (c[i:j] == 1).all() else c[i:j].astype(np.int32).tobytes()  # noqa: B023, E731
+                    one = lambda i, j: b"" if (c[i:j] == 1).all() else _squeeze(c[i:j])  # noqa: B023, E731
                     yield pd.DataFrame({"block": block, "n": n, "part": some, "grams": [_pack(g[i:j]) for i, j in spans], "own": [one(i, j) for i, j in spans]})
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         each = [_unpack(x) for x in pdf["grams"]]
-        own = [np.frombuffer(x, np.int32) if x else np.ones(len(e), np.int32) for x, e in zip(pdf["own"], each, strict=True)]
+        own = [_loose(x, len(e)) if x else np.ones(len(e), np.int64) for x, e in zip(pdf["own"], each, strict=True)]
         table, place = np.unique(np.concatenate(each), return_inverse=True)
         total = np.bincount(place, np.concatenate(own)).astype(np.int64)
         if pdf["n"].iloc[0] > 1:
             total[total < least] = 0
         cut = np.cumsum([len(e) for e in each])[:-1]
-        back = [x.astype(np.int32 if len(x) and x.max() < 2**31 else np.int64) for x in np.split(total[place], cut)]
-        return pdf[["block", "n", "part"]].assign(counts=[bytes([x.itemsize]) + x.tobytes() for x in back])
+        return pdf[["block", "n", "part"]].assign(counts=[_squeeze(x) for x in np.split(total[place], cut)])
 
     sent = of.select("block", "ends", "vocabulary", "words").mapInPandas(send, "block string, n int, part long, grams binary, own binary")
     return sent.groupBy("n", "part").applyInPandas(join, "block string, n int, part long, counts binary")
@@ -179,8 +204,8 @@ def score_documents(
         by_order = {}
         for n in range(1, order + 1):
             g = held.grams(n)
-            distinct, _, _ = _cut(g, parts)
-            values = [np.frombuffer(x, np.int64 if x[0] == 8 else np.int32, offset=1) for _, x in sorted(got[n].items())]
+            distinct, _, at = _cut(g, parts)
+            values = [_loose(x, int(at[p + 1] - at[p])) for p, x in sorted(got[n].items())]
             count = np.concatenate([np.empty(0, np.int64), *values])
             rank = np.argsort(distinct, kind="stable")
             by_order[n] = count[rank[np.searchsorted(distinct[rank], g)]] if len(g) else count
