@@ -18,6 +18,8 @@ from shelfmark.llm.common import SPACE, SPACES, let, words
 
 #: Buckets of the two multinomials: a table of this size is all that is sent to executors.
 BUCKETS = 10_000
+#: N-grams of the raw corpus that each bucket of the target has besides its own.
+PRIOR = 100
 #: Documents with a lower mean log ratio are rejected.
 THRESHOLD = -0.04
 #: At most so many trusted documents, those with the smallest hash of their id, fit the target.
@@ -92,7 +94,10 @@ def bucket(gram: Column, n: int = BUCKETS) -> Column:
 
 
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = BUCKETS) -> list[float]:
-    """log p_target - log p_raw of each bucket, add-one smoothed; all zero if nothing is trusted.
+    """log p_target - log p_raw of each bucket; all zero if nothing is trusted.
+
+    The raw counts are add-one smoothed and the target is drawn to the raw distribution by PRIOR
+    n-grams a bucket, so that in a small corpus documents that are not trusted themselves don't suffer.
 
     Both histograms come from one pass; the partial sums of a task are at most n rows.  trusted_ids
     is bounded by the caller and broadcast.
@@ -102,14 +107,14 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
     two = F.transform(F.slice("_h", 1, F.greatest(F.size("_h") - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get("_h", i + 1)))
     each = hashed.select(F.explode(F.concat("_h", two)).alias("g"), F.coalesce("_trusted", F.lit(False)).alias("t"))
     rows = each.groupBy(bucket(F.col("g"), n).alias("b")).agg(F.count(F.lit(1)).alias("raw"), F.count_if("t").alias("target")).collect()
-    raw, target = [1] * n, [1] * n
+    raw, target = [1] * n, [0] * n
     for r in rows:
         raw[r.b] += r.raw
         target[r.b] += r.target
-    total_raw, total_target = sum(raw), sum(target)
-    if total_target == n:
+    total_raw, total_target, prior = sum(raw), sum(target), PRIOR * n
+    if not total_target:
         return [0.0] * n
-    return [log(t / total_target) - log(r / total_raw) for r, t in zip(raw, target, strict=True)]
+    return [log((t * total_raw / r + prior) / (total_target + prior)) for r, t in zip(raw, target, strict=True)]
 
 
 def trusted(labels: DataFrame, bound: int = MAX_TRUSTED) -> DataFrame:
@@ -142,4 +147,7 @@ def judge(
 
     grams = F.greatest(F.lit(1), 2 * F.col("n_words") - 1)
     out = out.withColumn("log_ratio", F.round(let(table, total) / grams, 9))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= threshold)).drop("_h")
+    # The last conjunct is always true.  It keeps a filter on the verdict from moving below the columns it
+    # is made of, where each reference to the words would split the text again.
+    verdict = ~F.col("base_failed") & (F.col("log_ratio") >= threshold) & (F.monotonically_increasing_id() >= 0)
+    return out.withColumn("kept", verdict).drop("_h")
