@@ -84,9 +84,8 @@ def matches(
     met = exploded.join(windows, "hash").select("doc_id", "text_hash", "item_id", (F.col("place") - F.col("at")).alias("shift"), "at")
     found = met.groupBy("doc_id", "text_hash", "item_id", "shift").agg(F.collect_set("at").alias("ats"))
     found = stash(found.where(F.size("ats") >= least), "matches")
-    texts = keyed.join(found.select("doc_id", "text_hash").dropDuplicates().hint("shuffle_hash"), ["doc_id", "text_hash"], "left_semi")
-    texts = texts.dropDuplicates(["doc_id", "text_hash"])
-    both = found.join(texts, ["doc_id", "text_hash"]).join(items.withColumnsRenamed({"words": "item_words", "raw": "item_raw"}), "item_id")
+    texts = keyed.drop("doc_id").join(found.select("text_hash").dropDuplicates().hint("shuffle_hash"), "text_hash", "left_semi")
+    both = found.join(texts.dropDuplicates(["text_hash"]), "text_hash").join(items.withColumnsRenamed({"words": "item_words", "raw": "item_raw"}), "item_id")
     both = both.withColumn("doc_words", template(F.col("text"))).withColumn("doc_raw", raw_words(F.col("text"))).drop("text")
 
     def slot(j: Column) -> Column:
