@@ -27,8 +27,10 @@ CAPACITY = 4096
 END_ID = 1
 #: Rounds of multiplicative weights.
 ROUNDS = 200
-#: Words whose ids a Python worker remembers; the memory is emptied when it is full.
-MEMORY = 300_000
+#: Words whose ids a Python worker remembers (about 150 MB); the memory is emptied when it is full.
+MEMORY = 800_000
+#: Texts that are encoded at a time.
+TEXTS = 500
 #: Pieces of one length that are numbered in one group.
 GROUP_ROWS = 250_000
 
@@ -49,21 +51,29 @@ class Encoder:
     """
 
     def __init__(self, path: str, by_word: bool):
-        self.path, self.by_word, self.known = path, by_word, {}
+        self.path, self.by_word = path, by_word
+        self.known: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> np.ndarray:
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit numbers."""
         tokenizer = _tokenizer(self.path)
-        if not self.by_word or "<|" in text:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = text.split()
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > MEMORY:
-                self.known.clear()
-                new = list(set(words))
-            for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, np.uint32).tobytes()
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
+        split = [t.split() if self.by_word and "<|" not in t else None for t in texts]
+        new = list({w for words in split if words for w in words if w not in self.known})
+        if len(self.known) + len(new) > MEMORY:
+            self.known.clear()
+            new = list({w for words in split if words for w in words})
+        for k in range(0, len(new), 2000):  # the tokenizer's results take a kilobyte each
+            some = new[k : k + 2000]
+            for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        whole = lambda t: np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        return [whole(t) if words is None else b"".join(map(self.known.__getitem__, words)) for t, words in zip(texts, split, strict=True)]
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str, by_word: bool) -> Encoder:
+    """The encoder of this Python worker, which outlives a task."""
+    return Encoder(path, by_word)
 
 
 def tokenize(
@@ -75,26 +85,33 @@ def tokenize(
     by_word: bool = True,
     keep_ids: bool = False,
 ) -> DataFrame:
-    """Cuts each text's ids, then END_ID, into pieces: doc_id, piece, start, length, ids_crc32 and, if asked, ids.
+    """Cuts each text's ids, then END_ID, into pieces: doc_id, piece, start, length, ids_crc32 and, if asked,
+    ids (little-endian unsigned 32-bit).
 
     A null or blank text is the end id alone.  Only texts longer than the capacity are cut, each
     piece but the last full.  Null ids and repeated rows stay as they are; other columns are not read.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Encoder(tokenizer_path, by_word)
-        for pdf in batches:
-            rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                ids = np.append(encode(text or ""), np.uint32(END_ID)).astype("<u4")
-                for k, at in enumerate(range(0, len(ids), capacity)):
-                    part = ids[at : at + capacity]
-                    rows.append((doc, k, at, len(part), binascii.crc32(part.tobytes())) + ((part.astype(np.int32),) if keep_ids else ()))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
-
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(cut, schema)
+    fields = "piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
+
+    @F.pandas_udf(f"array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = _encoder(tokenizer_path, by_word)
+        for texts in batches:
+            made: list[list[dict]] = []
+            for k in range(0, len(texts), TEXTS):
+                made += [list(pieces_of(ids, capacity, keep_ids)) for ids in encode([t or "" for t in texts[k : k + TEXTS]])]
+            yield pd.Series(made, dtype=object)
+
+    return docs.select(F.col(id_col).alias("doc_id"), F.inline(cut(F.col(text_col))))
+
+
+def pieces_of(ids: bytes, capacity: int, keep_ids: bool) -> Iterator[dict]:
+    """The pieces of one text's ids and the end id."""
+    raw = ids + END_ID.to_bytes(4, "little")
+    for k, at in enumerate(range(0, len(raw), 4 * capacity)):
+        part = raw[at : at + 4 * capacity]
+        piece = {"piece": k, "start": at // 4, "length": len(part) // 4, "ids_crc32": binascii.crc32(part)}
+        yield piece | {"ids": part} if keep_ids else piece
 
 
 def best_configuration(prices: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
