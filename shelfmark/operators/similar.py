@@ -2,8 +2,7 @@
 
 The self-join on tokens is the largest step.  A pair is tested inside the join on lengths and on
 author keys, so a pair of one frequent token that differs in its authors never leaves the task that
-made it; the pairs that stay are made distinct before they are scored.  Adaptive execution splits
-the partitions of frequent tokens.
+made it; the pairs that stay are made distinct before they are scored.  Frequent tokens are salted.
 """
 
 from __future__ import annotations
@@ -16,6 +15,10 @@ from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER, authors_near,
 from shelfmark.schema import BOOKS
 
 
+#: Postings of a token that are compared with all others of it in one task.
+SALTED = 500
+
+
 def with_keys(books: DataFrame) -> DataFrame:
     """Adds author_keys, name_key, name_tokens to the comparable books."""
     keyed = {"author_keys": author_keys(F.col("Authors")), "name_key": name_key(F.col("Name")), "name_tokens": name_tokens(F.col("Name"))}
@@ -34,13 +37,39 @@ def candidates(keyed: DataFrame, id_col: str = "Id") -> DataFrame:
     return left.join(right, "token").where("a < b").select("a", "b").distinct()
 
 
+def salted_postings(posting: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a self-join on token, the postings of frequent tokens dealt out.
+
+    A token of n postings gets n / SALTED salts: the left side has each posting once, under one of
+    them, the right side under all, so no task compares more than SALTED postings with all others.
+    """
+    sizes = posting.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / SALTED).cast("int").alias("salts"))
+    sized = posting.join(sizes, "token")
+    left = sized.withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int")).drop("salts")
+    right = sized.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return left, right
+
+
 def near_candidates(keyed: DataFrame, edit: float = EDIT_BORDER, id_col: str = "Id") -> DataFrame:
-    """The candidates whose authors pass; the test of authors is symmetric, so a pair is tested once."""
-    posting = keyed.select(F.explode("name_tokens").alias("token"), F.col(id_col).alias("id"), "author_keys", F.col("Compared").alias("old"))
-    a, b = posting.alias("a"), posting.alias("b")
+    """The candidates whose authors pass; the test of authors is symmetric, so a pair is tested once.
+
+    Pairs far outnumber postings, so the partitions are set by number and not by the size of what
+    is read, and lengths are tested before any distance.
+    """
+    lengths = F.transform("author_keys", F.length)
+    posting = keyed.select(
+        F.explode("name_tokens").alias("token"), F.col(id_col).alias("id"), "author_keys", F.col("Compared").alias("old"),
+        F.array_min(lengths).alias("least"), F.array_max(lengths).alias("most"),
+    )
+    spark = keyed.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    left, right = (side.repartition(parts, "token", "salt") for side in salted_postings(posting))
+    a, b = left.alias("a"), right.alias("b")
+    same = (F.col("a.token") == F.col("b.token")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.id") < F.col("b.id"))
     fresh = ~(F.col("a.old") & F.col("b.old"))
+    near_lengths = (F.col("a.least") * (1 - edit) <= F.col("b.most") + 1e-9) & (F.col("b.least") * (1 - edit) <= F.col("a.most") + 1e-9)
     near = authors_near(F.col("a.author_keys"), F.col("b.author_keys"), edit)
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id")) & fresh & near)
+    pairs = a.join(b.hint("shuffle_hash"), same & fresh & near_lengths & near)
     return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 

@@ -47,13 +47,14 @@ def derived_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     publisher and all of it the description.  Every fifth book has blank authors, every third is compared.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
-    words = F.filter(F.split("text", r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    words = F.filter(F.split("text", r"[^\p{L}\p{N}]+", 16), lambda w: w != "")  # the first fourteen, one may be empty, and the rest
     authors = F.array_join(F.slice("w", 1, 2), " ")
     name = F.array_join(F.slice("w", 3, 12), " ")
     publisher = F.concat(F.lit("Verlag "), F.col("lang"))
     base = docs.withColumn("w", words).select("doc_id", "lang", "source", authors.alias("a"), name.alias("n"), publisher.alias("p"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return as_books(
-        base.select(
+        base.repartition(parts, "doc_id").select(
             F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("Id"), F.col("doc_id").cast("string").alias("ExternalId"), F.col("source").alias("ElsName"),
             F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.col("a")).alias("Authors"), F.col("n").alias("Name"), F.col("p").alias("Publisher"),
             F.concat_ws(" ", "a", "n", "p").alias("Bib"), (F.col("doc_id") % 3 == 0).alias("Compared"),
