@@ -94,7 +94,7 @@ def first_pass(docs: DataFrame, n: int, cells: int) -> DataFrame:
 def frequent(sketch: DataFrame, total: int, cells: int) -> bytes:
     """One bit for each cell: whether more shingles fall into it than chance and a few dozen holders explain."""
     mean = total / cells
-    least = mean + 8 * mean**0.5 + 32
+    least = mean + 4 * mean**0.5 + 16
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         count = np.zeros(cells // SLICES, np.int64)
@@ -268,31 +268,50 @@ def bucket_counts(s: np.ndarray) -> bytes:
     return np.bincount((s >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS).astype(np.uint16 if len(s) < 65536 else np.uint32).tobytes()
 
 
-def _counts(raw: list[bytes]) -> np.ndarray:
-    return np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * BUCKETS else np.uint32).astype(np.int32) for x in raw])
+def _read_counts(raw: list[bytes]) -> tuple[np.ndarray, Meet]:
+    """Sizes and bounds from counts by bucket."""
+    counts = np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * BUCKETS else np.uint32).astype(np.int32) for x in raw])
+    return counts.sum(1, dtype=np.int64), of_counts(counts)
 
 
-def refine(rows: DataFrame, similarity: int) -> DataFrame:
-    """Parts regions (region, key, counts) into what may be linked by the counts, a lower bound of the distance; (region, key).
+def fine_codes(s: np.ndarray) -> bytes:
+    """A set's shingles as sorted numbers of 16 bits, repeated ones kept: a quarter of its size."""
+    return np.sort((s >> np.uint64(16)).astype(np.uint16)).tobytes()
 
-    Distances of counts are a metric too, so the same pivots, balls and windows work, on far smaller
-    rows; only members of a part of two or more go on, with their sets.
+
+def _read_codes(raw: list[bytes]) -> tuple[np.ndarray, Meet]:
+    """Sizes and bounds from fine codes: the k-th of equal numbers meets the k-th, so multisets meet as sets do."""
+    sets = []
+    for x in raw:
+        code = np.frombuffer(x, np.uint16).astype(np.uint64)
+        start = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+        nth = np.arange(len(code)) - np.repeat(start, np.diff(np.append(start, len(code))))
+        sets.append(code << np.uint64(32) | nth.astype(np.uint64))
+    return np.array([len(x) for x in sets], np.int64), of_sets(sets)
+
+
+def refine(rows: DataFrame, similarity: int, read: Callable[[list[bytes]], tuple[np.ndarray, Meet]]) -> DataFrame:
+    """Parts regions (region, key, bounds) into what may be linked by a lower bound of the distance; (region, key).
+
+    Both bounds are metrics too, so the same pivots, balls and windows work, on far smaller rows;
+    only members of a part of two or more go on.
     """
+    rows = rows.withColumn("region", F.col("region").cast("string"))
     sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("m"))
     large = stash(sizes.where(F.col("m") > MAX_COUNTED).withColumn("w", F.lit(0.0)), "large")
     if large.take(1):
         tagged = rows.join(large, "region", "left")
-        blocks = _blocks(tagged.where("m is not null").withColumnRenamed("counts", "shingles"), MAX_COUNTED)
-        rows = tagged.where("m is null").drop("m", "w").unionByName(blocks.withColumnRenamed("shingles", "counts"))
+        blocks = _blocks(tagged.where("m is not null").withColumnRenamed("bounds", "shingles"), MAX_COUNTED)
+        rows = tagged.where("m is null").drop("m", "w").unionByName(blocks.withColumnRenamed("shingles", "bounds"))
 
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("key")
-        keys, counts = pdf["key"].to_numpy(np.int64), _counts(pdf["counts"].tolist())
-        root = solve(keys, counts.sum(1, dtype=np.int64), of_counts(counts), similarity)
+        keys = pdf["key"].to_numpy(np.int64)
+        root = solve(keys, *read(pdf["bounds"].tolist()), similarity)
         some = np.isin(root, root[root != keys])
         return pd.DataFrame({"region": root[some], "key": keys[some]})
 
-    return rows.groupBy("region").applyInPandas(part, "region long, key long").distinct()
+    return stash(rows.groupBy("region").applyInPandas(part, "region long, key long").distinct(), "refined")
 
 
 def part_regions(rows: DataFrame, similarity: int, depth: int = DEPTH, pivots: int = PIVOTS) -> DataFrame:
@@ -386,12 +405,17 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lead = prefixes(base, n, similarity, hot, cells).join(named, ["doc_id", "key"], "left_semi")
     lead = stash(lead.select("key", "lead", "counts"), "leading")
     region = stash(members(lead, max(64, 4 * partitions(spark))), "members")
-    counted = region.join(lead.select("key", "counts"), "key").select(F.col("region").cast("string").alias("region"), "key", "counts")
-    region = stash(refine(counted, similarity), "refined")
+    region = refine(region.join(lead.select("key", F.col("counts").alias("bounds")), "key"), similarity, _read_counts)
     candidates = stash(region.select("key").distinct().join(named, "key"), "candidates")
     sieve = candidate_filter(candidates.select("key"), FILTER_BITS)
     sets = candidate_sets(base, n, sieve, FILTER_BITS).join(candidates, ["doc_id", "key"], "left_semi").dropDuplicates(["key"])
     sets = stash(sets.select("key", "shingles"), "shingles")
+
+    @F.pandas_udf("binary")
+    def codes(shingles: pd.Series) -> pd.Series:
+        return shingles.map(lambda x: fine_codes(np.frombuffer(x, np.uint64)))
+
+    region = refine(region.join(sets.select("key", codes("shingles").alias("bounds")), "key"), similarity, _read_codes)
     held = region.join(sets, "key").select(F.col("region").cast("string").alias("region"), "key", "shingles")
     held = part_regions(held, similarity)
 
