@@ -2,8 +2,9 @@
 
 Unigrams and bigrams are hashed to a fixed number of buckets.  One multinomial is counted on all
 documents, one on documents that are trusted; a document's score is the mean of
-log p_target(bucket) - log p_raw(bucket) over its n-grams.  The verdict is a fixed threshold on that
-mean: no randomness, no resampling, every document is judged.
+log p_target(bucket) - log p_raw(bucket) over its n-grams.  The verdict is a threshold on that mean,
+lower where trusted documents that were not counted themselves score lower, as they do in a small
+corpus: no randomness, every document is judged, and copies of a whole table change no verdict.
 """
 
 from __future__ import annotations
@@ -14,16 +15,18 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACE, SPACES, let, words
+from shelfmark.llm.common import SPACE, SPACES, let, stash, words
 
 #: Buckets of the two multinomials: a table of this size is all that is sent to executors.
 BUCKETS = 10_000
-#: N-grams of the raw corpus that each bucket of the target has besides its own.
-PRIOR = 100
-#: Documents with a lower mean log ratio are rejected.
+#: The target is drawn to the raw distribution by so many per cent of its own n-grams, whatever their number.
+SMOOTHING = 10
+#: Documents with a lower mean log ratio are rejected, unless held-out trusted documents score lower still.
 THRESHOLD = -0.04
-#: At most so many trusted documents, those with the smallest hash of their id, fit the target.
-MAX_TRUSTED = 50_000
+#: Folds of trusted documents, by their text; the share of held-out ones that may score below the threshold.
+FOLDS, HELD_OUT_SHARE = 4, 0.01
+#: At most so many trusted ids are broadcast (about 50 MB); more meet the documents in a shuffle.
+MAX_BROADCAST = 1_000_000
 #: Up to so many distinct repeated windows are looked up one by one.
 MANY = 32
 
@@ -93,34 +96,97 @@ def bucket(gram: Column, n: int = BUCKETS) -> Column:
     return F.pmod(gram, F.lit(n)).cast("int")
 
 
-def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = BUCKETS) -> list[float]:
-    """log p_target - log p_raw of each bucket; all zero if nothing is trusted.
+def _hashed(text: Column) -> Column:
+    """word_hashes() behind a condition that is always true: filters stay above it, where they don't split the text again."""
+    return F.when(F.monotonically_increasing_id() >= 0, word_hashes(text))
 
-    The raw counts are add-one smoothed and the target is drawn to the raw distribution by PRIOR
-    n-grams a bucket, so that in a small corpus documents that are not trusted themselves don't suffer.
 
-    Both histograms come from one pass; the partial sums of a task are at most n rows.  trusted_ids
-    is bounded by the caller and broadcast.
-    """
-    mark = F.broadcast(trusted_ids.select(F.col("id").alias("_id")).dropDuplicates().withColumn("_trusted", F.lit(True)))
-    hashed = docs.select(F.col(id_col).alias("_id"), word_hashes(F.col(text_col)).alias("_h")).join(mark, "_id", "left")
+def trusted_documents(docs: DataFrame, trusted_ids: DataFrame, id_col: str, text_col: str, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """_h and fold of every trusted document; copies of a text are in one fold."""
+    ids = trusted_ids.select(F.col("id").alias("_id")).dropDuplicates()
+    each = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    if ids.count() <= max_broadcast:
+        known = each.join(F.broadcast(ids), "_id", "left_semi")
+    else:
+        known = stash(each.join(ids, "_id", "left_semi"), "trusted")
+    return known.select(_hashed(F.col("_text")).alias("_h"), F.pmod(F.xxhash64("_text"), F.lit(FOLDS)).cast("int").alias("fold"))
+
+
+def histograms(hashed: DataFrame, parts: dict[str, Column], n: int) -> dict[str, list[int]]:
+    """The unigrams and bigrams of _h by bucket, for rows of each part; the partial sums of a task are at most n rows."""
     two = F.transform(F.slice("_h", 1, F.greatest(F.size("_h") - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get("_h", i + 1)))
-    each = hashed.select(F.explode(F.concat("_h", two)).alias("g"), F.coalesce("_trusted", F.lit(False)).alias("t"))
-    rows = each.groupBy(bucket(F.col("g"), n).alias("b")).agg(F.count(F.lit(1)).alias("raw"), F.count_if("t").alias("target")).collect()
-    raw, target = [1] * n, [0] * n
+    others = [c for c in hashed.columns if c != "_h"]
+    each = hashed.select(*others, F.explode(F.concat("_h", two)).alias("g"))
+    rows = each.groupBy(bucket(F.col("g"), n).alias("b")).agg(*[F.count_if(c).alias(name) for name, c in parts.items()]).collect()
+    found = {name: [0] * n for name in parts}
     for r in rows:
-        raw[r.b] += r.raw
-        target[r.b] += r.target
-    total_raw, total_target, prior = sum(raw), sum(target), PRIOR * n
+        for name in parts:
+            found[name][r.b] += r[name]
+    return found
+
+
+def ratios(raw: list[int], target: list[int]) -> list[float]:
+    """log p_target - log p_raw of each bucket; zero where the raw corpus has nothing, and if the target is empty.
+
+    Only proportions count, and quotients of integers are exactly rounded: tenfold counts give the same numbers.
+    """
+    total_raw, total_target = sum(raw), sum(target)
     if not total_target:
-        return [0.0] * n
-    return [log((t * total_raw / r + prior) / (total_target + prior)) for r, t in zip(raw, target, strict=True)]
+        return [0.0] * len(raw)
+    one = lambda r, t: (100 * t * total_raw + SMOOTHING * r * total_target) / ((100 + SMOOTHING) * r * total_target)
+    return [log(one(r, t)) if r else 0.0 for r, t in zip(raw, target, strict=True)]
 
 
-def trusted(labels: DataFrame, bound: int = MAX_TRUSTED) -> DataFrame:
-    """The ids of at most bound documents labelled as good: those whose id has the smallest hash."""
-    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).dropDuplicates()
-    return good.orderBy(F.xxhash64("id"), "id").limit(bound)
+def _counts(docs: DataFrame, known: DataFrame, text_col: str, n: int) -> tuple[list[int], list[list[int]]]:
+    """Counts by bucket of all documents, and of the trusted ones of each fold."""
+    raw = histograms(docs.select(_hashed(F.col(text_col)).alias("_h")), {"raw": F.lit(True)}, n)["raw"]
+    folds = histograms(known, {f"f{k}": F.col("fold") == k for k in range(FOLDS)}, n)
+    return raw, list(folds.values())
+
+
+def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = BUCKETS) -> list[float]:
+    """log p_target - log p_raw of each bucket; all zero if nothing is trusted."""
+    raw, folds = _counts(docs, trusted_documents(docs, trusted_ids, id_col, text_col), text_col, n)
+    return ratios(raw, [sum(f) for f in zip(*folds, strict=True)])
+
+
+def _table(weights: list[float]) -> Column:
+    return F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
+
+
+def mean_ratio(table: Column, n: int) -> Column:
+    """The mean of a table of n log ratios over the n-grams of _h."""
+
+    def total(t: Column) -> Column:
+        h = F.col("_h")
+        one = lambda x: F.get(t, bucket(x, n))
+        each = F.transform(h, lambda x, i: one(x) + F.when(i + 1 < F.size(h), one(F.xxhash64(x, F.get(h, i + 1)))).otherwise(0.0))
+        return F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
+
+    return F.round(let(table, total) / F.greatest(F.lit(1), 2 * F.size("_h") - 1), 9)
+
+
+def held_out_threshold(known: DataFrame, raw: list[int], folds: list[list[int]], threshold: float, n: int) -> float:
+    """threshold, or what HELD_OUT_SHARE of the trusted documents score below when their own fold is not counted."""
+    whole = [sum(f) for f in zip(*folds, strict=True)]
+    table = F.lit(None).cast("array<double>")
+    for k, own in enumerate(folds):
+        rest = [w - x for w, x in zip(whole, own, strict=True)]
+        if any(rest):
+            table = F.when(F.col("fold") == k, _table(ratios(raw, rest))).otherwise(table)
+    scored = known.select(F.when(F.size("_h") >= 50, F.floor(mean_ratio(table, n) * 10_000)).alias("s"))
+    rows = sorted((r.s, r.m) for r in scored.groupBy("s").agg(F.count(F.lit(1)).alias("m")).collect() if r.s is not None)
+    least, seen = HELD_OUT_SHARE * sum(m for _, m in rows), 0
+    for s, m in rows:
+        seen += m
+        if seen >= least:
+            return min(threshold, s / 10_000)
+    return threshold
+
+
+def trusted(labels: DataFrame) -> DataFrame:
+    """The ids of all documents labelled as good."""
+    return labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).dropDuplicates()
 
 
 def judge(
@@ -136,17 +202,11 @@ def judge(
     A null text counts as empty and fails (fewer than 50 words); null ids are judged but never
     trusted; repeated rows are judged alike; all other columns pass through.
     """
-    table = F.split(F.lit(",".join(map(repr, log_ratios(docs, trusted_ids, id_col, text_col, n)))), ",").cast("array<double>")
+    known = trusted_documents(docs, trusted_ids, id_col, text_col)
+    raw, folds = _counts(docs, known, text_col, n)
+    threshold = held_out_threshold(known, raw, folds, threshold, n)
     out = measures(docs, text_col)
-
-    def total(t: Column) -> Column:
-        h = F.col("_h")
-        one = lambda x: F.get(t, bucket(x, n))
-        each = F.transform(h, lambda x, i: one(x) + F.when(i + 1 < F.size(h), one(F.xxhash64(x, F.get(h, i + 1)))).otherwise(0.0))
-        return F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
-
-    grams = F.greatest(F.lit(1), 2 * F.col("n_words") - 1)
-    out = out.withColumn("log_ratio", F.round(let(table, total) / grams, 9))
+    out = out.withColumn("log_ratio", mean_ratio(_table(ratios(raw, [sum(f) for f in zip(*folds, strict=True)])), n))
     # The last conjunct is always true.  It keeps a filter on the verdict from moving below the columns it
     # is made of, where each reference to the words would split the text again.
     verdict = ~F.col("base_failed") & (F.col("log_ratio") >= threshold) & (F.monotonically_increasing_id() >= 0)

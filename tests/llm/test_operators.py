@@ -263,6 +263,25 @@ def junk(rng):
     return " ".join(f"{rng.choice(VOCABULARY)}{rng.choice(['***', '%%', '&&&'])}" for _ in range(60))
 
 
+def test_op7_scale(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(80, rng) if i % 4 else junk(rng)) for i in range(120)]
+    rows += [(i, " ".join(w.upper() for w in t.split())) for i, t in [(200, rows[1][1]), (201, rows[2][1])]]
+
+    def verdicts(times):
+        table = spark.createDataFrame([(i + 1000 * k, t) for k in range(times) for i, t in rows], "doc_id long, text string").repartition(4)
+        labels = spark.createDataFrame([(i + 1000 * k, int(i % 4 > 0)) for k in range(times) for i in range(60)], "doc_id long, quality int")
+        return {r.doc_id: (r.log_ratio, r.kept) for r in quality_rules.judge(table, quality_rules.trusted(labels), n=5000).collect()}
+
+    once, more = verdicts(1), verdicts(10)
+    assert all(more[i + 1000 * k] == v for i, v in once.items() for k in range(10))
+    assert not any(once[i][1] for i in range(0, 120, 4))
+    assert sum(once[i][1] for i in range(120) if i % 4) >= 85
+    known = quality_rules.trusted(spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int"))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [quality_rules.trusted_documents(table, known, "doc_id", "text", most).count() for most in (1_000_000, 0)] == [60, 60]
+
+
 def test_op8_classifier(spark, docs):
     rng = random.Random(2)
     rows = [(i, prose(60, rng) if i % 3 else junk(rng), int(i % 3 > 0)) for i in range(240)]
