@@ -12,6 +12,7 @@ their places by their rank in a distributed numbering.
 from __future__ import annotations
 
 import binascii
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,6 +32,8 @@ ROUNDS = 200
 MEMORY = 800_000
 #: Texts that are encoded at a time.
 TEXTS = 500
+#: What str.split() drops though the tokenizer encodes it: not white space to the tokenizer.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Pieces of one length that are numbered in one group.
 GROUP_ROWS = 250_000
 
@@ -46,8 +49,8 @@ class Encoder:
     """Token ids of whole texts.
 
     With ``by_word`` the vocabulary never joins across white space, so a text's ids are those of its words in
-    a row, and each distinct word is encoded once.  A text with a special token's opening is
-    encoded whole, as are all texts without ``by_word``.
+    a row, and each distinct word is encoded once.  A text with a special token's opening or one of
+    U+001C to U+001F is encoded whole, as are all texts without ``by_word``.
     """
 
     def __init__(self, path: str, by_word: bool):
@@ -57,7 +60,7 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
         tokenizer = _tokenizer(self.path)
-        split = [t.split() if self.by_word and "<|" not in t else None for t in texts]
+        split = [t.split() if self.by_word and "<|" not in t and not SEPARATORS.search(t) else None for t in texts]
         new = list({w for words in split if words for w in words if w not in self.known})
         if len(self.known) + len(new) > MEMORY:
             self.known.clear()

@@ -158,6 +158,12 @@ def test_op3_round_trip(docs):
     assert packing.pack_documents(empty(docs), path).count() == 0
 
 
+def test_op3_separators():
+    path = tokenizer()
+    texts = [f"alpha{chr(c)}beta {chr(c)} gamma" for c in [*range(1, 33), 0x7F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]]
+    assert packing.Encoder(path, True)(texts) == packing.Encoder(path, False)(texts)
+
+
 @pytest.mark.parametrize("counts", [{}, {5: 3}, {10: 7}, {6: 10, 4: 10, 3: 1}, {k: k for k in range(1, 11)}])
 def test_op3_plan(counts):
     done = packing.plan(counts, 10, 20)
