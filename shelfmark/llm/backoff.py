@@ -6,13 +6,19 @@ partition sums its count table and joins it back to the n-grams of every block;
 back is the count of each of its n-grams, and it sums the scores of its documents.
 
 An n-gram is sent once for each block, however often it occurs there, so a frequent one meets in
-one partition as many times as there are blocks and not as there are occurrences.
+one partition as many times as there are blocks and not as there are occurrences.  The tables hold
+every n-gram of the corpus, those seen once as well.  A document is no evidence for itself: its own
+occurrences are taken off the counts when it is scored.
+
+The blocks are a bucketed table, so that only n-grams and counts are shuffled and never words.
+Blocks and partitions grow with the root of the corpus, which bounds the number of pairs of them.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -20,15 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stash
+from shelfmark.llm.common import partitions, scratch_dir
 from shelfmark.llm.hashing import mix, ngrams, word_hashes
 
-#: Longest n-gram, weight of a shorter one, least count of an n-gram of two or more words in the tables.
-ORDER, ALPHA, LEAST = 3, 0.4, 2
-#: Words of a block and of a hash partition, about.
-BLOCK_WORDS, PART_WORDS = 1_200_000, 1_000_000
-#: Bytes kept of an n-gram's hash beside its partition.
-WIDTH = 6
+#: Longest n-gram and the weight of a shorter one.
+ORDER, ALPHA = 3, 0.4
+#: Words of a block and of a hash partition, about, at least; n-grams that a pair of them shares, about, in a large corpus.
+BLOCK_WORDS, SHARED = 1_200_000, 25
+#: Bits of a hash beyond those that number the words: two n-grams are one by chance once in 2**SPARE.
+SPARE = 26
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -77,139 +83,166 @@ class Block:
     def __init__(self, ends: bytes, vocabulary: bytes, words: bytes):
         self.ends = np.frombuffer(ends, np.int64)
         self.words = np.frombuffer(vocabulary, np.uint64)[_loose(words, int(self.ends[-1]) if len(self.ends) else 0)]
-        starts = np.append(0, self.ends[:-1])
-        self.position = np.arange(len(self.words)) - np.repeat(starts, np.diff(self.ends, prepend=0))
-
-    def grams(self, n: int) -> np.ndarray:
-        """The hash of the n-gram that ends at each word with n - 1 words before it in its document, in order."""
-        if n == 1:
-            return mix(self.words)
-        g = ngrams(self.words, n)
-        return (g + np.uint64(n))[self.position[n - 1 :] >= n - 1]
+        sizes = np.diff(self.ends, prepend=0)
+        self.document = np.repeat(np.arange(len(sizes)), sizes)
+        self.position = np.arange(len(self.words)) - np.repeat(self.ends - sizes, sizes)
+        self.others = len(self.words) - sizes
 
+    def grams(self, n: int, bits: int) -> np.ndarray:
+        """The hash, of so many bits, of the n-gram that ends at each word with n - 1 words before it in its document, in order."""
+        g = mix(self.words) if n == 1 else (ngrams(self.words, n) + np.uint64(n))[self.position[n - 1 :] >= n - 1]
+        return g >> np.uint64(64 - bits)
 
-def _cut(g: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes ordered by partition, their counts, and where each partition begins."""
-    g, n = np.unique(g, return_counts=True)
-    part = (g >> np.uint64(8 * WIDTH)) % np.uint64(parts)
-    order = np.lexsort((g & np.uint64((1 << 8 * WIDTH) - 1), part))
-    return g[order], n[order], np.searchsorted(part[order], np.arange(parts + 1))
 
+def _bounds(parts: int, bits: int) -> np.ndarray:
+    """Where each partition of the hashes begins: partitions are ranges, so sorted hashes are sorted by partition."""
+    return (np.arange(parts) * (2.0**bits / parts)).astype(np.uint64)
 
-def _pack(g: np.ndarray) -> bytes:
-    """Ascending hashes by their low WIDTH bytes: gaps of five bytes where they fit, which they do but in small blocks."""
-    low = g & np.uint64((1 << 8 * WIDTH) - 1)
-    gap = np.diff(low, prepend=np.uint64(0))
-    width = 5 if (gap < np.uint64(1 << 40)).all() else WIDTH
-    return bytes([width]) + np.ascontiguousarray(gap.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """Numbers as planes of bytes, compressed where there are some: higher planes hold small numbers and cost little."""
+    import zstandard
 
-def _unpack(raw: bytes) -> np.ndarray:
-    width = raw[0]
-    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, width)
-    return np.cumsum(out.view("<u8").reshape(-1))
+    raw = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return raw if len(values) < 64 else zstandard.ZstdCompressor(level=1).compress(raw)
 
 
-def _squeeze(values: np.ndarray) -> bytes:
-    """Compressed numbers, in planes of bytes: the higher planes of small numbers cost next to nothing."""
+def _numbers(raw: bytes, n: int) -> np.ndarray:
+    """The n numbers of _planes()."""
     import zstandard
 
-    wide = values.astype("<i8").view(np.uint8).reshape(-1, 8)
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(wide[:, : 8 if len(values) and values.max() >= 1 << 24 else 3].T).tobytes())
+    planes = np.frombuffer(raw if n < 64 else zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, : len(planes) // n] = planes.reshape(-1, n).T
+    return out.view("<u8").reshape(-1)
 
 
-def _loose(raw: bytes, n: int) -> np.ndarray:
-    import zstandard
+def _width(values: np.ndarray) -> int:
+    return max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    if not n:
-        return np.empty(0, np.int64)
-    out = np.zeros((n, 8), np.uint8)
-    out[:, : len(planes) // n] = planes.reshape(-1, n).T
-    return out.view("<i8").reshape(-1)
 
+def _squeeze(values: np.ndarray) -> bytes:
+    return _planes(values, _width(values))
 
-def counts(of: DataFrame, order: int, parts: int, least: int) -> DataFrame:
-    """block, n, part, counts: for the block's n-grams of a partition, in the order of their hashes, how often the corpus has each.
 
-    A count below least is 0 for n-grams of two or more words: they are not in the tables.
-    """
+def _loose(raw: bytes, n: int) -> np.ndarray:
+    return _numbers(raw, n).astype(np.int64)
+
+
+def counts(of: DataFrame, order: int, parts: int, bits: int) -> DataFrame:
+    """block, n, part, counts: for the block's n-grams of a partition, in the order of their hashes, how often the corpus has each."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bounds = _bounds(parts, bits)
         for pdf in batches:
             for block, ends, vocabulary, words in zip(pdf["block"], pdf["ends"], pdf["vocabulary"], pdf["words"], strict=True):
                 held = Block(ends, vocabulary, words)
                 for n in range(1, order + 1):
-                    g, c, at = _cut(held.grams(n), parts)
+                    g, c = np.unique(held.grams(n, bits), return_counts=True)
+                    at = np.append(np.searchsorted(g, bounds), len(g))
                     some = np.flatnonzero(np.diff(at))
                     spans = [(at[p], at[p + 1]) for p in some]
-                    one = lambda i, j: b"" if (c[i:j] == 1).all() else _squeeze(c[i:j])  # noqa: B023, E731
-                    yield pd.DataFrame({"block": block, "n": n, "part": some, "grams": [_pack(g[i:j]) for i, j in spans], "own": [one(i, j) for i, j in spans]})
+                    gaps = [_squeeze(np.diff(g[i:j], prepend=bounds[p])) for p, (i, j) in zip(some, spans, strict=True)]
+                    own = [b"" if (c[i:j] == 1).all() else _squeeze(c[i:j]) for i, j in spans]
+                    yield pd.DataFrame({"block": block, "n": n, "part": some, "size": [j - i for i, j in spans], "grams": gaps, "own": own})
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        each = [_unpack(x) for x in pdf["grams"]]
-        own = [_loose(x, len(e)) if x else np.ones(len(e), np.int64) for x, e in zip(pdf["own"], each, strict=True)]
-        table, place = np.unique(np.concatenate(each), return_inverse=True)
+        each = [np.cumsum(_numbers(x, k)) for x, k in zip(pdf["grams"], pdf["size"], strict=True)]
+        own = [_loose(x, k) if x else np.ones(k, np.int64) for x, k in zip(pdf["own"], pdf["size"], strict=True)]
+        _, place = np.unique(np.concatenate(each), return_inverse=True)
         total = np.bincount(place, np.concatenate(own)).astype(np.int64)
-        if pdf["n"].iloc[0] > 1:
-            total[total < least] = 0
         cut = np.cumsum([len(e) for e in each])[:-1]
-        return pdf[["block", "n", "part"]].assign(counts=[_squeeze(x) for x in np.split(total[place], cut)])
+        return pdf[["block", "n", "part", "size"]].assign(counts=[_squeeze(x) for x in np.split(total[place], cut)])
+
+    sent = of.select("block", "ends", "vocabulary", "words").mapInPandas(send, "block string, n int, part long, size long, grams binary, own binary")
+    # As many tasks as the corpus asks for, whatever the session's number; each holds a few (n, part).
+    dealt = sent.repartition(max(partitions(of.sparkSession), order * parts), "n", "part")
+    return dealt.groupBy("n", "part").applyInPandas(join, "block string, n int, part long, size long, counts binary")
+
 
-    sent = of.select("block", "ends", "vocabulary", "words").mapInPandas(send, "block string, n int, part long, grams binary, own binary")
-    return sent.groupBy("n", "part").applyInPandas(join, "block string, n int, part long, counts binary")
+def counted(held: Block, n: int, bits: int, received: np.ndarray, exclude_own: bool) -> np.ndarray:
+    """How often the corpus, without the word's document if asked, has the n-gram that ends at each word; 0 where there is none."""
+    reach = held.position >= n - 1
+    g, document = held.grams(n, bits), held.document[reach]
+    order = np.argsort(g, kind="stable")  # documents ascend within an n-gram
+    g, document = g[order], document[order]
+    fresh = np.append(True, g[1:] != g[:-1])[: len(g)]
+    found = received[np.cumsum(fresh) - 1]
+    if exclude_own and len(g):
+        run = np.cumsum(fresh | np.append(True, document[1:] != document[:-1])) - 1
+        found = found - np.bincount(run)[run]
+    out = np.zeros(len(held.words), np.int64)
+    out[np.flatnonzero(reach)[order]] = found
+    return out
 
 
-def backoff_scores(held: Block, of: dict[int, np.ndarray], total: int, order: int, alpha: float) -> np.ndarray:
-    """log S of each word; of[n]: the count of each of the block's n-grams, as grams(n) orders them.
+def backoff_scores(held: Block, full: dict[int, np.ndarray], total: int, alpha: float, exclude_own: bool) -> np.ndarray:
+    """log S of each word; full[n]: the count of the n-gram that ends at each word.
 
     S(w | u) is the count of u w over that of u where the table has u w, else alpha times S of w after
-    one word less of u; at last the word's share of the corpus.
+    one word less of u; at last the word's share of the corpus, a word of no other document counting as one.
     """
-    n_words = len(held.words)
-    full = {n: np.zeros(n_words, np.int64) for n in range(1, order + 1)}
-    for n in range(1, order + 1):
-        full[n][held.position >= n - 1] = of[n]
-    score = np.log(full[1] / max(1, total))
-    for n in range(2, order + 1):
+    size = total - (len(held.words) - held.others)[held.document] if exclude_own else total
+    score = np.log(np.maximum(1, full[1]) / np.maximum(1, size))
+    for n in range(2, len(full) + 1):
         have = np.flatnonzero(full[n])  # a word at place p of its document has p words before it
-        reach = held.position >= n - 1
-        score[reach] += np.log(alpha)
-        score[have] = np.log(full[n][have] / full[n - 1][have - 1])
+        score[held.position >= n - 1] += np.log(alpha)
+        before = full[n - 1][have - 1]
+        score[have] = np.log(full[n][have] / np.maximum(before, full[n][have]))
     return score
 
 
+def _bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """Writes a table to the shared folder in buckets: a grouping by that column reads it without a shuffle."""
+    spark = df.sparkSession
+    name = f"shelfmark_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).option("path", f"{scratch_dir(spark).rstrip('/')}/shelfmark/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
+def _input_bytes(docs: DataFrame, text_col: str) -> int:
+    """About how large a table is: by what its plan says of the files it reads, else by a sum of the texts' lengths."""
+    said = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return said if said < 1 << 50 else docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+
+
 def score_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA, least: int = LEAST, block_words: int = BLOCK_WORDS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    order: int = ORDER,
+    alpha: float = ALPHA,
+    exclude_own: bool = True,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """doc_id, n_words, log_score (sum over the words), mean_log_score of every row of docs; the corpus is docs itself.
 
     Null and blank texts have no words, the sum 0 and a null mean.  Null ids and repeated rows are
-    scored like others; other columns are not read.  Memory is bounded by a block and by a partition.
+    scored like others, and a row is evidence for its copies; other columns are not read.  Memory is
+    bounded by a block and by a partition.
     """
-    of = stash(blocks(docs, id_col, text_col, block_words), "blocks")
+    spark = docs.sparkSession
+    words = _input_bytes(docs.select(id_col, text_col), text_col) // 3  # more than there are
+    block_words = max(block_words, isqrt(SHARED * words))
+    buckets = min(100_000, max(partitions(spark), 2 * words // block_words, 1))
+    of = _bucketed(blocks(docs, id_col, text_col, block_words), "block", buckets)
     total = of.agg(F.sum("n_words")).first()[0] or 0
-    parts = max(1, -(-total // PART_WORDS))
-    back = counts(of, order, parts, least)
+    parts = max(1, -(-total // block_words))
+    bits = min(64, total.bit_length() + SPARE)
+    back = counts(of, order, parts, bits)
     kind = docs.schema[id_col].dataType
 
     def score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = left.column("doc_ids").chunk(0).values if left.num_rows else pa.array([], pa.int64())
+        ids = left.column("doc_ids").chunk(0).values
         row = left.drop_columns(["doc_ids"]).to_pylist()[0]
         held = Block(row["ends"], row["vocabulary"], row["words"])
-        got: dict[int, dict[int, bytes]] = {n: {} for n in range(1, order + 1)}
-        for n, part, raw in zip(*(right.column(c).to_pylist() for c in ("n", "part", "counts")), strict=True):
-            got[n][part] = raw
-        by_order = {}
-        for n in range(1, order + 1):
-            g = held.grams(n)
-            distinct, _, at = _cut(g, parts)
-            values = [_loose(x, int(at[p + 1] - at[p])) for p, x in sorted(got[n].items())]
-            count = np.concatenate([np.empty(0, np.int64), *values])
-            rank = np.argsort(distinct, kind="stable")
-            by_order[n] = count[rank[np.searchsorted(distinct[rank], g)]] if len(g) else count
-        s = np.append(0, np.cumsum(backoff_scores(held, by_order, total, order, alpha)))
+        got = {n: {} for n in range(1, order + 1)}
+        for n, part, size, raw in zip(*(right.column(c).to_pylist() for c in ("n", "part", "size", "counts")), strict=True):
+            got[n][part] = _loose(raw, size)
+        received = {n: np.concatenate([np.empty(0, np.int64), *(got[n][p] for p in sorted(got[n]))]) for n in got}
+        full = {n: counted(held, n, bits, received[n], exclude_own) for n in received}
+        s = np.append(0, np.cumsum(backoff_scores(held, full, total, alpha, exclude_own)))
         starts = np.append(0, held.ends[:-1])
         return pa.table({"doc_id": ids, "n_words": held.ends - starts, "log_score": s[held.ends] - s[starts]})
 

@@ -172,20 +172,23 @@ def test_op3_plan(counts):
     assert done.total() <= 1.3 * sum(k * n for k, n in counts.items()) / 10 + 1
 
 
-def test_op4_backoff(docs, monkeypatch):
-    monkeypatch.setattr(backoff, "PART_WORDS", 500)
-    rows = backoff.score_documents(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), block_words=200).collect()
+@pytest.mark.parametrize("exclude", [True, False])
+def test_op4_backoff(docs, exclude):
+    rows = backoff.score_documents(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), block_words=20_000, exclude_own=exclude).collect()
     words = [WORD.findall(lower(t)) for t in TEXTS]
-    count = {n: Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1)) for n in (1, 2, 3)}
+    grams = lambda w, n: Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    whole = {n: sum((grams(w, n) for w in words), Counter()) for n in (1, 2, 3)}
 
-    def s(g):
+    def s(g, count, own):
+        have = lambda x: count[len(x)][x] - own[len(x)][x]
         if len(g) == 1:
-            return count[1][g] / count[1].total()
-        return count[len(g)][g] / count[len(g) - 1][g[:-1]] if count[len(g)][g] >= 2 else 0.4 * s(g[1:])
+            return max(1, have(g)) / max(1, count[1].total() - own[1].total())
+        return have(g) / have(g[:-1]) if have(g) else 0.4 * s(g[1:], count, own)
 
     for r in rows:
         w = words[r.doc_id]
-        want = sum(math.log(s(tuple(w[max(0, i - 2) : i + 1]))) for i in range(len(w)))
+        own = {n: grams(w, n) if exclude else Counter() for n in (1, 2, 3)}
+        want = sum(math.log(s(tuple(w[max(0, i - 2) : i + 1]), whole, own)) for i in range(len(w)))
         assert r.n_words == len(w) and abs(r.log_score - want) < 1e-4 * max(1, len(w) / 1000)
         assert (r.mean_log_score is None) == (not w)
     assert len(rows) == len(TEXTS) and backoff.score_documents(empty(docs)).count() == 0
