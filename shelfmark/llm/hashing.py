@@ -43,13 +43,17 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _hash_buffer(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word: a polynomial's value, as a difference of prefix sums moved back to power 0."""
-    up, down = _powers(CHUNK * 2 if len(buf) <= CHUNK * 2 else 1 << len(buf).bit_length())
     edge = np.flatnonzero(np.diff(_SPACE.take(buf).view(np.int8), prepend=np.int8(1), append=np.int8(1)))
-    starts, ends = edge[::2], edge[1::2]
+    return hash_spans(buf, edge[::2], edge[1::2]), edge[::2]
+
+
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of the bytes of every span."""
+    up, down = _powers(CHUNK * 2 if len(buf) <= CHUNK * 2 else 1 << len(buf).bit_length())
     total = np.empty(len(buf) + 1, np.uint64)
     total[0] = 0
     np.cumsum(_BYTE.take(buf) * up[: len(buf)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), starts
+    return mix((total[ends] - total[starts]) * down[starts])
 
 
 def _pieces(raw: bytes) -> Iterator[bytes]:

@@ -3,40 +3,48 @@
 Texts become token pieces of at most ``capacity`` tokens.  Only the histogram of piece lengths, at
 most ``capacity`` numbers, reaches the driver.  There the covering program over configurations (multisets
 of lengths that fit one sequence) is solved by multiplicative weights: each round prices every
-length, a knapsack dynamic program finds the configuration of most value, and the prices of the
-lengths it covers fall.  The solution is rounded down and what is left over is packed by best fit
-decreasing.  The plan says which ranks of each length go to which sequences, so the pieces find
-their places by their rank in a distributed numbering.
+length, one knapsack dynamic program prices all rooms, and from it come the best configurations with
+each of the lengths that are covered least; the prices of what they cover fall.  The solution is
+rounded up as far as there are pieces, the program of what is left is solved again, and so on; the
+last few pieces go by best fit decreasing.  The plan says which ranks of each length go to which
+sequences, so the pieces find their places by their rank in a distributed numbering.
 """
 
 from __future__ import annotations
 
 import binascii
-import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stash
+from shelfmark.llm.hashing import CHUNK, hash_spans
 
 CAPACITY = 4096
 END_ID = 1
-#: Rounds of multiplicative weights.
-ROUNDS = 200
-#: Words whose ids a Python worker remembers (about 150 MB); the memory is emptied when it is full.
-MEMORY = 800_000
-#: Texts that are encoded at a time.
-TEXTS = 500
-#: What str.split() drops though the tokenizer encodes it: not white space to the tokenizer.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Rounds of multiplicative weights of one program, configurations of a round, and programs at most.
+ROUNDS, WIDE, PROGRAMS = 30, 160, 6
+#: What an uncovered length is worth beyond its tokens, and the share of its scarcest length that a configuration is used for at a time.
+BONUS, STEP = 0.02, 0.125
+#: Slots of the table of words whose ids a Python worker remembers (about 60 MB); it is emptied when half full.
+SLOTS = 1 << 21
 #: Pieces of one length that are numbered in one group.
 GROUP_ROWS = 250_000
 
+# What bytes are to the splitting of words: white space, letters, digits, other ASCII, all others.
+_SPACE, _LETTER, _DIGIT, _OTHER, _WIDE = range(5)
+_KIND = np.full(256, _WIDE, np.uint8)
+_KIND[:128] = [
+    _SPACE if chr(c) in " \t\n\x0b\x0c\r" else _LETTER if chr(c).isalpha() else _DIGIT if chr(c).isdigit() else _OTHER for c in range(128)
+]
+_LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
+
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
@@ -45,32 +53,140 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the parts of a buffer that are encoded each on its own.
+
+    The vocabulary knows runs of letters, single digits, runs of other signs and the endings after an
+    apostrophe.  A word of ASCII is cut between letters, digits and signs, but not after a lone
+    apostrophe; a word with any other character, which may combine with its neighbours, stays whole.
+    """
+    kind = _KIND.take(buf)
+    left, right = np.append(np.uint8(_SPACE), kind), np.append(kind, np.uint8(_SPACE))  # on both sides of each gap
+    cut = (left != right) | ((left == _DIGIT) & (right == _DIGIT))
+    quote = np.zeros(len(cut), bool)
+    quote[1:-1] = (buf[:-1] == 0x27) & (right[1:-1] == _LETTER)
+    quote[2:] &= kind[:-1] != _OTHER  # a lone one: what is before it is no sign
+    cut &= ~quote
+    if (kind == _WIDE).any():
+        edge = (left == _SPACE) != (right == _SPACE)
+        word = np.cumsum(edge)
+        wide = np.zeros(word[-1] + 1, bool)
+        wide[word[:-1][kind == _WIDE]] = True
+        cut = np.where(wide[word], edge, cut)
+    at = np.flatnonzero(cut)
+    keep = right[at] != _SPACE
+    return at[keep], np.append(at[1:], len(buf))[keep]
+
+
 class Encoder:
     """Token ids of whole texts.
 
-    With ``by_word`` the vocabulary never joins across white space, so a text's ids are those of its words in
-    a row, and each distinct word is encoded once.  A text with a special token's opening or one of
-    U+001C to U+001F is encoded whole, as are all texts without ``by_word``.
+    With ``by_word`` the vocabulary never joins across white space nor across letters, digits and
+    signs, so a text's ids are those of its parts in a row and each distinct part is encoded once, known
+    by a 64-bit hash of its lower-cased bytes.  A text with a special token's opening is encoded
+    whole, as are all texts without ``by_word``.
     """
 
     def __init__(self, path: str, by_word: bool):
         self.path, self.by_word = path, by_word
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        tokenizer = _tokenizer(self.path)
-        split = [t.split() if self.by_word and "<|" not in t and not SEPARATORS.search(t) else None for t in texts]
-        new = list({w for words in split if words for w in words if w not in self.known})
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = list({w for words in split if words for w in words})
-        for k in range(0, len(new), 2000):  # the tokenizer's results take a kilobyte each
-            some = new[k : k + 2000]
-            for w, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        whole = lambda t: np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-        return [whole(t) if words is None else b"".join(map(self.known.__getitem__, words)) for t, words in zip(texts, split, strict=True)]
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys = np.zeros(SLOTS, np.uint64)
+        self.slot = np.zeros(SLOTS, np.int32)
+        self.held = 0
+        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat, self.used = np.zeros(1 << 18, "<u4"), 0
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Where the table has each hash, or the free slot where it belongs."""
+        at = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        lost = np.flatnonzero((self.keys[at] != h) & (self.keys[at] != 0))
+        while len(lost):
+            at[lost] = (at[lost] + 1) & (SLOTS - 1)
+            found = self.keys[at[lost]]
+            lost = lost[(found != h[lost]) & (found != 0)]
+        return at
+
+    def _add(self, hashes: np.ndarray, parts: list[bytes]) -> None:
+        texts = [p.decode("utf-8", "surrogatepass") for p in parts]
+        for k in range(0, len(texts), 2000):  # the tokenizer's results take a kilobyte each
+            for h, e in zip(hashes[k : k + 2000], _tokenizer(self.path).encode_batch_fast(texts[k : k + 2000], add_special_tokens=False), strict=True):
+                at = int(h) & (SLOTS - 1)
+                while self.keys[at]:
+                    at = (at + 1) & (SLOTS - 1)
+                n, ids = self.held, e.ids
+                if n == len(self.start):
+                    self.start, self.size = np.append(self.start, np.zeros_like(self.start)), np.append(self.size, np.zeros_like(self.size))
+                while self.used + len(ids) > len(self.flat):
+                    self.flat = np.append(self.flat, np.zeros_like(self.flat))
+                self.keys[at], self.slot[at] = h, n
+                self.start[n], self.size[n] = self.used, len(ids)
+                self.flat[self.used : self.used + len(ids)] = ids
+                self.used, self.held = self.used + len(ids), n + 1
+
+    def _buffer(self, raw: bytes, ends: np.ndarray) -> list[np.ndarray]:
+        """The ids of the texts that end at ends in a buffer of them, each followed by white space."""
+        raw = raw.translate(_LOWER)
+        buf = np.frombuffer(raw, np.uint8)
+        first, last = spans(buf)
+        h = hash_spans(buf, first, last) | np.uint64(1)
+        at = self._find(h)
+        new = np.flatnonzero(self.keys[at] == 0)
+        if len(new):
+            fresh, where = np.unique(h[new], return_index=True)
+            if self.held + len(fresh) > SLOTS // 2:
+                self._clear()
+                fresh, where = np.unique(h, return_index=True)
+                new = np.arange(len(h))
+            self._add(fresh, [raw[first[i] : last[i]] for i in new[where]])
+            at = self._find(h)
+        which = self.slot[at]
+        size = self.size[which]
+        total = np.append(0, np.cumsum(size))
+        ids = self.flat[np.arange(total[-1]) + np.repeat(self.start[which] - total[:-1], size)]
+        cut = total[np.searchsorted(first, ends)]
+        return np.split(ids, cut[:-1]) if len(cut) else []
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        held: list[bytes] = []
+        size = 0
+
+        def flush() -> Iterator[np.ndarray]:
+            if held:
+                yield from self._buffer(b" ".join(held) + b" ", np.cumsum([len(x) + 1 for x in held]))
+                held.clear()
+
+        for text in texts:
+            if not self.by_word or "<|" in text:
+                yield from flush()
+                yield np.array(_tokenizer(self.path).encode(text, add_special_tokens=False).ids, "<u4")
+                size = 0
+                continue
+            raw = text.encode("utf-8", "surrogatepass")
+            if len(raw) > CHUNK:
+                yield from flush()
+                yield np.concatenate([self._buffer(p, np.array([len(p)]))[0] for p in _pieces(raw)])
+                size = 0
+                continue
+            held.append(raw)
+            size += len(raw) + 1
+            if size >= CHUNK:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """Cuts a long text at white space of one byte; each piece ends with some."""
+    at = 0
+    while at < len(raw):
+        end = at + CHUNK
+        while end < len(raw) and _KIND[raw[end]] != _SPACE:
+            end += 1
+        yield raw[at:end] + b" "
+        at = end
 
 
 @lru_cache(maxsize=2)
@@ -94,54 +210,90 @@ def tokenize(
     A null or blank text is the end id alone.  Only texts longer than the capacity are cut, each
     piece but the last full.  Null ids and repeated rows stay as they are; other columns are not read.
     """
-    fields = "piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
 
-    @F.pandas_udf(f"array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer_path, by_word)
-        for texts in batches:
-            made: list[list[dict]] = []
-            for k in range(0, len(texts), TEXTS):
-                made += [list(pieces_of(ids, capacity, keep_ids)) for ids in encode([t or "" for t in texts[k : k + TEXTS]])]
-            yield pd.Series(made, dtype=object)
-
-    return docs.select(F.col(id_col).alias("doc_id"), F.inline(cut(F.col(text_col))))
-
-
-def pieces_of(ids: bytes, capacity: int, keep_ids: bool) -> Iterator[dict]:
-    """The pieces of one text's ids and the end id."""
-    raw = ids + END_ID.to_bytes(4, "little")
+        for b in batches:
+            for k in range(0, b.num_rows, 1000):
+                some = b.slice(k, 1000)
+                rows = [(i, *p) for i, ids in enumerate(encode([t or "" for t in some.column(1).to_pylist()])) for p in pieces_of(ids, capacity, keep_ids)]
+                of, *columns = zip(*rows, strict=True)
+                types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
+                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(of)), *arrays], names)
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    fields = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, fields)
+
+
+def pieces_of(ids: np.ndarray, capacity: int, keep_ids: bool) -> Iterator[tuple]:
+    """piece, start, length, crc32 and, if asked, ids of one text's ids and the end id."""
+    raw = ids.tobytes() + END_ID.to_bytes(4, "little")
     for k, at in enumerate(range(0, len(raw), 4 * capacity)):
         part = raw[at : at + 4 * capacity]
-        piece = {"piece": k, "start": at // 4, "length": len(part) // 4, "ids_crc32": binascii.crc32(part)}
-        yield piece | {"ids": part} if keep_ids else piece
+        one = (k, at // 4, len(part) // 4, binascii.crc32(part))
+        yield (*one, part) if keep_ids else one
 
 
-def best_configuration(prices: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
-    """The lengths that fit one sequence and are worth most, by an unbounded knapsack; prices[k] is that of length k."""
-    lengths = np.flatnonzero(counts)
+def best_rooms(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every room the most that lengths in it are worth, and the last of them, 0 for an unused token: an unbounded knapsack."""
     value = prices[lengths]
-    best = np.zeros(capacity + 1)
-    pick = np.zeros(capacity + 1, np.int64)
+    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(int(lengths[0]), capacity + 1):
-        n = np.searchsorted(lengths, c, side="right")
+        n = upto[c]
         gain = best[c - lengths[:n]] + value[:n]
         k = int(gain.argmax())
-        if gain[k] > best[c - 1]:
-            best[c], pick[c] = gain[k], lengths[k]
-        else:
-            best[c] = best[c - 1]
-    found: Counter = Counter()
-    c = capacity
+        best[c], pick[c] = (gain[k], lengths[k]) if gain[k] > best[c - 1] else (best[c - 1], 0)
+    return best, pick
+
+
+def configuration(first: int, pick: np.ndarray, capacity: int) -> Counter:
+    """The best lengths beside a first one."""
+    found: Counter = Counter({first: 1} if first else {})
+    c = capacity - first
     while c > 0:
-        if pick[c]:
-            found[int(pick[c])] += 1
-            c -= int(pick[c])
-        else:
-            c -= 1
+        found[int(pick[c])] += 1
+        c -= int(pick[c]) or 1
+    del found[0]
     return found
 
 
+def program(counts: Counter, capacity: int, rounds: int, wide: int) -> Counter:
+    """A fractional cover of the counts by configurations: how often each is used.
+
+    Multiplicative weights: a round's dynamic program gives the best configuration with each of the
+    wide lengths that are covered least, each used as often as its scarcest length allows, and the
+    weight of a length falls with its cover.
+    """
+    lengths = np.array(sorted(counts))
+    demand = np.zeros(capacity + 1)
+    demand[lengths] = [counts[int(k)] for k in lengths]
+    cover = np.zeros(capacity + 1)
+    used: Counter = Counter()
+    volume, done = float((demand * np.arange(capacity + 1)).sum()), 0.0
+    for _ in range(rounds):
+        if done >= volume:
+            break
+        # A length is worth its tokens, and more while it is covered little.
+        ratio = cover[lengths] / demand[lengths]
+        prices = np.zeros(capacity + 1)
+        prices[lengths] = lengths * (1 + BONUS * np.exp(-4 * ratio))
+        _, pick = best_rooms(prices, lengths, capacity)
+        for first in lengths[np.argsort(ratio - lengths / capacity / 10, kind="stable")][:wide]:
+            if cover[first] >= demand[first]:
+                continue
+            items = configuration(int(first), pick, capacity)
+            x = min(demand[k] / n for k, n in items.items()) * STEP
+            used[tuple(sorted(items.elements(), reverse=True))] += x
+            done += x * sum(k * n for k, n in items.items())
+            for k, n in items.items():
+                cover[k] += n * x
+    return used
+
+
 def best_fit_decreasing(counts: Counter, capacity: int) -> Counter:
     """Packs a histogram: longest first, each into the fullest sequence that it fits.  Returns configurations with their numbers.
 
@@ -174,40 +326,38 @@ def best_fit_decreasing(counts: Counter, capacity: int) -> Counter:
     return total
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Counter:
-    """Configurations, as descending tuples of lengths, with how many sequences each gets; every piece has a place.
+def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, wide: int = WIDE) -> tuple[Counter, int]:
+    """Configurations, as descending tuples of lengths, with how many sequences each gets, and how many pieces the program placed.
 
-    The rounded program goes first; best fit decreasing packs the pieces it leaves.
+    Every piece has a place.  Programs are solved and rounded until one places little of what is left.
     """
     full = counts.get(capacity, 0)
     left = Counter({k: v for k, v in counts.items() if k != capacity and v})
     chosen: Counter = Counter()
-    if left:
-        demand = np.zeros(capacity + 1)
-        demand[list(left)] = list(left.values())
-        sizes = np.arange(capacity + 1)
-        log_w = np.where(demand > 0, np.log(np.maximum(sizes, 1)), -np.inf)
-        used: Counter = Counter()
-        for k in range(rounds):
-            prices = np.exp(log_w - log_w.max()) / np.maximum(demand, 1)
-            config = best_configuration(prices, demand, capacity)
-            items = np.zeros(capacity + 1)
-            items[list(config)] = list(config.values())
-            share = np.where(demand > 0, items / np.maximum(demand, 1), 0)
-            used[tuple(sorted(config.elements(), reverse=True))] += 1 / share.max()  # so often covers its scarcest length
-            log_w -= min(0.5, 4 / np.sqrt(k + 1)) * share / share.max()
-        # Scaled to at least the volume, rounded down, and never more than the pieces that there are.
-        scale = max(1.0, float((sizes * demand).sum()) / capacity / sum(used.values()))
-        for config, x in sorted(used.items(), key=lambda c: (-c[1], c[0])):
+    placed = 0
+    for _ in range(PROGRAMS):
+        if not left:
+            break
+        volume, before = sum(k * n for k, n in left.items()), left.total()
+        used = program(left, capacity, rounds, wide)
+        scale = volume / sum(sum(c) * x for c, x in used.items())  # a cover of each piece once, by volume
+        # Full sequences first, longer pieces first; rounded up as far as there are pieces.
+        for config, x in sorted(used.items(), key=lambda c: (-sum(c[0]), -c[1], c[0])):
+            if sum(config) < capacity and volume > 4 * capacity:
+                continue
             items = Counter(config)
-            number = min(int(x * scale), *(left[k] // n for k, n in items.items()))
+            number = min(-int(-x * scale // 1), *(left[k] // n for k, n in items.items()))
             if number:
                 chosen[config] += number
                 left.subtract({k: n * number for k, n in items.items()})
-        chosen.update(best_fit_decreasing(+left, capacity))
+        left = +left
+        placed += before - left.total()
+        if before - left.total() < before / 20:
+            break
+    chosen.update(best_fit_decreasing(left, capacity))
     if full:
         chosen[(capacity,)] += full
-    return chosen
+    return chosen, placed + full
 
 
 def slots(configs: Counter) -> pd.DataFrame:
@@ -223,7 +373,7 @@ def slots(configs: Counter) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["length", "rank", "base", "offset"]).sort_values(["length", "rank"], ignore_index=True)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, length and any other columns).
 
     The pieces should be a written table, as from stash(tokenize(...)).  Each length's pieces are
@@ -235,7 +385,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> D
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     histogram = {int(r.length): int(r.n) for r in sizes.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
-    table = slots(plan(histogram, capacity, rounds))
+    table = slots(plan(histogram, capacity)[0])
     by_length = {int(k): g[["rank", "base", "offset"]].to_numpy() for k, g in table.groupby("length")}
     before = sizes.withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)))
     before = before.select("length", "_salt", F.coalesce("_before", F.lit(0)).alias("_before"))

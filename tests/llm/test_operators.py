@@ -158,20 +158,40 @@ def test_op3_round_trip(docs):
     assert packing.pack_documents(empty(docs), path).count() == 0
 
 
-def test_op3_separators():
-    path = tokenizer()
-    texts = [f"alpha{chr(c)}beta {chr(c)} gamma" for c in [*range(1, 33), 0x7F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]]
-    assert packing.Encoder(path, True)(texts) == packing.Encoder(path, False)(texts)
+def test_op3_ids():
+    from tokenizers import Tokenizer
+
+    path, rng = tokenizer(), random.Random(11)
+    signs = [chr(c) for c in [*range(300), 0x1680, 0x180E, *range(0x2000, 0x2070), 0x301, 0x338, 0x3A3, 0x3000, 0xFEFF, 0x1F600, 0x4E00, 0x1100, 0x1161, 0x212A, 0x130, 0x660]]
+    signs += list("abc's'll'd  ''\"..--123") * 10
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["it's 'tis ''s x's' I'LL '1 \"'s -'s a''b", "<|endoftext|> x", "x" * 300_000, "ab c1 " * 60_000, " " * 300_000]
+    full = Tokenizer.from_file(path)
+    want = [full.encode(t, add_special_tokens=False).ids for t in texts]
+    encode = packing.Encoder(path, True)
+    assert [x.tolist() for x in encode(texts)] == want and [x.tolist() for x in encode(texts)] == want
+    encode.held = packing.SLOTS // 2  # full: emptied
+    assert [x.tolist() for x in encode(texts[:50])] == want[:50]
 
 
 @pytest.mark.parametrize("counts", [{}, {5: 3}, {10: 7}, {6: 10, 4: 10, 3: 1}, {k: k for k in range(1, 11)}])
 def test_op3_plan(counts):
-    done = packing.plan(counts, 10, 20)
+    done, _ = packing.plan(counts, 10, 20)
     assert Counter({k: sum(c.count(k) * n for c, n in done.items()) for k in counts}) == Counter(counts)
     assert all(sum(c) <= 10 for c in done)
     assert done.total() <= 1.3 * sum(k * n for k, n in counts.items()) / 10 + 1
 
 
+def test_op3_program_places_most():
+    rng = random.Random(3)
+    counts = Counter(min(4096, int(rng.lognormvariate(6, 1)) + 1) for _ in range(20_000))
+    for times in (1, 500):
+        many = {k: n * times for k, n in counts.items()}
+        done, placed = packing.plan(many)
+        volume = sum(k * n for k, n in many.items())
+        assert placed >= 0.65 * sum(many.values()) and done.total() <= 1.005 * volume / 4096 + 2
+
+
 @pytest.mark.parametrize("exclude", [True, False])
 def test_op4_backoff(docs, exclude):
     rows = backoff.score_documents(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), block_words=20_000, exclude_own=exclude).collect()
