@@ -17,14 +17,25 @@ SPACES = "\t\n\x0b\x0c\r "
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of this process's own where none is set, as in tests."""
+    """The folder that all executors share.  Where none is set, one of this process's own, as in tests on one machine; an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfmark-"))
         found = spark.sparkContext.getCheckpointDir()
     return found
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it again, so a lost executor costs no more than this step."""
     spark = df.sparkSession

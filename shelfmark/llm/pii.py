@@ -1,29 +1,38 @@
 """Surrogates for personal data: keyed, of the same type and format, distinct for distinct values.
 
 Mail addresses, bank and card numbers, network addresses, telephone and social security numbers
-and names after a form of address are found in whole texts.  A value in canonical form is replaced
-by a keyed permutation of the values of its format: letters stay letters of their script and case,
-digits digits, a card number keeps its length, first digit and check digit, a name its endings,
-which carry gender.  A permutation cannot give two values one surrogate, and the same value gets the
-same surrogate everywhere, however it is punctuated.  What a permutation cannot know, that a
-surrogate is itself a value of somebody in the corpus, is checked in a join of all surrogates with
-all values; those few get another round of the permutation.
+and names after a form of address, with their later mentions, are found in whole texts.  A mention is
+made of values: a name of its words, an address of its local part and domain labels, so what is partly
+the same stays partly the same.  A value, in lower case and without punctuation, is replaced by a keyed permutation of
+the values of its format: letters stay letters of their script, digits digits, a card number keeps its
+length, first digit and check digit, a given name becomes one of its gender and script, any other
+name keeps its ending, which carries gender.
+
+A permutation cannot give two values one surrogate.  What it cannot know, that a surrogate is itself
+a value of the corpus, is checked in a join of all surrogates with all values: the k-th of the values
+of a format whose surrogate is taken gets the k-th free one, by a join on ranks.  A format of words
+that is full goes on with a longer one, so surrogates are always distinct; numbers whose format is full are an error.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stash
+from shelfmark.llm.common import stash, unused
 
-#: Rounds of collision checks, and how many values may still need another round of the permutation: the bound of what is sent to executors.
-ATTEMPTS, MAX_AGAIN = 6, 100_000
+#: At most so many values with a surrogate by rank are sent to executors (some 20 MB); more are joined to the texts that hold them.
+MAX_BROADCAST = 100_000
+#: Candidates that are made in one group, and values that are ranked in one, about.
+GROUP = 10_000
 
 # Forms of address before a name, alphabets, longest parts of a mail address.
 TITLES = (
@@ -43,20 +52,38 @@ ALPHABETS = [
     "АЕИОУЭЮЯ",
     "БВГДЖЗКЛМНПРСТФХЦЧШЩ",
 ]
+#: Given names by script and gender, in lower case.  Fixed values.
+GIVEN = {
+    "latin f": (
+        "agnes alice alma amelia anna astrid beatrice camila carla carmen caroline charlotte chloe clara claudia diana elena elisa emilia emma eva flora "
+        "frieda gisela greta hannah helga ida inés ingrid irene isabel jane julia karin laura lena lucía luisa maria marie marta mary mónica nina olivia paula petra "
+        "pilar rosa ruth sandra sarah silvia sofia sophie susan teresa ursula vera"
+    ).split(),
+    "latin m": (
+        "adam albert alberto alexander andré andrew antonio benjamin boris bruno carlos charles christian daniel david diego edward erik felix fernando "
+        "francisco frank fritz george günter hans henri henry hugo jack jacques james jean johannes john jorge josé juan jürgen karl klaus louis luis manuel marc mark "
+        "martin michael miguel oscar otto pablo paul pedro peter philippe pierre rafael robert stefan thomas victor walter william wolfgang"
+    ).split(),
+    "cyrillic f": "алла анна валентина вера галина дарья екатерина елена жанна зоя инна ирина ксения лариса лидия любовь людмила марина мария надежда наталья нина ольга полина раиса светлана софья тамара татьяна юлия".split(),
+    "cyrillic m": "александр алексей андрей антон борис вадим василий виктор владимир геннадий глеб григорий денис дмитрий евгений иван игорь кирилл константин леонид максим михаил николай олег павел пётр роман сергей степан юрий".split(),
+}
+_GIVEN = {name: group for group, names in GIVEN.items() for name in names}
 _CLASS = {c: a for a in ALPHABETS for c in a}
 LOCAL_BYTES, DOMAIN_BYTES = 64, 255
 
-_LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*$")
+_LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}")
-_CARD = re.compile(r"(?<![\w.+-])[3-6]\d{3}(?:[ -]?\d){9,15}(?![\w-])")
-_IP = re.compile(r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)")
+_CARD = re.compile(r"(?<![\w.+-])[3-6][0-9]{3}(?:[ -]?[0-9]){9,15}(?![\w-])")
+_IP = re.compile(r"(?<![\w.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![\w]|\.[0-9])")
 _PHONE = re.compile(
-    r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"
+    r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,5}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\w)"
 )
-_SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
+_SSN = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _NAME = re.compile(rf"\b(?:{'|'.join(TITLES)})\.?[  ]([^\W\d_a-zа-я][\w'’-]+(?: [^\W\d_a-zа-я][\w'’-]+)?)")
-_TITLED = re.compile("|".join(f"{t}[.  ]" for t in TITLES))
+_TITLED = re.compile("|".join(f"{t}[.  ]" for t in TITLES))
+_WORD = re.compile(r"[^\W\d_][\w'’-]+")
+_POSSESSIVE = re.compile(r"['’-]+[sS]?\Z")
 _DIGIT = re.compile(r"\d")
 
 
@@ -89,87 +116,142 @@ def _permute_number(x: int, n: int, key: bytes) -> int:
             return x
 
 
-def permute(text: str, key: bytes, context: str, alphabets: list[str] | None = None) -> str:
-    """Permutes the texts of one pattern of alphabets; characters of none stay.  The pattern and context are part of the key."""
-    each = alphabets or [_CLASS.get(c, c) for c in text]
-    n = x = 0
+@lru_cache(maxsize=1 << 16)
+def alphabet(c: str) -> str:
+    """The characters that c may become: of its list, else of its kind in its part of Unicode; c itself if it is no letter or digit."""
+    if c in _CLASS:
+        return _CLASS[c]
+    kind = unicodedata.category(c)
+    if kind not in ("Ll", "Lu", "Lo", "Nd"):
+        return c
+    block = ord(c) & ~127
+    same = (chr(x) for x in range(block, block + 128))
+    return "".join(x for x in same if x not in _CLASS and unicodedata.category(x) == kind and (kind != "Ll" or (len(x.upper()) == 1 and x.upper().lower() == x)) or x == c)
+
+
+#: Numbers up to 255 and places in a list of names are written as characters from here on.
+_FIRST = 0x100
+_SEP = "\x1f"
+
+
+def layout(kind: str, value: str) -> tuple[str, list[str], list[int]]:
+    """The format of a value: its mode, the alphabet of each place and the value's place in each."""
+    if kind == "ip":
+        byte = "".join(chr(_FIRST + k) for k in range(256))
+        return "ip", [byte] * 4, [int(x) for x in value.split(".")]
+    if kind == "card":
+        body = [value[0], *[ALPHABETS[0]] * (len(value) - 2)]
+        at = [a.index(c) for a, c in zip(body, value, strict=False)]
+        off = (int(value[-1]) - luhn(value[:-1]) - 1) % 10
+        return ("card", body, at) if off == 9 else ("number", [*body, "012345678"], [*at, off])
+    if kind == "phone":
+        keep = 2 if value.startswith("+1") or value.startswith("+7") else 3 if value.startswith("+") else 0
+        each = [c if k < keep else "23456789" if k == keep and c in "23456789" else alphabet(c) for k, c in enumerate(value)]
+    elif kind == "iban":
+        value = value[:2] + value[4:]
+        each = [*value[:2], *map(alphabet, value[2:])]
+    elif kind == "name" and value in _GIVEN:
+        names = GIVEN[_GIVEN[value]]
+        return f"given {_GIVEN[value]}", ["".join(chr(_FIRST + k) for k in range(len(names)))], [names.index(value)]
+    elif kind == "name":
+        keep = 2 if len(value) > 4 else 1 if len(value) > 2 else 0
+        each = [alphabet(c) if k < len(value) - keep else c for k, c in enumerate(value)]
+    else:
+        each = [alphabet(c) for c in value]
+    return kind, each, [a.index(c) for a, c in zip(each, value, strict=True)]
+
+
+def written(mode: str, chars: list[str]) -> str:
+    """The value that the characters of a format stand for."""
+    if mode == "ip":
+        return ".".join(str(ord(c) - _FIRST) for c in chars)
+    if mode.startswith("given "):
+        names = GIVEN[mode.removeprefix("given ")]
+        return "-".join(names[ord(c) - _FIRST] for c in chars)
+    value = "".join(chars)
+    if mode == "card":
+        return value + str(luhn(value))
+    if mode == "number":
+        return value[:-1] + str((luhn(value[:-1]) + 1 + int(value[-1])) % 10)
+    return value[:2] + iban_check(value[:2], value[2:]) + value[2:] if mode == "iban" else value
+
+
+def room(each: list[str]) -> int:
     total = 1
-    for c, a in zip(text, each, strict=True):
-        x = x * len(a) + a.index(c)
+    for a in each:
         total *= len(a)
-    if total < 2:
-        return text
-    own = hashlib.blake2b("\x00".join([context, *each]).encode(), key=key, digest_size=32).digest()
-    n = _permute_number(x, total, own)
+    return total
+
+
+def nth(mode: str, each: list[str], n: int, key: bytes, use: str) -> str:
+    """Value number n of a format in an order that the key and the use give."""
+    own = hashlib.blake2b(_SEP.join([use, mode, *each]).encode("utf-8", "surrogatepass"), key=key, digest_size=32).digest()
+    size = room(each)
+    n = _permute_number(n, size, own) if size > 1 else 0
     out = []
     for a in reversed(each):
         n, r = divmod(n, len(a))
         out.append(a[r])
-    return "".join(reversed(out))
-
-
-def _first(digit: str) -> str:
-    return "23456789" if digit in "23456789" else digit
-
-
-def canonical(kind: str, value: str) -> str:
-    """What two mentions of one thing share: digits without punctuation, addresses in lower case."""
+    return written(mode, out[::-1])
+
+
+def longer(mode: str, each: list[str]) -> list[str] | None:
+    """The format that goes on where one is full: another name, a syllable before a name's ending, digits after parts of addresses."""
+    if mode.startswith("given "):
+        return [*each, each[0]]
+    if mode == "name":
+        kept = 0
+        while kept < min(2, len(each)) and len(each[-1 - kept]) == 1:
+            kept += 1
+        syllable = ALPHABETS[8:6:-1] if any(c in ALPHABETS[7] + ALPHABETS[8] for c in "".join(each)) else [ALPHABETS[2], ALPHABETS[1]]
+        return [*each[: len(each) - kept], *syllable, *each[len(each) - kept :]]
+    return [*each, ALPHABETS[0], ALPHABETS[0]] if mode in ("local", "domain") else None
+
+
+@lru_cache(maxsize=1 << 16)
+def surrogate(kind: str, value: str, key: bytes) -> str:
+    """The surrogate of a value by the permutation of its format."""
+    mode, each, at = layout(kind, value)
+    n = 0
+    for a, k in zip(each, at, strict=True):
+        n = n * len(a) + k
+    return nth(mode, each, n, key, "value")
+
+
+def values_of(kind: str, mention: str) -> list[tuple[str, str]]:
+    """The values that a mention is made of: (kind, value), in order, in lower case and without punctuation."""
     if kind == "email":
-        return value.lower()
-    if kind in ("card", "phone", "ssn"):
-        return re.sub(r"[^0-9+]", "", value)
-    return value.replace(" ", "") if kind == "iban" else value
+        local, _, domain = mention.lower().rpartition("@")
+        return [("local", local), *(("domain", x) for x in domain.split(".")[:-1])]
+    if kind == "name":
+        return [("name", w.lower() if len(w.lower()) == len(w) else w) for w in mention.split(" ")]
+    if kind == "iban":
+        return [(kind, mention.replace(" ", ""))]
+    return [(kind, re.sub(r"[^0-9+]", "", mention) if kind in ("card", "phone", "ssn") else mention)]
 
 
-def surrogate_once(kind: str, value: str, key: bytes) -> str:
-    """The next canonical value in the permutation of its kind."""
-    if kind == "email":
-        local, _, domain = value.rpartition("@")
-        *labels, top = domain.split(".")
-        return f"{permute(local, key, 'local')}@{'.'.join(permute(x, key, 'domain') for x in labels)}.{top}"
-    if kind == "card":
-        if luhn(value[:-1]) == int(value[-1]):
-            body = value[0] + permute(value[1:-1], key, "card" + value[0])
-            return body + str(luhn(body))
-        out = value
-        while True:  # a number that fails the check goes to one that fails it
-            out = out[0] + permute(out[1:], key, "number" + out[0])
-            if luhn(out[:-1]) != int(out[-1]):
-                return out
-    if kind == "ip":
-        x = 0
-        for part in value.split("."):
-            x = x * 256 + int(part)
-        x = _permute_number(x, 1 << 32, hashlib.blake2b(b"ip", key=key, digest_size=32).digest())
-        return ".".join(str(x >> s & 255) for s in (24, 16, 8, 0))
-    if kind == "phone":
-        keep = 2 if value.startswith("+1") or value.startswith("+7") else 3 if value.startswith("+") else 0
-        head, rest = value[:keep], value[keep:]
-        return head + permute(rest, key, "phone" + head, [_first(rest[0]), *[ALPHABETS[0]] * (len(rest) - 1)]) if rest else value
-    if kind == "iban":
-        rest = permute(value[4:], key, "iban" + value[:2])
-        return value[:2] + iban_check(value[:2], rest) + rest
-    if kind == "name":
-        parts = []
-        for word in value.split(" "):
-            keep = 2 if len(word) > 4 else 1 if len(word) > 2 else 0
-            body = word[: len(word) - keep]
-            parts.append(permute(body, key, "name" + word[len(body) :]) + word[len(body) :])
-        return " ".join(parts)
-    return permute(value, key, kind)
+def _cased(mention: str, value: str) -> str:
+    """A value in the case of a mention, character by character; what goes beyond it is as its end."""
+    upper = [c.isupper() for c in mention]
+    upper += [mention.isupper()] * max(0, len(value) - len(upper))
+    out = "".join(c.upper() if u and len(c.upper()) == 1 else c for c, u in zip(value, upper, strict=False))
+    return re.sub("-(.)", lambda m: "-" + m[1].upper(), out) if upper[:1] == [True] and "-" not in mention else out
 
 
-def reformat(kind: str, mention: str, value: str) -> str:
-    """Puts a canonical surrogate into the punctuation and case of a mention."""
+def reformat(kind: str, mention: str, made: list[str]) -> str:
+    """Puts surrogates of a mention's values into its punctuation and case."""
     if kind == "email":
+        value = f"{made[0]}@{'.'.join([*made[1:], mention.lower().rpartition('.')[2]])}"
         return value.upper() if mention.isupper() else value
+    if kind == "name":
+        return " ".join(_cased(w, v) for w, v in zip(mention.split(" "), made, strict=True))
     if kind in ("card", "phone", "ssn"):
-        left = iter(value.removeprefix("+"))
-        return "".join(next(left) if c.isdigit() else c for c in mention)
+        left = iter(made[0].removeprefix("+"))
+        return "".join(next(left) if c in "0123456789" else c for c in mention)
     if kind == "iban":
-        left = iter(value)
+        left = iter(made[0])
         return "".join(c if c == " " else next(left) for c in mention)
-    return value
+    return made[0]
 
 
 def find(text: str) -> list[tuple[int, int, str]]:
@@ -189,12 +271,15 @@ def find(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "phone") for m in _PHONE.finditer(text) if 9 <= len(re.sub(r"\D", "", m[0])) <= 15]
         found += [(*m.span(), "ssn") for m in _SSN.finditer(text)]
     if _TITLED.search(text):
-        found += [(*m.span(1), "name") for m in _NAME.finditer(text)]
+        titled = [(m.start(1), m.start(1) + len(_POSSESSIVE.sub("", m[1]))) for m in _NAME.finditer(text)]
+        found += [(s, e, "name") for s, e in titled]
+        known = {w.lower() for s, e in titled for w in text[s:e].split(" ")}
+        if known:  # later and earlier mentions of the same people
+            words = ((m.start(), _POSSESSIVE.sub("", m[0])) for m in _WORD.finditer(text))
+            found += [(s, s + len(w), "name") for s, w in words if w.lower() in known and not w[0].islower()]
     if len(found) < 2:
         return found
     taken: list[tuple[int, int, str]] = []
-    import bisect
-
     for s, e, k in found:  # in the order of kinds
         i = bisect.bisect(taken, (s, e, k))
         if (i == 0 or taken[i - 1][1] <= s) and (i == len(taken) or taken[i][0] >= e):
@@ -207,81 +292,151 @@ def _valid_iban(value: str) -> bool:
     return 15 <= len(v) <= 34 and iban_check(v[:2], v[4:]) == v[2:4]
 
 
-class Surrogates:
-    """Surrogates under one key; again: how many more rounds of the permutation some values need."""
-
-    def __init__(self, key: bytes, again: dict[tuple[str, str], int] | None = None):
-        self.key, self.again = key, again or {}
-
-    def of(self, kind: str, value: str) -> str:
-        own = hashlib.blake2b(bytes([self.again.get((kind, value), 0)]), key=self.key, digest_size=32).digest()
-        return surrogate_once(kind, value, own)
-
-    def replace(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
-        """The text with surrogates and the spans found in the original."""
-        spans = find(text)
-        out, at = [], 0
-        for s, e, k in spans:
-            out += [text[at:s], reformat(k, text[s:e], self.of(k, canonical(k, text[s:e])))]
-            at = e
-        return "".join([*out, text[at:]]) if spans else text, spans
+def replaced(text: str, key: bytes, exceptions: dict[tuple[str, str], str]) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with surrogates and the spans found in the original; exceptions: the surrogates that no permutation gives."""
+    spans = find(text)
+    out, at = [], 0
+    for s, e, k in spans:
+        made = [exceptions.get(v) or surrogate(*v, key) for v in values_of(k, text[s:e])]
+        out += [text[at:s], reformat(k, text[s:e], made)]
+        at = e
+    return "".join([*out, text[at:]]) if spans else text, spans
 
 
 def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The distinct (kind, value) of a table, canonical; each batch emits a value once."""
+    """The distinct (kind, value) of a table; each batch emits a value once."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = {(k, canonical(k, t[s:e])) for t in pdf["text"] if t for s, e, k in find(t)}
+            got = {v for t in pdf["text"] if t for s, e, k in find(t) for v in values_of(k, t[s:e])}
             yield pd.DataFrame(sorted(got), columns=["kind", "value"])
 
     return docs.select(F.col(text_col).alias("text")).mapInPandas(each, "kind string, value string").dropDuplicates()
 
 
-def _maker(held: Surrogates):
-    """A function of columns kind and value that gives the surrogate."""
+def _ranked(df: DataFrame, salt: Column, order: list[str]) -> DataFrame:
+    """Adds rank, from 0, within each format: salted groups are numbered each on its own, so no format meets in one task."""
+    salted = df.withColumn("salt", salt)
+    sizes = salted.groupBy("format", "salt").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("format").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("format", "salt", F.coalesce(before, F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("format", "salt").orderBy(*order)) - 1
+    return salted.withColumn("own", own).join(starts, ["format", "salt"]).withColumn("rank", F.col("own") + F.col("before")).drop("salt", "own", "before")
 
-    @F.pandas_udf("string")
-    def of(kind: pd.Series, value: pd.Series) -> pd.Series:
-        return pd.Series([held.of(k, v) for k, v in zip(kind, value, strict=True)], dtype=object)
 
-    return of
-
-
-def resolve(values: DataFrame, key: bytes) -> dict[tuple[str, str], int]:
-    """Which values need further rounds so that no surrogate is a value of the corpus or another's surrogate."""
-    again: dict[tuple[str, str], int] = {}
-    for _ in range(ATTEMPTS):
-        made = stash(values.withColumn("made", _maker(Surrogates(key, again))("kind", "value")), "surrogates")
-        real = made.join(values.select("kind", F.col("value").alias("made")), ["kind", "made"], "left_semi").select("kind", "value")
-        first = made.groupBy("kind", "made").agg(F.min("value").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        twice = made.join(first, ["kind", "made"]).where("value <> first").select("kind", "value")
-        rows = real.union(twice).dropDuplicates().limit(MAX_AGAIN + 1).collect()
-        if not rows:
-            return again
-        if len(rows) + len(again) > MAX_AGAIN:
-            raise ValueError(f"over {MAX_AGAIN} surrogates collide: the values nearly fill their formats")
-        for r in rows:
-            again[r.kind, r.value] = again.get((r.kind, r.value), 0) + 1
-    # A format of very few values may have no free one left; its surrogates stay distinct from the value itself where possible.
-    return again
+def resolve(values: DataFrame, key: bytes) -> DataFrame:
+    """kind, value, made of the values whose surrogate by permutation is a value of the corpus or another's surrogate.
 
+    values: distinct (kind, value), written.  Nothing is collected but whether any are left.
+    """
 
-def replace_pii(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
+    @F.pandas_udf("struct<format:string,made:string>")
+    def make(kind: pd.Series, value: pd.Series) -> pd.DataFrame:
+        made = [surrogate(k, v, key) for k, v in zip(kind, value, strict=True)]
+        formats = [_SEP.join([mode, *each]) for mode, each, _ in (layout(k, v) for k, v in zip(kind, value, strict=True))]
+        return pd.DataFrame({"format": formats, "made": made}, dtype=object)
+
+    schema = "kind string, value string, made string"
+    every = stash(values.withColumn("x", make("kind", "value")).select("kind", "value", "x.format", "x.made"), "surrogates")
+    real = values.select("kind", F.col("value").alias("made"))
+    clash = every.join(real, ["kind", "made"], "left_semi").select("kind", "value")
+    twice = every.groupBy("kind", "made").agg(F.min("value").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = every.join(twice, ["kind", "made"]).where("value <> first").select("kind", "value")
+    todo = stash(every.join(clash.union(later).dropDuplicates(), ["kind", "value"], "left_semi").select("kind", "value", "format", F.lit(0).cast("long").alias("tried")), "colliding")
+    done = values.sparkSession.createDataFrame([], schema)
+    taken = real.union(every.join(todo, ["kind", "value"], "left_anti").select("kind", "made"))
+    while todo.take(1):
+        need = todo.groupBy("kind", "format").agg(F.max("tried").alias("tried"), F.count(F.lit(1)).alias("n"))
+
+        def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for kind, form, tried, n in zip(pdf["kind"], pdf["format"], pdf["tried"], pdf["n"], strict=True):
+                    last = min(room(form.split(_SEP)[1:]), 1 << 60, max(4 * int(n) + 64, 8 * int(tried)))
+                    starts = list(range(int(tried), last, GROUP))
+                    for k in range(0, len(starts), 1000):
+                        yield pd.DataFrame({"kind": kind, "format": form, "start": starts[k : k + 1000], "end": [min(x + GROUP, last) for x in starts[k : k + 1000]]})
+
+        def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for kind, form, start, end in zip(pdf["kind"], pdf["format"], pdf["start"], pdf["end"], strict=True):
+                    mode, *each = form.split(_SEP)
+                    yield pd.DataFrame({"kind": kind, "format": form, "n": range(start, end), "made": [nth(mode, each, n, key, "free") for n in range(start, end)]})
+
+        spans = need.mapInPandas(groups, "kind string, format string, start long, end long").repartition("format", "start")
+        free = spans.mapInPandas(candidates, "kind string, format string, n long, made string").join(taken, ["kind", "made"], "left_anti")
+        free = stash(free.groupBy("kind", "made").agg(F.min(F.struct("format", "n")).alias("x")).select("kind", "made", "x.format", "x.n"), "free")
+        free = _ranked(free, F.floor(F.col("n") / GROUP), ["n"]).select("kind", "format", "rank", "made")
+        ranked = _ranked(todo, F.pmod(F.xxhash64("value"), F.lit(max(1, todo.count() // GROUP))), ["value"])
+        found = stash(ranked.join(free, ["kind", "format", "rank"], "left").select("kind", "value", "format", "tried", "made"), "ranked")
+        got = found.where("made is not null").select("kind", "value", "made")
+        done, taken = done.union(got), taken.union(got.select("kind", "made"))
+
+        @F.pandas_udf("struct<format:string,tried:long>")
+        def further(form: pd.Series, tried: pd.Series, n: pd.Series) -> pd.DataFrame:
+            out = []
+            for f, t, k in zip(form, tried, n, strict=True):
+                mode, *each = f.split(_SEP)
+                last = max(4 * int(k) + 64, 8 * int(t))
+                if last >= room(each):
+                    more = longer(mode, each)
+                    if more is None:
+                        raise ValueError(f"a format of {room(each)} values has no room for surrogates: {mode}")
+                    out.append((_SEP.join([mode, *more]), 0))
+                else:
+                    out.append((f, last))
+            return pd.DataFrame(out, columns=["format", "tried"])
+
+        rest = found.where("made is null").select("kind", "value", "format").join(need, ["kind", "format"])
+        todo = stash(rest.select("kind", "value", further("format", "tried", "n").alias("x")).select("kind", "value", "x.format", "x.tried"), "colliding")
+    return stash(done, "exceptions")
+
+
+def replace_pii(docs: DataFrame, key: bytes, text_col: str = "text", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """docs with surrogates in text_col and the columns n_entities and entities (kind:start:end in the original, comma-joined).
 
-    All other columns pass through, named as they are.  A null text stays null with no entities; an
-    empty one stays empty.  Repeated rows and values get the same surrogates.  Two passes over the
-    texts, which never move; only distinct values are shuffled.
+    All other columns pass through, named as they are; columns of these two names are replaced.  A
+    null text stays null with no entities; an empty one stays empty.  Repeated rows and values get the
+    same surrogates.  The key, 1 to 64 bytes, is a secret of the caller: without it no surrogate can be
+    undone.  Two passes over the texts, which do not move; only distinct values are shuffled.
     """
-    held = Surrogates(key, resolve(stash(entities(docs, text_col), "entities"), key))
+    if not key:
+        raise ValueError("surrogates need a key")
+    exceptions = resolve(stash(entities(docs, text_col), "entities"), key)
+    result = "struct<text:string,n:int,spans:string>"
 
-    @F.pandas_udf("struct<text:string,n:int,spans:string>")
-    def each(texts: pd.Series) -> pd.DataFrame:
-        done = [(t, []) if t is None else held.replace(t) for t in texts]
+    def table(done: list) -> pd.DataFrame:
         spans = [",".join(f"{k}:{s}:{e}" for s, e, k in found) for _, found in done]
-        return pd.DataFrame({"text": pd.Series([t for t, _ in done], dtype=object), "n": [len(found) for _, found in done], "spans": spans})
-
-    out = docs.drop("n_entities", "entities").withColumn("_done", each(F.col(text_col)))
-    out = out.withColumns({text_col: F.col("_done.text"), "n_entities": F.col("_done.n"), "entities": F.col("_done.spans")})
-    return out.drop("_done")
+        return pd.DataFrame({"text": pd.Series([t for t, _ in done], dtype=object), "n": [len(found) for _, found in done], "spans": pd.Series(spans, dtype=object)})
+
+    if exceptions.count() <= max_broadcast:
+        held = {(r.kind, r.value): r.made for r in exceptions.collect()}
+
+        @F.pandas_udf(result)
+        def each(texts: pd.Series) -> pd.DataFrame:
+            return table([(t, []) if t is None else replaced(t, key, held) for t in texts])
+
+        base, done = docs, each(F.col(text_col))
+    else:
+
+        def mentioned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                rows = {(h, *v) for h, t in zip(pdf["hash"], pdf["text"], strict=True) if t for s, e, k in find(t) for v in values_of(k, t[s:e])}
+                yield pd.DataFrame(sorted(rows), columns=["hash", "kind", "value"])
+
+        @F.pandas_udf(result)
+        def by_text(texts: pd.Series, rows: pd.Series) -> pd.DataFrame:
+            maps = ({} if r is None else {(x["kind"], x["value"]): x["made"] for x in r} for r in rows)
+            return table([(t, []) if t is None else replaced(t, key, m) for t, m in zip(texts, maps, strict=True)])
+
+        # Texts are known by a hash; where two share one, both get the exceptions of both, which does no harm.
+        texts = docs.select(F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+        held = texts.mapInPandas(mentioned, "hash long, kind string, value string").dropDuplicates().join(exceptions, ["kind", "value"])
+        hash_name, rows_name = unused(docs, "hash"), unused(docs, "rows")
+        own = held.groupBy(F.col("hash").alias(hash_name)).agg(F.collect_list(F.struct("kind", "value", "made")).alias(rows_name))
+        base = docs.withColumn(hash_name, F.xxhash64(text_col)).join(own, hash_name, "left")
+        done = by_text(F.col(text_col), F.col(rows_name))
+
+    name = unused(base, "done")
+    out = base.withColumn(name, done)
+    kept = [F.col(f"{name}.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_entities", "entities")]
+    return out.select(*kept, F.col(f"{name}.n").alias("n_entities"), F.col(f"{name}.spans").alias("entities"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets as secrets_module
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,12 +27,13 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "class_key")
 
 
-#: The key of surrogates where the session has none in spark.shelfmark.pii.key.
-DEMO_KEY = "shelfmark demonstration key"
+_session_key = secrets_module.token_bytes(32)
 
 
 def pii_key(spark: SparkSession) -> bytes:
-    return spark.conf.get("spark.shelfmark.pii.key", DEMO_KEY).encode().ljust(16, b"\0")[:64]
+    """The key of surrogates: that of spark.shelfmark.pii.key, which keeps them from run to run, else one drawn for this process."""
+    found = spark.conf.get("spark.shelfmark.pii.key", None)
+    return found.encode()[:64] if found else _session_key
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,11 +126,52 @@ def test_op2_surrogates(spark, docs):
     assert same == 0 and pii.replace_pii(empty(docs), b"key").count() == 0
 
 
-def test_op2_distinct():
-    made = pii.Surrogates(b"k")
-    values = [f"+1{n:010d}" for n in range(2000000000, 2000002000)]
-    assert len({made.of("phone", v) for v in values}) == 2000
+def test_op2_permutations():
+    made = {pii.surrogate("phone", f"+1{n:010d}", b"k") for n in range(2000000000, 2000002000)}
+    assert len(made) == 2000 and all(re.fullmatch(r"\+1\d{10}", m) for m in made)
     assert sorted(pii._permute_number(x, 37, b"k") for x in range(37)) == list(range(37))
+    for kind, value in [("card", "4539148803436467"), ("card", "4539148803436468"), ("ip", "10.0.0.1"), ("iban", "DE89370400440532013000"), ("ssn", "123456789"), ("local", "jo.doe+1"), ("name", "müller"), ("name", "παπάς"), ("name", "王"), ("name", "ł")]:
+        got = pii.surrogate(kind, value, b"k")
+        assert len(got) == len(value) or kind == "ip", (value, got)
+        assert kind != "card" or (pii.luhn(got[:-1]) == int(got[-1])) == (pii.luhn(value[:-1]) == int(value[-1]))
+        assert kind != "iban" or pii._valid_iban(got)
+    assert pii.surrogate("name", "anna", b"k") in pii.GIVEN["latin f"] and pii.surrogate("name", "павел", b"k") in pii.GIVEN["cyrillic m"]
+
+
+def test_op2_distinct(spark):
+    """Formats that are nearly full or overfull: no two values share a surrogate and no surrogate is a value."""
+    short = [f"{a}{b}" for a in "BCDFG" for b in "aeiou"] + [f"{a}{b}{c}" for a in "BCDF" for b in "aeiou" for c in "bcdfghjklm"] + [n.capitalize() for n in pii.GIVEN["latin f"]]
+    greek = ["Παπάς", "王明", "Łukasz"]
+    names = [*short, *greek]
+    rows = [(i, f"Dr {w} and later {w} wrote", "d", "h", "r") for i, w in enumerate(names)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, done string, hash string, rows string").repartition(3)
+    assert len({*names}) == len(names)
+    for most in (100_000, 0):
+        out = {r.doc_id: r for r in pii.replace_pii(table, b"key", max_broadcast=most).collect()}
+        assert all(out[0][c] == v for c, v in zip(("done", "hash", "rows"), "dhr", strict=True))
+        made = []
+        for i in range(len(names)):
+            m = re.fullmatch(r"Dr (\S+) and later (\S+) wrote", out[i].text)
+            assert m and m[1] == m[2], out[i].text
+            made.append(m[1])
+        assert len(set(made)) == len(names) and not set(made) & set(names)
+    again = {r.doc_id: r.text for r in pii.replace_pii(table, b"key").collect()}
+    assert again == {i: r.text for i, r in out.items()}
+    other = {r.doc_id: r.text for r in pii.replace_pii(table, b"other").collect()}
+    assert sum(other[i] == again[i] for i in again) < len(names) / 10
+    with pytest.raises(ValueError):
+        pii.replace_pii(table, b"")
+
+
+def test_op2_coreference(spark):
+    texts = ["Mr John Smith called. Smith said MR SMITH, and John's smithy.", "Frau Anna Müller and Mrs Smith", "abc\n@example.com and x.y@example.com", "Señora Müller, z@mail.example.com"]
+    got = [r.text for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), b"key").orderBy("doc_id").collect()]
+    john, smith, s2, s3 = re.fullmatch(r"Mr (\S+) (\S+) called\. (\S+) said MR (\S+), and .*'s smithy\.", got[0]).groups()
+    assert smith == s2 and s3 == smith.upper() and "John" not in got[0] and john.lower() in pii.GIVEN["latin m"]
+    anna, muller, again = re.fullmatch(r"Frau (\S+) (\S+) and Mrs (\S+)", got[1]).groups()
+    assert again == smith and anna.lower() in pii.GIVEN["latin f"] and got[3].startswith(f"Señora {muller},")
+    assert got[2].startswith("abc\n@example.com and ") and "x.y@" not in got[2]
+    assert re.search(r"@(\w+)\.com", got[2][20:])[1] == re.search(r"\.(\w+)\.com", got[3])[1]
 
 
 def tokenizer():
