@@ -1,16 +1,16 @@
-"""Toxicity by compression distance: windows are compressed with a dictionary trained on toxic and one on ordinary text.
-
-A window is one word, written behind a lead that both dictionaries hold (a few bytes alone are never
-compressed).  Both dictionaries end alike, and the toxic one has the toxic material besides, so
-ordinary words come out equally long and a word with a toxic stem comes out shorter with the toxic
-dictionary.  A window is a hit when it is shorter by a calibrated number of bytes; the rates of
-toxic documents by number of hits, made monotone, are the scores.
+"""Toxicity by compression distance: windows of text are compressed with a dictionary trained on toxic and one on ordinary text.
+
+The ordinary dictionary is trained on windows of ordinary documents.  The toxic one is that dictionary
+and, besides, passages of toxic documents: those under byte n-grams that far more toxic than ordinary documents have.
+(Without that contrast both dictionaries fill with the same common syllables; see the README for figures.)
+Every window of every text is compressed with both; one that comes out shorter with
+the toxic dictionary by a calibrated number of bytes is a hit.  The share of hits among a document's windows
+becomes a score by rates of toxic documents, made monotone.  The length of a window, the bytes of
+a hit and the rates are calibrated on labelled documents that the dictionaries have not seen.
 """
 
 from __future__ import annotations
 
-import random
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,22 +21,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.classifier import isotonic
-
-#: Labelled documents of each class that the dictionaries are trained on, at most: those whose id has the smallest hash.
-MAX_TRAIN = 4000
-#: Bytes of the ordinary and of the toxic dictionary, of the lead, of a stem.
-ORDINARY, TOXIC, LEAD, STEM = 8000, 3000, 32, 5
-#: A stem is toxic if so many times likelier in toxic documents, and in at least this share of them.
+from shelfmark.llm.hashing import mix, ngrams, word_hashes
+
+#: The sample of labelled documents: at most so many of each class, those whose id has the smallest hash, of at most so many characters.
+MAX_TRAIN, MAX_CHARS = 2000, 100_000
+#: Of each FOLDS groups of documents one calibrates and the others train.
+FOLDS = 4
+#: Bytes of the ordinary dictionary, of the toxic passages, of the lead that both share at the end, of an n-gram.
+ORDINARY, TOXIC, LEAD, GRAM = 8000, 3000, 32, 6
+#: An n-gram counts as toxic if so many times likelier in toxic documents, and if this share of their groups, three at least, have it.
 LIFT, SHARE = 20.0, 0.01
-#: Hits are counted up to here.
-MOST_HITS = 6
-#: Words whose difference a worker remembers; the memory is emptied when it is full.
-MEMORY = 400_000
+#: Words of a window and bytes of a hit that the calibration chooses from.
+WINDOWS, LEAST = (2, 3, 4), range(2, 9)
+
+
+def normal(text: str | None) -> bytes:
+    """Lower-case words between single spaces."""
+    return b" " + b" ".join((text or "").lower().encode("utf-8", "surrogatepass").split()) + b" "
 
 
-def words_of(text: str | None) -> set[bytes]:
-    """Distinct words of a text, lower-cased."""
-    return set((text or "").lower().encode("utf-8", "surrogatepass").split())
+def windows(text: bytes, words: int) -> Iterator[bytes]:
+    """The windows of so many words that a normal text is made of, in a row."""
+    each = text.split()
+    return (b" " + b" ".join(each[i : i + words]) + b" " for i in range(0, len(each), words))
 
 
 class Distance:
@@ -45,52 +52,94 @@ class Distance:
     def __init__(self, toxic: bytes, ordinary: bytes):
         import zstandard as z
 
-        self.lead = ordinary[-LEAD:]
+        self.end = ordinary[-LEAD:][:16]  # the last bytes of a window are never searched
         options = dict(strategy=z.STRATEGY_BTULTRA, min_match=3, window_log=17, hash_log=15, chain_log=16, search_log=6, target_length=32)
         parameters = z.ZstdCompressionParameters(write_checksum=0, write_content_size=0, write_dict_id=0, **options)
 
-        def compressor(content: bytes):
+        def compress(content: bytes):
             held = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(compression_params=parameters)
-            return z.ZstdCompressor(dict_data=held, compression_params=parameters)
+            return z.ZstdCompressor(dict_data=held, compression_params=parameters).compress
 
-        self.toxic, self.ordinary = compressor(ordinary[:-LEAD] + toxic + self.lead), compressor(ordinary)
-        self.known: dict[bytes, int] = {}
+        self.toxic, self.ordinary = compress(ordinary[:-LEAD] + toxic + ordinary[-LEAD:]), compress(ordinary)
 
-    def __call__(self, word: bytes) -> int:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= MEMORY:
-                self.known.clear()
-            window = self.lead + b" " + word + b" " + self.lead[:16]  # the last bytes of a window are never searched
-            found = len(self.ordinary.compress(window)) - len(self.toxic.compress(window))
-            if len(word) <= 64:
-                self.known[word] = found
-        return found
+    def __call__(self, window: bytes) -> int:
+        whole = window + self.end
+        return len(self.ordinary(whole)) - len(self.toxic(whole))
 
 
 @lru_cache(maxsize=2)
 def _distance(toxic: bytes, ordinary: bytes) -> Distance:
-    """The compressors of this Python worker, whose memory of words outlives a task."""
+    """The compressors of this Python worker, which outlive a task."""
     return Distance(toxic, ordinary)
 
 
 class Model:
-    """Two dictionaries, the least saving of a hit and the score for each number of hits: about 12 kB."""
+    """Two dictionaries, words of a window, bytes of a hit and the score by the share of hits: about 12 kB."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, least: int, rates: list[float]):
-        self.toxic, self.ordinary, self.least, self.rates = toxic, ordinary, least, rates
+    def __init__(self, toxic: bytes, ordinary: bytes, words: int, least: int, edges: np.ndarray, rates: np.ndarray):
+        self.toxic, self.ordinary, self.words, self.least, self.edges, self.rates = toxic, ordinary, words, least, edges, rates
 
     def scorer(self):
         distance = _distance(self.toxic, self.ordinary)
 
         def score(text: str | None) -> float:
-            hits = sum(distance(w) >= self.least for w in words_of(text))
-            return self.rates[min(hits, MOST_HITS)]
+            n = hits = 0
+            for w in windows(normal(text), self.words):
+                n += 1
+                hits += distance(w) >= self.least
+            return float(self.rates[np.searchsorted(self.edges, hits / max(1, n), side="right") - 1])
 
         return score
 
 
+def grams(text: bytes) -> np.ndarray:
+    """Every run of GRAM bytes, as a number."""
+    raw = np.frombuffer(text, np.uint8).astype(np.uint64)
+    out = np.zeros(max(0, len(raw) - GRAM + 1), np.uint64)
+    for k in range(GRAM if len(out) else 0):
+        out |= raw[k : k + len(out)] << np.uint64(8 * k)
+    return out
+
+
+def _group(text: bytes) -> int:
+    """One number for copies and near copies, mostly: the smallest hash of a run of four words."""
+    (words,) = word_hashes([text.decode("utf-8", "surrogatepass")])
+    runs = ngrams(words, min(4, len(words))) if len(words) else words
+    return int(runs.min()) if len(runs) else 0
+
+
+def _holders(texts: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct n-grams, how many groups have each, and the number of groups; texts: (text, group)."""
+    by_group = defaultdict(list)
+    for text, group in texts:
+        by_group[group].append(np.unique(grams(text)))
+    each = [np.unique(np.concatenate(held)) for held in by_group.values()]
+    return *np.unique(np.concatenate(each), return_counts=True), len(each)
+
+
+def toxic_passages(toxic: list[tuple[bytes, int]], ordinary: list[tuple[bytes, int]], size: int) -> bytes:
+    """Words of toxic texts under toxic n-grams, those in the most texts last, up to a size."""
+    found, n, n_toxic = _holders(toxic)
+    others, m, n_ordinary = _holders(ordinary)
+    at = np.minimum(np.searchsorted(others, found), len(others) - 1)
+    lift = (n / n_toxic) / ((np.where(others[at] == found, m[at], 0) + 0.5) / n_ordinary)
+    inner = np.zeros(len(found), bool)  # two words side by side are chance
+    for k in range(1, GRAM - 1):
+        inner |= (found >> np.uint64(8 * k)) & np.uint64(255) == np.uint64(0x20)
+    good = found[(n >= max(3, SHARE * n_toxic)) & (lift >= LIFT) & ~inner]
+    passages = defaultdict(set)
+    for text, group in toxic if len(good) else ():
+        g = grams(text)
+        for p in np.flatnonzero(good[np.minimum(np.searchsorted(good, g), len(good) - 1)] == g):
+            passages[text[text.rfind(b" ", 0, p + 1) : text.find(b" ", p + GRAM - 1) + 1]].add(group)
+    out = b""
+    for passage, groups in sorted(passages.items(), key=lambda x: (-len(x[1]), x[0])):
+        if len(groups) >= 3 and passage not in out and len(out) + len(passage) <= size:
+            out = passage + out
+    return out
+
+
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     """The content of a trained dictionary; the samples themselves if they are too few to train on."""
     import zstandard as z
@@ -102,69 +151,60 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
     return content[-size:]
 
 
-def train(rows: list[tuple[set[bytes], int]]) -> Model | None:
-    """Trains on (distinct words, 0 or 1) of documents; None if a class is missing.
+def train(rows: list[tuple[str | None, int]]) -> Model | None:
+    """Trains on (text, 0 or 1) of documents; None if a class is missing.
 
-    Stems are counted once for each group of documents with the same smallest hash of a stem, so
-    that copies and near copies do not pass for evidence.
+    Copies and near copies count once, so that they do not pass for evidence, and are in one fold.
     """
-    groups: tuple[set[int], set[int]] = (set(), set())
-    holders: tuple[dict, dict] = (defaultdict(set), defaultdict(set))
-    uses: tuple[Counter, Counter] = (Counter(), Counter())
-    for words, label in rows:
-        stems = {w[:STEM] for w in words if len(w) >= STEM - 1}
-        if stems:
-            key = min(map(zlib.crc32, stems))
-            groups[label].add(key)
-            for s in stems:
-                holders[label][s].add(key)
-            uses[label].update(words)
-    n_ordinary, n_toxic = map(len, groups)
-    if not n_ordinary or not n_toxic:
+    texts = [(t := normal(text), _group(t), label) for text, label in rows]
+    folds = [mix(np.array([g], np.uint64))[0] % np.uint64(FOLDS) for _, g, _ in texts]
+    held_out = [k for k, f in enumerate(folds) if f == 0]
+    known = [k for k, f in enumerate(folds) if f != 0]
+    if any(len({texts[k][2] for k in some}) < 2 for some in (held_out, known)):  # too few to hold any out
+        held_out = known = list(range(len(texts)))
+    classes = [[texts[k][:2] for k in known if texts[k][2] == label] for label in (0, 1)]
+    if not classes[0] or not classes[1]:
         return None
-
-    def lift(stem: bytes) -> float:
-        return len(holders[1][stem]) / n_toxic / ((len(holders[0].get(stem, ())) + 0.5) / n_ordinary)
-
-    stems = {s for s, held in holders[1].items() if len(held) >= max(3, SHARE * n_toxic) and lift(s) >= LIFT}
-    rng = random.Random(1)
-
-    def samples(counts: Counter, most: int) -> list[bytes]:
-        out = [b" " + w + b" " + w + b" " for w, n in sorted(counts.items()) for _ in range(min(n, most))]
-        rng.shuffle(out)
-        return out[:200_000]
-
-    toxic = _dictionary(samples(Counter({w: n for w, n in uses[1].items() if w[:STEM] in stems}), 20), TOXIC)
-    ordinary = _dictionary(samples(Counter({w: n for w, n in uses[0].items() if n >= 3}) or uses[0], 5), ORDINARY)
+    samples = sorted({w for text, _ in classes[0] for w in windows(text, 8)}, key=hash_of)
+    ordinary = _dictionary(samples, ORDINARY)
     ordinary = b"\x00" * max(0, LEAD - len(ordinary)) + ordinary
+    toxic = toxic_passages(classes[1], classes[0], TOXIC)
     distance = Distance(toxic, ordinary)
-    labels = np.array([label for _, label in rows])
-    saved = [Counter(max(0, distance(w)) for w in words) for words, _ in rows]
-    best: tuple[float, int, list[float]] | None = None
-    for least in range(2, 9):
-        hits = np.array([min(MOST_HITS, sum(n for d, n in c.items() if d >= least)) for c in saved])
-        total = np.bincount(hits, minlength=MOST_HITS + 1) + 0.02
-        rates = isotonic(total, np.bincount(hits, labels, MOST_HITS + 1) + 0.01)
-        p = rates[hits]
-        likelihood = float(np.log(np.where(labels == 1, p, 1 - p)).sum())
-        if best is None or likelihood > best[0]:
-            best = (likelihood, least, rates.tolist())
-    return Model(toxic, ordinary, best[1], best[2])
+    labels = np.array([texts[k][2] for k in held_out])
+    best: tuple[float, Model] | None = None
+    for words in WINDOWS:
+        saved = [Counter(map(distance, windows(texts[k][0], words))) for k in held_out]
+        total = np.array([max(1, c.total()) for c in saved])
+        for least in LEAST:
+            share = np.array([sum(n for d, n in c.items() if d >= least) for c in saved]) / total
+            edges, at = np.unique(np.append(0.0, share), return_inverse=True)
+            n = np.bincount(at[1:], minlength=len(edges)) + 0.02
+            rates = isotonic(n, np.bincount(at[1:], labels, len(edges)) + 0.01)
+            p = rates[at[1:]]
+            likelihood = float(np.log(np.where(labels == 1, p, 1 - p)).sum())
+            if best is None or likelihood > best[0]:
+                best = (likelihood, Model(toxic, ordinary, words, least, edges, rates))
+    return best[1]
+
+
+def hash_of(window: bytes) -> tuple[int, bytes]:
+    """An order that is the same in every run and mixes texts."""
+    import zlib
+
+    return zlib.crc32(window), window
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = MAX_TRAIN) -> Model | None:
-    """Trains on at most bound labelled documents of each class; labels: doc_id, label.  Their distinct words reach the driver."""
-    known = labels.where("label is not null and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label")).dropDuplicates(["doc_id"])
+    """Trains on at most bound labelled documents of each class; labels: doc_id, label.  Their texts reach the driver.
+
+    A document that is labelled both ways counts as toxic.
+    """
+    known = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
     some = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound) for k in (0, 1)]
     chosen = F.broadcast(some[0].unionByName(some[1]))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id")
-
-    @F.pandas_udf("binary")
-    def distinct(texts: pd.Series) -> pd.Series:
-        return pd.Series([b" ".join(sorted(words_of(t))) for t in texts], dtype=object)
-
-    rows = texts.select("doc_id", "label", distinct("text").alias("words")).collect()
-    return train([(set(bytes(r.words).split()), r.label) for r in sorted(rows, key=lambda r: (r.doc_id, r.words))])
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.coalesce(F.length("text"), F.lit(0)) <= MAX_CHARS)
+    rows = texts.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
+    return train([(r.text, r.label) for r in sorted(rows, key=lambda r: r.doc_id)])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = MAX_TRAIN) -> DataFrame:
