@@ -290,17 +290,79 @@ ITEM = "If a train leaves Paris at 10 km per hour and drives for 3 hours with 10
 
 
 def test_op6_templates(spark, docs):
-    items = spark.createDataFrame([(1, ITEM), (2, None), (3, "too short"), (1, ITEM)], "item_id long, text string")
+    dense = "first add 10 apples then take 10 pears away and give 10 plums more to each of us"
+    items = spark.createDataFrame([(1, ITEM), (2, None), (3, "too short"), (1, ITEM), (4, dense)], "item_id long, text string")
     other = ITEM.replace("10", "25").replace("3 hours", "7 miles").replace("Paris", "Berlin")
     mixed = ITEM.replace("at 10", "at 25").replace("Paris", "Rome").replace("with 10 cars", "with 26 cars")
     rows = [(0, prose(30) + " " + ITEM), (1, f"Well, {other}! {prose(20)}"), (2, mixed), (3, prose(60)), (4, None), (5, ""), (None, ITEM), (0, prose(30, random.Random(1)))]
+    rows += [(6, dense.replace("10", "55")), (7, "first add 10 apples then take 20 pears away and give 30 plums more")]
     table = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, item_id string, items string")
     got = [(r.doc_id, r.contaminated, r.n_items) for r in decontaminate.decontaminate(table, items).collect()]
-    assert sorted(got, key=repr) == sorted([(0, True, 1), (1, True, 1), (2, False, 0), (3, False, 0), (4, False, 0), (5, False, 0), (None, True, 1), (0, False, 0)], key=repr)
+    assert sorted(got, key=repr) == sorted([# document 2 has other values from some place on, but a long consistent run before it
+        (0, True, 1), (1, True, 1), (2, True, 1), (3, False, 0), (4, False, 0), (5, False, 0), (None, True, 1), (0, False, 0), (6, True, 1), (7, False, 0)], key=repr)
     assert decontaminate.decontaminate(docs, items.limit(0)).where("contaminated").count() == 0
     assert decontaminate.decontaminate(empty(docs), items).count() == 0
     one = decontaminate.decontaminate(table, items, max_broadcast=0).where("contaminated").count()
-    assert one == 3
+    assert one == 5
+
+
+def test_op6_slots_and_short_items(spark):
+    comma = "In Paris, Anna drives 10 km and, as Paris is far, 10 more with her 4 old friends from the north coast"
+    items = [(1, ITEM), (2, comma), (3, "what is the boiling point of pure water"), (4, "1 2 3 5 7 11 13 17 19"), (5, "yes"), (5, "who wrote this"), (6, "...")]
+    long_tail = ITEM + " " + prose(5) + " and then 10 horses drink 3 litres from 10 cups in the yard by 10 in the morning or so"
+    cases = {
+        0: (comma.replace(",", ""), "2"), 1: (comma.replace("10", "25").replace("4", "25"), "2"), 2: (prose(9) + " What is the boiling point of pure water? " + prose(9), "3"),
+        3: ("x 1, 2, 3, 5, 7, 11, 13, 17, 19 y", "4"), 4: ("x 1 2 3 5 7 11 13 17 18 y", ""), 5: ("yes " + prose(10), ""), 6: (" Yes. ", "5"), 7: ("Who wrote this?", "5"), 8: ("who wrote this book", ""),
+        9: (ITEM.replace("at 10", "at 77") + " " + prose(5), "1"), 10: (long_tail.replace("at 10", "at 12").replace("with 10", "with 12"), "1"),
+    }
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    table = spark.createDataFrame([(i, t, "h", "b") for i, (t, _) in cases.items()], "doc_id long, text string, text_hash string, item string")
+    for most in (1_000_000, 0):
+        got = {r.doc_id: r for r in decontaminate.decontaminate(table, benchmark, max_broadcast=most).collect()}
+        assert {i: got[i]["items"] for i in cases} == {i: want for i, (_, want) in cases.items()}
+        assert got[0].text_hash == "h" and got[0].item == "b" and got[0].contaminated and not got[4].contaminated
+
+
+def test_op6_brute_force(spark):
+    """Windows, diagonals and runs against plain loops over the templates that the operator makes."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(21)
+    pool = ["Paris", "Rome", "10", "3", "km", "and", *VOCABULARY[:14]]
+    items = [(i, " ".join(rng.choice(pool) for _ in range(rng.randint(9, 16)))) for i in range(30)]
+    texts = []
+    for i in range(120):
+        w = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = rng.choice(pool)
+        texts.append((i, prose(rng.randint(0, 5), rng) + " " + " ".join(w)))
+    benchmark, table = (spark.createDataFrame(x, f"{n} long, text string") for x, n in ((items, "item_id"), (texts, "doc_id")))
+    made = lambda df: {r[0]: (r.t, r.r) for r in df.select(df.columns[0], decontaminate.template(F.col("text")).alias("t"), decontaminate.raw_words(F.col("text")).alias("r")).collect()}
+    of_items, of_texts = made(benchmark), made(table)
+    marks = {"0", "1", "2"}
+    want = {}
+    for d, (dt, dr) in of_texts.items():
+        for i, (t, r) in of_items.items():
+            ats = [a for a in range(len(t) - 7) if sum(x not in marks for x in t[a : a + 8]) >= 5]
+            for shift in range(-len(t), len(dt)):
+                run = best = 0
+                held = {}
+                for a in ats:
+                    if a + shift < 0 or dt[a + shift : a + shift + 8] != t[a : a + 8]:
+                        continue
+                    pairs = {(r[j], dr[j + shift]) for j in range(a, a + 8) if t[j] in marks}
+                    if len({p for p, _ in pairs}) < len(pairs):
+                        held, run = {}, 0
+                    elif any(held.get(p, q) != q for p, q in pairs):
+                        held, run = dict(pairs), 1
+                    else:
+                        held, run = held | dict(pairs), run + 1
+                    best = max(best, run)
+                if ats and best >= min(3, len(ats)):
+                    want.setdefault(d, set()).add(i)
+    got = {r.doc_id: set(map(int, r["items"].split(","))) for r in decontaminate.decontaminate(table, benchmark).where("contaminated").collect()}
+    whole = {i for i, (t, _) in of_items.items() if not any(sum(x not in marks for x in t[a : a + 8]) >= 5 for a in range(len(t) - 7))}
+    assert {d: s - whole for d, s in got.items() if s - whole} == want and len(want) > 30
 
 
 def measures(t):
