@@ -32,7 +32,7 @@ ORDINARY, TOXIC, LEAD, GRAM = 8000, 3000, 32, 6
 #: An n-gram counts as toxic if so many times likelier in toxic documents, and if this share of their groups, three at least, have it.
 LIFT, SHARE = 20.0, 0.01
 #: Words of a window and bytes of a hit that the calibration chooses from.
-WINDOWS, LEAST = (2, 3, 4), range(2, 9)
+WINDOWS, LEAST = (4, 5, 6), range(2, 9)
 
 
 def normal(text: str | None) -> bytes:
@@ -53,7 +53,7 @@ class Distance:
         import zstandard as z
 
         self.end = ordinary[-LEAD:][:16]  # the last bytes of a window are never searched
-        options = dict(strategy=z.STRATEGY_BTULTRA, min_match=3, window_log=17, hash_log=15, chain_log=16, search_log=6, target_length=32)
+        options = dict(strategy=z.STRATEGY_LAZY2, min_match=4, window_log=14, hash_log=13, chain_log=13, search_log=5, target_length=16)
         parameters = z.ZstdCompressionParameters(write_checksum=0, write_content_size=0, write_dict_id=0, **options)
 
         def compress(content: bytes):
