@@ -32,7 +32,7 @@ ORDINARY, TOXIC, LEAD, GRAM = 8000, 3000, 32, 6
 #: An n-gram counts as toxic if so many times likelier in toxic documents, and if this share of their groups, three at least, have it.
 LIFT, SHARE = 20.0, 0.01
 #: Words of a window and bytes of a hit that the calibration chooses from.
-WINDOWS, LEAST = (4, 5, 6), range(2, 9)
+WINDOWS, LEAST = (4, 5), range(2, 9)
 
 
 def normal(text: str | None) -> bytes:
