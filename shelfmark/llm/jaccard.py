@@ -19,6 +19,9 @@ Jaccard distance is a metric, and two documents link when it is at most r = 0.2.
    with the next pivot.
 5. The links that are left, a spanning set of all, are joined to components by labels that flow
    and jump in distributed rounds.
+6. All links are counted within components, which are parted by pivots as in 3 where they are large: a class counts
+   its links in the cell of its nearest pivot, its home, where the windows bring all that can link to it, so each is
+   counted once.
 """
 
 from __future__ import annotations
@@ -38,7 +41,8 @@ from shelfmark.llm.hashing import mix, shingle_set, word_hashes
 SHINGLE, SIMILARITY = 5, 80
 #: Cells of the counting sketch that tells frequent shingles (one byte each in a task, one bit when sent to executors) and bits of the candidates' filter.
 CELLS, FILTER_BITS = 1 << 22, 1 << 24
-SLICES = 64
+#: Slices of the sketch and of the filter; groups of tasks whose sketches are summed first.
+SLICES, SHARDS = 64, 256
 #: A region with more members or shingles is parted again; so often; with so many pivots.
 MAX_MEMBERS, MAX_SHINGLES, DEPTH, PIVOTS = 2000, 4_000_000, 2, 16
 #: Buckets of the counts that bound a distance from below, and members of a region that are compared by them in one task.
@@ -96,13 +100,24 @@ def frequent(sketch: DataFrame, total: int, cells: int) -> bytes:
     mean = total / cells
     least = mean + 4 * mean**0.5 + 16
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+    def total_of(blobs: pd.Series, kind: type) -> np.ndarray:
         count = np.zeros(cells // SLICES, np.int64)
-        for blob in pdf["cells"]:
-            count += np.frombuffer(blob, np.uint8)
+        for blob in blobs:
+            count += np.frombuffer(blob, kind)
+        return count
+
+    def some(pdf: pd.DataFrame) -> pd.DataFrame:  # beyond 32 bits a cell is frequent anyway
+        count = np.minimum(total_of(pdf["cells"], np.uint8), 2**32 - 1).astype(np.uint32)
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "cells": [count.tobytes()]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        count = total_of(pdf["cells"], np.uint32)
         return pd.DataFrame({"part": pdf["part"].iloc[:1], "bits": [np.packbits(count > least, bitorder="little").tobytes()]})
 
-    rows = sketch.groupBy("part").applyInPandas(add, "part int, bits binary").collect()
+    # Summed in two steps, so that no group holds the sketches of all tasks.
+    shard = F.pmod(F.spark_partition_id(), F.lit(SHARDS))
+    sums = sketch.groupBy("part", shard.alias("shard")).applyInPandas(some, "part int, cells binary")
+    rows = sums.groupBy("part").applyInPandas(add, "part int, bits binary").collect()
     found = {r.part: bytes(r.bits) for r in rows}
     blank = bytes(cells // SLICES // 8)
     return b"".join(found.get(k, blank) for k in range(SLICES))
@@ -369,6 +384,106 @@ def _blocks(rows: DataFrame, most: int) -> DataFrame:
     return rows.select("region", "key", "shingles", F.explode(each).alias("pair")).select(F.concat_ws("#", "region", "pair").alias("region"), "key", "shingles")
 
 
+def link_sums(sets: list[np.ndarray], weight: np.ndarray, home: np.ndarray, side: np.ndarray, similarity: int) -> np.ndarray:
+    """For each member that is at home the weight of the others that it links with; of other sides only, where it has one.
+
+    Shingles that the same members hold are one column with a number, so a family of near copies has few columns.
+    """
+    m = len(sets)
+    size = np.array([len(x) for x in sets], np.int64)
+    token = np.concatenate(sets)
+    member = np.repeat(np.arange(m), size)
+    order = np.argsort(token, kind="stable")
+    token, member = token[order], member[order]
+    start = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    mark = mix(np.arange(1, m + 1, dtype=np.uint64))
+    _, first, times = np.unique(np.add.reduceat(mark[member], start), return_index=True, return_counts=True)
+    end = np.append(start[1:], len(token))
+    shared = end[first] - start[first] > 1
+    first, times = first[shared], times[shared]
+    inter = np.zeros((m, m), np.float32)
+    width = max(1, 4_000_000 // m)
+    for k in range(0, len(first), width):
+        some = first[k : k + width]
+        held = np.zeros((m, len(some)), np.float32)
+        length = end[some] - start[some]
+        column = np.repeat(np.arange(len(some)), length)
+        held[member[np.arange(length.sum()) + np.repeat(start[some] - np.append(0, np.cumsum(length)[:-1]), length)], column] = 1
+        inter += (held * times[k : k + width].astype(np.float32)) @ held.T
+    both = linked(np.rint(inter).astype(np.int64), size[:, None], size[None, :], similarity)
+    np.fill_diagonal(both, False)
+    both &= (side[:, None] != side[None, :]) | (side[:, None] < 0)
+    return np.where(home, both @ weight, 0)
+
+
+def _homes(r: float):
+    """The cells of a set: its home and where it visits, for counts of links."""
+
+    @F.pandas_udf("array<struct<cell:int,home:boolean>>")
+    def cells(shingles: pd.Series, pivots: pd.Series) -> pd.Series:
+        out = []
+        for s, ps in zip(shingles, pivots, strict=True):
+            a = np.frombuffer(s, np.uint64)
+            d = []
+            for p in ps:
+                b = np.frombuffer(p, np.uint64)
+                inter = len(np.intersect1d(a, b, assume_unique=True))
+                d.append(1 - inter / (len(a) + len(b) - inter))
+            least = min(d)
+            mine = -1 if least >= FAR else d.index(least)
+            near = [j for j, x in enumerate(d) if x <= least + 2 * r + 1e-9 and x < FAR + r + 1e-9]
+            out.append([{"cell": j, "home": j == mine} for j in ([*near, -1] if least >= FAR - r - 1e-9 else near)])
+        return pd.Series(out, dtype=object)
+
+    return cells
+
+
+def count_links(rows: DataFrame, similarity: int, depth: int = DEPTH, pivots: int = PIVOTS) -> DataFrame:
+    """key, n: the documents of other classes that each class links with.  rows: region string, key, copies, shingles."""
+    small: list[DataFrame] = []
+    rows = rows.select("region", "key", "copies", F.lit(True).alias("home"), F.lit(-1).alias("side"), "shingles")
+    for level in range(depth + 1):
+        weight = rows.groupBy("region").agg(F.count(F.lit(1)).alias("m"), F.sum(F.length("shingles") / 8).alias("w"))
+        large = stash(weight.where((F.col("m") > MAX_MEMBERS) | (F.col("w") > MAX_SHINGLES)), "large")
+        if not large.take(1):
+            small.append(rows)
+            break
+        tagged = rows.join(large, "region", "left")
+        small.append(tagged.where("m is null").drop("m", "w"))
+        tagged = tagged.where("m is not null")
+        dense = None
+        if level < depth:
+            salt = F.pmod(F.xxhash64("key", F.lit(level)), F.lit(pivots))
+            chosen = tagged.groupBy("region", salt.alias("salt")).agg(F.min(F.struct(F.xxhash64("key", F.lit(-level - 1)), "shingles")).alias("x"))
+            chosen = chosen.groupBy("region").agg(F.collect_list("x.shingles").alias("pivots"))
+            cells = _homes(1 - similarity / 100)
+            parted = stash(tagged.join(chosen, "region").withColumn("cells", cells("shingles", "pivots")).drop("pivots"), "cells")
+            # Members that are all near each other are in every cell: pivots don't part them, blocks do.
+            dense = parted.groupBy("region").agg((F.sum(F.size("cells")) > 4 * F.count(F.lit(1))).alias("dense"))
+            parted = parted.join(dense, "region")
+            apart = parted.where("not dense").select("region", "key", "copies", "home", "side", "shingles", F.explode("cells").alias("c"))
+            rows = apart.select(F.concat_ws("/", "region", "c.cell").alias("region"), "key", "copies", (F.col("home") & F.col("c.home")).alias("home"), "side", "shingles")
+            rows = stash(rows, "cells")
+            tagged = parted.where("dense").drop("cells", "dense")
+        n = F.greatest(F.lit(1), F.ceil(F.col("m") / (MAX_MEMBERS / 2)), F.ceil(F.col("w") / (MAX_SHINGLES / 2))).cast("int")
+        mine = F.pmod(F.xxhash64("key", F.lit("block")), n).cast("int")
+        pair = lambda j: F.struct(F.concat_ws("+", F.least(j, mine), F.greatest(j, mine)).alias("pair"), F.when(j == mine, -1).otherwise(mine).alias("side"))
+        blocks = tagged.withColumn("x", F.explode(F.transform(F.sequence(F.lit(0), n - 1), pair)))
+        small.append(blocks.select(F.concat_ws("#", "region", "x.pair").alias("region"), "key", "copies", "home", "x.side", "shingles"))
+        if level == depth:
+            break
+    every = small[0]
+    for x in small[1:]:
+        every = every.unionByName(x)
+
+    def counted(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        n = link_sums(sets, pdf["copies"].to_numpy(np.int64), pdf["home"].to_numpy(bool), pdf["side"].to_numpy(np.int64), similarity)
+        return pd.DataFrame({"key": pdf["key"], "n": n})[n > 0]
+
+    return every.groupBy("region").applyInPandas(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(key, label): the smallest key reachable, for every key of edges (key, root)."""
     both = edges.where("key <> root").select("key", "root")
@@ -388,10 +503,11 @@ def components(edges: DataFrame) -> DataFrame:
 def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, similarity: int = SIMILARITY, cells: int = CELLS) -> tuple[DataFrame, DataFrame]:
     """Joins near documents: (documents, links).
 
-    documents: doc_id, n_shingles, component_id (smallest id reachable by links, itself included), class_key, for every row.
-    links: (key, root), a spanning set of the links between classes.  A text without words has no
-    shingles and its own id as component; fewer words than n are one shingle.  Null ids take no part in
-    the smallest id; repeated rows are copies of each other; other columns are not read.
+    documents: doc_id, n_shingles, component_id (smallest id reachable by links, itself included), class_id
+    (smallest id of the same set of shingles), class_key, n_links (rows with an id, other than itself, that it links with),
+    for every row.  links: (key, root), classes of one component, enough to connect it.  A text without words
+    has no shingles, no links and its own id as component and class; fewer words than n are one shingle.  Null ids
+    are no smallest id and nobody's link; repeated rows are copies of each other; other columns are not read.
     Texts are read three times and never move.
     """
     spark = docs.sparkSession
@@ -400,7 +516,7 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = first.where("part = -1").select("doc_id", "n", "key")
     total = first.where("part = -1").agg(F.sum("n")).first()[0] or 0
     hot = frequent(first.where("part >= 0").select("part", "cells"), total, cells)
-    classes = stash(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = stash(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("doc_id").alias("copies")), "classes")
     named = classes.where("rep is not null").select("key", F.col("rep").alias("doc_id"))
     lead = prefixes(base, n, similarity, hot, cells).join(named, ["doc_id", "key"], "left_semi")
     lead = stash(lead.select("key", "lead", "counts"), "leading")
@@ -428,12 +544,17 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     links = stash(held.groupBy("region").applyInPandas(solved, "key long, root long").distinct(), "links")
     labels = components(links)
-    labelled = classes.join(labels, "key").select("key", "label", "rep")
+    labels = stash(labels, "labelled")
+    labelled = classes.join(labels, "key").select("key", "label", "rep", "copies")
     least = labelled.groupBy("label").agg(F.min("rep").alias("component"))
-    of_class = classes.join(labelled.select("key", "label").join(least, "label").select("key", "component"), "key", "left")
-    of_class = stash(of_class.select("key", F.coalesce("component", "rep").alias("component_id")), "components")
-    some = rows.where("n > 0").join(of_class, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("key").alias("class_key"))
-    none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("key").alias("class_key"))
+    members_of = labelled.join(sets, "key").select(F.col("label").cast("string").alias("region"), "key", "copies", "shingles")
+    linked_to = stash(count_links(members_of, similarity), "counted")
+    of_class = classes.join(labelled.select("key", "label").join(least, "label").select("key", "component"), "key", "left").join(linked_to, "key", "left")
+    of_class = stash(of_class.select("key", F.coalesce("component", "rep").alias("component_id"), F.col("rep").alias("class_id"), (F.col("copies") + F.coalesce("n", F.lit(0))).alias("near")), "components")
+    n_links = F.col("near") - F.when(F.col("doc_id").isNotNull(), 1).otherwise(0)
+    some = rows.where("n > 0").join(of_class, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id", F.col("key").alias("class_key"), n_links.alias("n_links"))
+    own = F.col("doc_id")
+    none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), own.alias("class_id"), F.col("key").alias("class_key"), F.lit(0).cast("long").alias("n_links"))
     return some.unionByName(none), links
 
 

@@ -24,7 +24,7 @@ def tokenizer_path(spark: SparkSession) -> str:
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = jaccard.join_ngrams(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "class_key")
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 _session_key = secrets_module.token_bytes(32)

@@ -56,6 +56,10 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
+def links(a, b):
+    return bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+
+
 def components(sets):
     root = list(range(len(sets)))
 
@@ -87,27 +91,38 @@ def test_op1_jaccard(docs, clashing, most, monkeypatch):
     rows = found.collect()
     assert len(rows) == len(TEXTS) + 2
     roots = components([shingles(t) for t in TEXTS])
+    classes = [min(j for j, t in enumerate(TEXTS) if shingles(t) == shingles(TEXTS[i])) if shingles(TEXTS[i]) else i for i in range(len(TEXTS))]
     for r in rows:
         if r.doc_id is not None:
             assert (r.n_shingles, r.component_id) == (len(shingles(TEXTS[r.doc_id])), roots[r.doc_id])
+            mine = shingles(TEXTS[r.doc_id])
+            assert (r.class_id, r.n_links) == (classes[r.doc_id], sum(links(mine, shingles(t)) for t in [*TEXTS, TEXTS[3]]) - bool(mine))
     kept = sorted(r.doc_id for r in jaccard.distinct_documents(docs).where("doc_id is not null").collect())
     assert kept == sorted(set(roots))
     assert jaccard.join_ngrams(empty(docs))[0].count() == 0
 
 
-def test_op1_large_region(monkeypatch, spark):
-    monkeypatch.setattr(jaccard, "MAX_MEMBERS", 4)
-    words = [prose(1) for _ in range(200)]
+@pytest.mark.parametrize("most, depth", [(4, 2), (12, 2), (12, 0)])
+def test_op1_large_region(monkeypatch, spark, most, depth):
+    monkeypatch.setattr(jaccard, "MAX_MEMBERS", most)
+    monkeypatch.setattr(jaccard.count_links, "__defaults__", (depth, 4))
+    rng = random.Random(7)
     texts = []
-    for k in range(40):  # a family in which each differs from the last by a few words
-        own = list(words)
-        for j in range(k, k + 6):
-            own[(j * 7) % 200] = f"v{k}"
-        texts.append(" ".join(own))
+    for family in range(2):  # families in which each differs from the last by a few words, and from the far ones by many
+        words = [prose(1, rng) + str(family) for _ in range(200)]
+        for k in range(30):
+            own = list(words)
+            for j in range(max(0, k - 9), k):
+                own[(j * 7) % 200] = f"v{j}"
+            texts.append(" ".join(own))
+    texts += texts[:3]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    roots = components([shingles(t) for t in texts])
-    got = {r.doc_id: r.component_id for r in jaccard.join_ngrams(docs)[0].collect()}
-    assert [got[i] for i in range(40)] == roots
+    sets = [shingles(t) for t in texts]
+    roots = components(sets)
+    got = {r.doc_id: r for r in jaccard.join_ngrams(docs)[0].collect()}
+    assert [got[i].component_id for i in range(len(texts))] == roots
+    want = [sum(links(a, b) for b in sets) - 1 for a in sets]
+    assert [got[i].n_links for i in range(len(texts))] == want and min(want) < 29 < max(want) + 20
 
 
 def test_op2_surrogates(spark, docs):
