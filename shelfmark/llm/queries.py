@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import secrets as secrets_module
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import backoff, classifier, decontaminate, jaccard, packing, pii, quality_rules, secrets, toxicity, urls
-from shelfmark.llm.common import table
+from shelfmark.llm.common import scratch_dir, table
 
 
 def tokenizer_path(spark: SparkSession) -> str:
@@ -50,7 +51,8 @@ def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    ledger = spark.conf.get("spark.shelfmark.ledger", None) or f"{scratch_dir(spark).rstrip('/')}/shelfmark/ledger-{uuid.uuid4().hex}"
+    found, _ = secrets.scan_with_ledger(table(spark, sf_dir, "documents"), ledger)
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_RULES))
     number = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     counts = [number(k) for k in secrets.BASE_RULES]
@@ -122,7 +124,9 @@ parts AS (
   SELECT page_id,
          coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
          coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
-  FROM pages)"""
+  FROM pages),
+canonical AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^(?s:.*)@', ''), ':(80|443)$', ''), '\.$', '') AS listed_host FROM parts)"""
 
 ORACLE_SQL: dict[str, str] = {
     "op10_urls": f"""
@@ -133,8 +137,8 @@ best AS (
   SELECT page_id, host, path,
     (SELECT max(struct_pack(n := length(h || p), rule := h || p, verdict := verdict)) FROM rules
      WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS hit,
-    (SELECT count(*) FROM listed WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, '/')) AS bad
-  FROM parts)
+    (SELECT count(*) FROM listed WHERE listed_host = h OR ends_with(listed_host, '.' || h)) AS bad
+  FROM canonical)
 SELECT page_id, host, path, hit.rule AS rule,
        coalesce(hit.verdict, CASE WHEN bad > 0 THEN 'block' ELSE 'allow' END) AS verdict
 FROM best""",

@@ -37,6 +37,10 @@ GUARDS = {
     "prefixed": r"gh[pousr]_|xox[abprs]-|sk_live_|glpat-",
 }
 RULE_VERSION = "v1"
+#: Findings that are gathered before they are joined to those of a text.
+PART = 128
+#: So many rows and findings are broadcast at most (some 50 MB); more are joined in a shuffle, salted this often.
+MAX_BROADCAST, SALTS = 500_000, 16
 _SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -58,7 +62,12 @@ def find_spans(text: Column, kind: str, pattern: str, group: int, least: int, gu
             one = F.array(F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end")))
             return F.struct(end.alias("at"), F.when(s["c"] >= least, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
 
-        return F.aggregate(steps, start, step, lambda acc: acc["found"])
+        # Appending copies a list, so a part's findings are gathered first: n findings cost n / PART copies of all.
+        none = F.array().cast(_SPAN)
+        parts = F.transform(F.sequence(F.lit(0), F.size(steps), F.lit(PART)), lambda k: F.slice(steps, k + 1, PART))
+        joined = lambda acc, part: F.struct(part["at"].alias("at"), F.concat(acc["found"], part["found"]).alias("found"))
+        one = lambda acc, part: let(F.aggregate(part, F.struct(acc["at"].alias("at"), none.alias("found")), step), lambda p: joined(acc, p))
+        return F.aggregate(parts, start, one, lambda acc: acc["found"])
 
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
@@ -82,6 +91,7 @@ def scan_secrets(
     rule_version: str = RULE_VERSION,
     path_col: str = "doc_id",
     text_col: str = "text",
+    max_broadcast: int = MAX_BROADCAST,
 ) -> tuple[DataFrame, DataFrame]:
     """Findings of every path and the ledger to keep for the next run.
 
@@ -91,7 +101,8 @@ def scan_secrets(
     with what this run has scanned.
 
     Only the smallest path of an unseen blob brings its text to the scan.  The text moves once, in a
-    join by path whose other side is small rows; copies, however many, only move their hash.
+    join by path whose other side is small rows, and not at all where few blobs are unseen; copies,
+    however many, only move their hash, and their findings come to them.
     """
     rules = {**BASE_RULES, **MORE_RULES} if rules is None else rules
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -101,17 +112,41 @@ def scan_secrets(
     if ledger is not None:
         seen = ledger.where(F.col("rule_version") == rule_version)
         unseen = unseen.join(seen, "blob", "left_anti")
+    unseen = stash(unseen.select("blob", "path"), "unseen")
+    few = unseen.count() <= max_broadcast
+    sized = (lambda df: F.broadcast(df)) if few else (lambda df: df.hint("shuffle_hash"))
     # A null path joins nothing, so texts that only such rows have are scanned by their own hash.
-    named = rows.where(F.col("path").isNotNull()).join(unseen.where("path is not null").select("path", F.col("blob").alias("want")).hint("shuffle_hash"), "path")
+    wanted = sized(unseen.where("path is not null").select("path", F.col("blob").alias("want")))
+    named = rows.where(F.col("path").isNotNull()).join(wanted, "path")
     named = named.where(F.sha2("text", 256) == F.col("want")).select(F.col("want").alias("blob"), "text")
     unnamed = rows.where(F.col("path").isNull()).withColumn("blob", F.sha2("text", 256))
-    unnamed = unnamed.join(unseen.where("path is null").select("blob"), "blob", "left_semi").select("blob", "text")
+    unnamed = unnamed.join(sized(unseen.where("path is null").select("blob")), "blob", "left_semi").select("blob", "text")
     fresh = scan(named.unionByName(unnamed), rules).select("blob", F.lit(rule_version).alias("rule_version"), "spans")
     fresh = stash(fresh, "scanned").dropDuplicates(["blob"])
-    known = fresh if ledger is None else fresh.unionByName(ledger)
+    known = fresh if ledger is None else fresh.unionByName(ledger.select(fresh.columns))
     hits = known.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans")
-    found = addressed.join(hits, "blob", "left").select("path", "blob", F.coalesce("spans", F.array().cast(_SPAN)).alias("spans"))
-    return found, known
+    size = hits.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0]
+    if size <= max_broadcast:
+        found = addressed.join(F.broadcast(hits), "blob", "left")
+    else:  # a blob of very many paths is dealt out
+        salted = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        found = addressed.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int")).join(salted, ["blob", "salt"], "left")
+    return found.select("path", "blob", F.coalesce("spans", F.array().cast(_SPAN)).alias("spans")), known
+
+
+def scan_with_ledger(versions: DataFrame, folder: str, **options) -> tuple[DataFrame, DataFrame]:
+    """scan_secrets() with the ledger in a folder, if there is one yet; what is scanned is added to it."""
+    spark = versions.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_SUCCESS")
+    held = None
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        held = spark.read.schema(f"blob string, rule_version string, spans {_SPAN}").parquet(folder)
+        held = held.dropDuplicates(["blob", "rule_version"])
+    found, ledger = scan_secrets(versions, held, **options)
+    found = stash(found, "found")
+    fresh = ledger if held is None else ledger.join(held.select("blob", "rule_version"), ["blob", "rule_version"], "left_anti")
+    fresh.write.mode("append").parquet(folder)
+    return found, spark.read.schema(fresh.schema).parquet(folder)
 
 
 def joined(spans: Column) -> Column:

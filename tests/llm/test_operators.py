@@ -298,7 +298,23 @@ def test_op5_secrets(spark, docs):
     assert again.count() == len(SECRETS) + 4 and kept.count() == ledger.count() + 1
     assert [len(r.spans) for r in again.where("path = 50").collect()] == [1]
     assert secrets.scan_secrets(empty(docs))[0].count() == 0
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_op5_ledger(spark, tmp_path):
+    texts = {i: SECRETS[0] if i % 2 else f"token={i:016d}" for i in range(40)}
+    rows = spark.createDataFrame([(i, t, "b") for i, t in texts.items()], "doc_id long, text string, blob string")
+    folder, held = str(tmp_path / "ledger"), []
+    for n, most in ((20, 500_000), (40, 500_000), (40, 0)):
+        found, ledger = secrets.scan_with_ledger(rows.where(f"doc_id < {n}"), folder, max_broadcast=most)
+        assert {r.path: len(r.spans) for r in found.collect()} == {i: len(base_spans(texts[i]).split(",")) for i in range(n)}
+        held.append(ledger.count())
+    assert held == [11, 21, 21]  # the third run scans nothing
+
+
+def test_op5_many_findings(spark):
+    text = "é token=abcdefghijkl%d " * 3000
+    row = secrets.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"))[0].first()
+    assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in row.spans) == base_spans(text)
 
 
 ITEM = "If a train leaves Paris at 10 km per hour and drives for 3 hours with 10 cars how far does it go today"
@@ -469,12 +485,16 @@ def test_op10_urls(spark, docs):
 
     cases = [
         ("http://www.Example.com/en/7?x", "example.com/en/7", "allow"), ("https://a.com/en/1#t", "com/en/", "block"), ("http://com/en/", "com/en/", "block"), ("http://xcom/en/", None, "allow"),
-        ("http://a.example.net/de/81", "example.net/de/8", "block"), ("http://spam-farm.example.org/x", None, "block"), ("http://spam-farm.example.org", None, "allow"), (None, None, "allow"), ("", None, "allow"),
+        ("http://a.example.net/de/81", "example.net/de/8", "block"), ("http://spam-farm.example.org/x", None, "block"), ("http://spam-farm.example.org", None, "block"), (None, None, "allow"), ("", None, "allow"),
         ("no scheme com/en/", None, "allow"), ("http://a.com?/en/", None, "allow"), ("http://a.com/en/1", "com/en/", "block"),
+        ("http://u:p@www.Spam-Farm.example.org.:80?x=1", None, "block"), ("http://spam-farm.example.org:8080/", None, "allow"), ("http://xspam-farm.example.org/", None, "allow"),
+        ("http://spam-farm.example.com/en/", "com/en/", "block"), ("http://.", None, "allow"), ("http://@", None, "allow"), ("://" + "a." * 2000 + "casino-win.example.net", None, "block"),
     ]
-    rows = spark.createDataFrame([(i, u, "r") for i, (u, _, _) in enumerate(cases)] + [(None, "http://b.com/en/", "r")], "page_id long, url string, rule string")
-    got = {r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(rows, URL_RULES, URL_LIST).collect()}
-    assert [got[i] for i in range(len(cases))] == [(r, v) for _, r, v in cases] and got[None] == ("com/en/", "block")
+    rows = spark.createDataFrame([(i, u, "r", "e") for i, (u, _, _) in enumerate(cases)] + [(None, "http://b.com/en/", "r", "e")], "page_id long, url string, rule string, entry string")
+    table = spark.createDataFrame([(x,) for x in [*URL_LIST, None, URL_LIST[0]]], "entry string")
+    for listed, most in ((URL_LIST, 1_000_000), (table, 1_000_000), (table, 3)):
+        got = {r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(rows, URL_RULES, listed, max_broadcast=most).collect()}
+        assert [got[i] for i in range(len(cases))] == [(r, v) for _, r, v in cases] and got[None] == ("com/en/", "block")
     assert urls.filter_urls(rows, [], []).where("verdict = 'block'").count() == 0
     assert urls.filter_urls(rows.limit(0), URL_RULES, URL_LIST).count() == 0
 
