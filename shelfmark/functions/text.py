@@ -54,7 +54,8 @@ def clean(c: Column) -> Column:
 
 
 def _without(c: Column, pattern: str) -> Column:
-    return F.when(is_blank(c), F.lit("")).otherwise(F.regexp_replace(c, pattern, ""))
+    """Removes a pattern; null and blank become empty.  One reference to the column, so that nested removals don't multiply."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), rf"(?U)\A\s+\z|{pattern}", "")
 
 
 def remove_stems(c: Column) -> Column:
@@ -89,7 +90,7 @@ def full_clean(c: Column) -> Column:
 
 def split_words(c: Column) -> Column:
     """The parts between single non-word characters that are not blank; none for blank."""
-    return F.when(is_blank(c), F.array().cast("array<string>")).otherwise(F.filter(F.split(c, r"(?U)\W"), lambda w: w != ""))
+    return F.filter(F.split(F.coalesce(c, F.lit("")), r"(?U)\W"), lambda w: w != "")
 
 
 def tokens(c: Column, longer_than: int = 1) -> Column:

@@ -1,17 +1,18 @@
-"""Similar books: blocking by name tokens, scoring, symmetric links.
+"""Similar books: blocking by name tokens and near authors, scoring, symmetric links.
 
-The self-join on tokens is the largest step.  A pair is tested inside the join on lengths and on
-author keys, so a pair of one frequent token that differs in its authors never leaves the task that
-made it; the pairs that stay are made distinct before they are scored.  Frequent tokens are salted.
+A pair needs a common name token and two author keys within the border, so both are part of the
+self-join's key.  Near author keys are found first, among distinct keys: of two strings within k edits,
+one of the k + 1 segments of the shorter stands in the longer, moved by k places at most.  A book then goes to every
+key that is near one of its own and meets the books with that key and the same token.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import author_keys, comparable, name_key, name_tokens
-from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER, authors_near, book_score
+from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER, book_score, edit_distance
 from shelfmark.schema import BOOKS
 
 
@@ -32,44 +33,81 @@ def inverted_index(keyed: DataFrame, id_col: str = "Id") -> DataFrame:
 
 def candidates(keyed: DataFrame, id_col: str = "Id") -> DataFrame:
     """Distinct unordered pairs (a, b), a < b, that share a name token."""
-    left = inverted_index(keyed, id_col).withColumnRenamed("id", "a")
-    right = inverted_index(keyed, id_col).withColumnRenamed("id", "b")
-    return left.join(right, "token").where("a < b").select("a", "b").distinct()
+    posting = inverted_index(keyed, id_col)
+    left, right = salted_postings(posting, posting, ["token"])
+    return left.withColumnRenamed("id", "a").join(right.withColumnRenamed("id", "b"), ["token", "salt"]).where("a < b").select("a", "b").distinct()
 
 
-def salted_postings(posting: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a self-join on token, the postings of frequent tokens dealt out.
+def salted_postings(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on keys, the postings (keys and id) of frequent ones dealt out.
 
-    A token of n postings gets n / SALTED salts: the left side has each posting once, under one of
-    them, the right side under all, so no task compares more than SALTED postings with all others.
+    A key of n postings on the left gets n / SALTED salts: the left side has each posting once, under
+    one of them, the right side under all, so no task compares more than SALTED postings with all others.
     """
-    sizes = posting.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / SALTED).cast("int").alias("salts"))
-    sized = posting.join(sizes, "token")
-    left = sized.withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int")).drop("salts")
-    right = sized.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    return left, right
+    sizes = left.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SALTED).cast("int").alias("salts"))
+    dealt = left.join(sizes, keys).withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int")).drop("salts")
+    every = right.join(sizes, keys).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return dealt, every
 
 
-def near_candidates(keyed: DataFrame, edit: float = EDIT_BORDER, id_col: str = "Id") -> DataFrame:
-    """The candidates whose authors pass; the test of authors is symmetric, so a pair is tested once.
+def _edits(longer: Column, border: float) -> Column:
+    """The most edits between two keys of which the longer has so many characters."""
+    return F.floor(longer * F.lit(border) + 1e-9).cast("int")
 
-    Pairs far outnumber postings, so the partitions are set by number and not by the size of what
-    is read, and lengths are tested before any distance.
-    """
-    lengths = F.transform("author_keys", F.length)
-    posting = keyed.select(
-        F.explode("name_tokens").alias("token"), F.col(id_col).alias("id"), "author_keys", F.col("Compared").alias("old"),
-        F.array_min(lengths).alias("least"), F.array_max(lengths).alias("most"),
-    )
+
+def _segment(length: Column, edits: Column, i: Column) -> tuple[Column, Column]:
+    """Start, from 0, and length of a segment of a key."""
+    start, end = (F.floor(k * length / (edits + 1)).cast("int") for k in (i, i + 1))
+    return start, end - start
+
+
+def near_keys(keys: DataFrame, border: float = EDIT_BORDER) -> DataFrame:
+    """(x, y): all pairs of distinct keys (key) within the border, both ways, and each with itself."""
+    sized = keys.where("key <> ''").distinct().withColumn("n", F.length("key"))
+    n, key = F.col("n"), F.col("key")
+    most = F.greatest(n, F.floor(n / F.lit(max(1e-9, 1 - border)) + 1e-9).cast("int"))
+    least = F.greatest(F.lit(1), F.ceil(n * F.lit(1 - border) - 1e-9).cast("int"))
+
+    def own(longer: Column) -> Column:
+        edits = _edits(longer, border)
+
+        def one(i: Column) -> Column:
+            start, size = _segment(n, edits, i)
+            return F.struct(n.alias("a"), longer.alias("b"), i.alias("i"), F.substring(key, start + 1, size).alias("part"))
+
+        return F.transform(F.sequence(F.lit(0), edits), one)
+
+    def held(shorter: Column) -> Column:
+        edits = _edits(n, border)
+
+        def one(i: Column) -> Column:
+            start, size = _segment(shorter, edits, i)
+            places = F.sequence(F.greatest(F.lit(0), start - edits), F.greatest(F.lit(0), F.least(start + edits, n - size)))
+            return F.transform(places, lambda p: F.struct(shorter.alias("a"), n.alias("b"), i.alias("i"), F.substring(key, p + 1, size).alias("part")))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), edits), one))
+
+    short = sized.select(F.col("key").alias("x"), F.explode(F.flatten(F.transform(F.sequence(n, most), own))).alias("s"))
+    long = sized.select(F.col("key").alias("y"), F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(least, n), held)))).alias("s"))
+    met = short.join(long, "s").where("x <> y").select("x", "y").distinct()
+    near = met.where(edit_distance(F.col("x"), F.col("y"), border).isNotNull())
+    same = sized.select(F.col("key").alias("x"), F.col("key").alias("y"))
+    return near.union(near.select("y", "x")).distinct().union(same)
+
+
+def near_candidates(keyed: DataFrame, edit: float = EDIT_BORDER, id_col: str = "Id") -> DataFrame:
+    """The candidates whose authors pass; the test of authors is symmetric, so a pair is tested once."""
+    books = keyed.select(F.col(id_col).alias("id"), F.col("Compared").alias("old"), "name_tokens", F.explode("author_keys").alias("x"))
+    near = near_keys(books.select(F.col("x").alias("key")), edit)
+    right = books.select(F.explode("name_tokens").alias("token"), F.col("x").alias("y"), "id", "old")
+    left = books.join(near, "x").select("id", "old", "name_tokens", "y").distinct().select(F.explode("name_tokens").alias("token"), "y", "id", "old")
     spark = keyed.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    left, right = (side.repartition(parts, "token", "salt") for side in salted_postings(posting))
-    a, b = left.alias("a"), right.alias("b")
-    same = (F.col("a.token") == F.col("b.token")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.id") < F.col("b.id"))
+    dealt, every = (side.repartition(parts, "token", "y", "salt") for side in salted_postings(left, right, ["token", "y"]))
+    a, b = dealt.alias("a"), every.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("token", "y", "salt")]
     fresh = ~(F.col("a.old") & F.col("b.old"))
-    near_lengths = (F.col("a.least") * (1 - edit) <= F.col("b.most") + 1e-9) & (F.col("b.least") * (1 - edit) <= F.col("a.most") + 1e-9)
-    near = authors_near(F.col("a.author_keys"), F.col("b.author_keys"), edit)
-    pairs = a.join(b.hint("shuffle_hash"), same & fresh & near_lengths & near)
+    pairs = a.join(b.hint("shuffle_hash"), [*same, F.col("a.id") < F.col("b.id"), fresh])
     return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 

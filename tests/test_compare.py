@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from shelfmark.operators.similar import similar_edges, similar_maps, with_keys
+from shelfmark.operators.similar import near_keys, similar_edges, similar_maps, with_keys
 from shelfmark.plans.compare import compare
 from shelfmark.schema import as_books
 
@@ -62,6 +62,15 @@ def test_edges_match_the_model(spark):
     assert {(a, b) for a, b, _ in got} == {(b, a) for a, b, _ in got}
 
 
+def test_near_keys_lose_nothing(spark):
+    rng = random.Random(5)
+    keys = {"".join(rng.choice("abcx") for _ in range(rng.randint(0, 11))) for _ in range(250)} | {"петров", "петрв", "п"}
+    table = spark.createDataFrame([(k,) for k in keys], "key string")
+    for border in (0.0, 0.3, 0.6):
+        got = {(r.x, r.y) for r in near_keys(table, border).collect()}
+        assert got == {(a, b) for a in keys for b in keys if a and b and lev(a, b) / max(len(a), len(b)) <= border}
+
+
 def test_maps_keep_stored_links(spark):
     link = [("z", "9", 0.5)]
     rows = [("a", "A", "1", "X Y", "n m", True, {"B": link}), ("b", "B", "2", "X Y", "n m", False, None)]
