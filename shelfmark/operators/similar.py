@@ -92,7 +92,7 @@ def near_keys(keys: DataFrame, border: float = EDIT_BORDER) -> DataFrame:
     met = short.join(long, "s").where("x <> y").select("x", "y").distinct()
     near = met.where(edit_distance(F.col("x"), F.col("y"), border).isNotNull())
     same = sized.select(F.col("key").alias("x"), F.col("key").alias("y"))
-    return near.union(near.select("y", "x")).distinct().union(same)
+    return _both_ways(near, "x", "y").distinct().union(same)
 
 
 def near_candidates(keyed: DataFrame, edit: float = EDIT_BORDER, id_col: str = "Id") -> DataFrame:
@@ -111,6 +111,13 @@ def near_candidates(keyed: DataFrame, edit: float = EDIT_BORDER, id_col: str = "
     return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
+def _both_ways(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Each pair and its reverse, in one pass."""
+    ways = F.array(F.struct(F.col(a).alias("_a"), F.col(b).alias("_b")), F.struct(F.col(b).alias("_a"), F.col(a).alias("_b")))
+    rest = [c for c in pairs.columns if c not in (a, b)]
+    return pairs.select(F.explode(ways).alias("_w"), *rest).select(F.col("_w._a").alias(a), F.col("_w._b").alias(b), *rest)
+
+
 def comparisons(keyed: DataFrame, edit: float = EDIT_BORDER, overlap: float = OVERLAP_BORDER, id_col: str = "Id") -> DataFrame:
     """Successful comparisons (from_id, to_id, coeff) of books not yet compared with all others.
 
@@ -118,7 +125,7 @@ def comparisons(keyed: DataFrame, edit: float = EDIT_BORDER, overlap: float = OV
     """
     side = keyed.select(F.col(id_col).alias("id"), F.struct("author_keys", "name_key", "name_tokens").alias("k"), F.col("Compared").alias("old"))
     pairs = near_candidates(keyed, edit, id_col)
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _both_ways(pairs, "a", "b")
     probing = side.where(~F.col("old")).select(F.col("id").alias("a"), F.col("k").alias("ka"))
     other = side.select(F.col("id").alias("b"), F.col("k").alias("kb"))
     scored = both.join(probing, "a").join(other, "b").select("a", "b", book_score("ka", "kb", edit, overlap).alias("s")).where("s.success")
@@ -131,8 +138,7 @@ def similar_edges(keyed: DataFrame, edit: float = EDIT_BORDER, overlap: float =
     Two books of which both probe can have two different links each way.
     """
     forward = comparisons(keyed, edit, overlap, id_col)
-    backward = forward.select(F.col("to_id").alias("from_id"), F.col("from_id").alias("to_id"), "coeff")
-    return forward.unionByName(backward).distinct()
+    return _both_ways(forward, "from_id", "to_id").distinct()
 
 
 def similar_maps(books: DataFrame, edges: DataFrame) -> DataFrame:
