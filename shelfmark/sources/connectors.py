@@ -105,10 +105,6 @@ def _biblioclub(raw: DataFrame) -> DataFrame:
     )
 
 
-def _biblioclub_bib(pages: DataFrame) -> DataFrame:
-    return pages.select(F.explode(F.from_json("payload", "map<string,string>")).alias("key", "value"))
-
-
 def _bibliorossica_ids(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode(P.from_payload(F.col("payload"), P.BIBLIOROSSICA_PAGE)["books"]).alias("b")).select(F.col("b.id_book").alias("id"))
 
@@ -292,7 +288,7 @@ CONNECTORS = {
         Connector("BiblioClub", "https://biblioclub.ru/services/service.php?page=books&m=GetShortInfo_S&parse&out=json", None, _biblioclub_ids, _biblioclub, 1000, True),
         Connector("BiblioRossica", "http://www.bibliorossica.com/catalog/perPage/50/page/%d/lang/all", "http://www.bibliorossica.com/book.html?currBookId=%s", _bibliorossica_ids, _bibliorossica, 50),
         Connector("BookRu", "https://www.book.ru/book", "https://book.ru/_next/data/%s/book/%s.json?", _bookru_ids, _bookru),
-        Connector("IBooks", "https://ibooks.ru/search_adv?page=%d", None, lambda p: _ibooks(p).select("id"), _ibooks, 100, True),
+        Connector("IBooks", "https://ibooks.ru/products?page=%d&paging=100", None, lambda p: _ibooks(p).select("id"), _ibooks, 100, True),
         Connector("IprBookShop", "https://www.iprbookshop.ru/", "https://www.iprbookshop.ru/%s.html", _iprbookshop_ids, _iprbookshop, 20),
         Connector("LanBook", "https://e.lanbook.com/api/v2/catalog/books?category=0&limit=1000&page=%d", "https://e.lanbook.com/api/v2/catalog/book/%s", _lanbook_ids, _lanbook, 1000),
         Connector("ProfSpo", "https://profspo.ru/catalog/books/professions-and-specialties/search", None, lambda p: _profspo(p).select("id"), _profspo, None, True),

@@ -53,7 +53,7 @@ def get_text(url: str, opener: Opener, tries: int = TRIES, sleep: Callable[[floa
     return None, None
 
 
-def post_form(url: str, form: Mapping[str, str], opener: Opener, tries: int = TRIES) -> tuple[str | None, int | None]:
+def post_form(url: str, form: Mapping[str, str] | list[tuple[str, str]], opener: Opener, tries: int = TRIES) -> tuple[str | None, int | None]:
     """As get_text, without a wait and without an exception for 404."""
     data = urllib.parse.urlencode(form).encode()
     for _ in range(tries):
@@ -66,13 +66,22 @@ def post_form(url: str, form: Mapping[str, str], opener: Opener, tries: int = TR
     return None, None
 
 
-def fetch(addresses: DataFrame, client: Client | None = None, url_col: str = "url") -> DataFrame:
-    """Adds payload and status to a table of addresses; as many requests at a time as there are tasks."""
+def fetch(addresses: DataFrame, client: Client | None = None, url_col: str = "url", form_col: str = "form") -> DataFrame:
+    """Adds payload and status to a table of addresses; as many requests at a time as there are tasks.
+
+    A row with a form (an array of name and value) is posted, any other is got.  Columns of these two names are replaced.
+    """
     opener = (client or Client()).open
 
     @F.pandas_udf("struct<payload:string,status:int>")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for urls in batches:
-            yield pd.DataFrame([get_text(u, opener) if u else (None, None) for u in urls], columns=["payload", "status"])
-
-    return addresses.withColumn("_got", ask(F.col(url_col))).select("*", "_got.payload", "_got.status").drop("_got")
+    def ask(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for urls, forms in batches:
+            rows = []
+            for url, form in zip(urls, forms, strict=True):
+                pairs = None if form is None else [(f["name"], f["value"] or "") for f in form]
+                rows.append((None, None) if not url else get_text(url, opener) if pairs is None else post_form(url, pairs, opener))
+            yield pd.DataFrame(rows, columns=["payload", "status"])
+
+    form = F.col(form_col) if form_col in addresses.columns else F.lit(None).cast("array<struct<name:string,value:string>>")
+    kept = [c for c in addresses.columns if c not in ("payload", "status", form_col)]
+    return addresses.withColumn("_got", ask(F.col(url_col), form)).select(*kept, "_got.payload", "_got.status")

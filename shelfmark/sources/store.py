@@ -20,8 +20,8 @@ log = logging.getLogger("shelfmark.store")
 class BookStore:
     """A table of books in one folder; each append is a part, each update a new version of the whole."""
 
-    def __init__(self, spark: SparkSession, path: str, save_batch: int = 100):
-        self.spark, self.path, self.save_batch = spark, path.rstrip("/"), save_batch
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
