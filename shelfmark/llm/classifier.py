@@ -18,6 +18,8 @@ from shelfmark.llm.common import stash
 
 #: Random Fourier features, width of the kernel, ridge penalty, bins of the calibration.
 FEATURES, WIDTH, RIDGE, BINS, SEED = 256, 5.0, 0.1, 1000, 7
+#: One labelled row in so many calibrates.
+CALIBRATE = 4
 
 _CLASSES = np.zeros(256, np.uint8)  # 0 letters and bytes above 127
 _CLASSES[[0x20, 9, 11, 12, 13]] = 1
@@ -100,8 +102,9 @@ class Model:
         return np.clip(self.raw(stats) * len(self.rates), 0, len(self.rates) - 1).astype(np.int64)
 
     def score(self, stats: np.ndarray) -> np.ndarray:
-        # Half a point of the raw score keeps an order among documents of one calibrated rate.
-        return np.clip(0.98 * self.rates[self.bins(stats)] + 0.02 * np.clip(self.raw(stats), 0, 1), 0, 1)
+        """The calibrated rate, linear between the middles of bins."""
+        middles = (np.arange(len(self.rates)) + 0.5) / len(self.rates)
+        return np.interp(self.raw(stats), middles, self.rates)
 
 
 def _stack(pdf: pd.DataFrame) -> np.ndarray:
@@ -112,10 +115,15 @@ def fit(stats: DataFrame, labels: DataFrame, ridge: float = RIDGE, bins: int = B
     """Fits on stats (doc_id, stats) joined with labels (doc_id, label 0 or 1); all rows that have a label count.
 
     Sums of each partition are one row for each row of the matrix; what reaches the driver is that
-    matrix and the histogram of raw scores.  Without any label every score is 0.5.
+    matrix and the histogram of raw scores.  One row in CALIBRATE, by its statistics, calibrates and the others
+    fit; with too few rows for both, all do either.  A document that is labelled both ways counts as 0.
+    Without any label every score is 0.5.
     """
-    known = labels.where("label is not null and doc_id is not null").select("doc_id", "label").dropDuplicates(["doc_id"])
-    rows = stash(stats.join(known, "doc_id").select("stats", F.col("label").cast("double").alias("label")), "labelled")
+    known = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
+    held = F.pmod(F.xxhash64("stats"), F.lit(CALIBRATE)) == 0
+    every = stash(stats.join(known, "doc_id").select("stats", F.col("label").cast("double").alias("label"), held.alias("held")), "labelled")
+    both = every.select("held", F.col("label") > 0.5).distinct().count() == 4
+    rows, calibrating = (every.where("not held"), every.where("held")) if both else (every, every)
     dims = N_STATISTICS
     moments = rows.select(F.posexplode("stats").alias("k", "x")).groupBy("k").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect()
     mean, scale = np.zeros(dims), np.ones(dims)
@@ -136,7 +144,7 @@ def fit(stats: DataFrame, labels: DataFrame, ridge: float = RIDGE, bins: int = B
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"i": pdf["i"].iloc[:1], "v": [np.sum(pdf["v"].tolist(), axis=0)]})
 
-    found = rows.mapInPandas(sums, "i int, v array<double>").groupBy("i").applyInPandas(add, "i int, v array<double>").collect()
+    found = rows.select("stats", "label").mapInPandas(sums, "i int, v array<double>").groupBy("i").applyInPandas(add, "i int, v array<double>").collect()
     total = np.array([r.v for r in sorted(found, key=lambda r: r.i)])
     penalty = np.full(FEATURES + 1, ridge)
     penalty[-1] = 1e-6
@@ -147,7 +155,7 @@ def fit(stats: DataFrame, labels: DataFrame, ridge: float = RIDGE, bins: int = B
             if len(pdf):
                 yield pd.DataFrame({"bin": model.bins(_stack(pdf)), "label": pdf["label"]})
 
-    counts = rows.mapInPandas(binned, "bin long, label double").groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("p")).collect()
+    counts = calibrating.select("stats", "label").mapInPandas(binned, "bin long, label double").groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("p")).collect()
     n, p = np.zeros(bins), np.zeros(bins)
     for r in counts:
         n[r.bin], p[r.bin] = r.n, r.p

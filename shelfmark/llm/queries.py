@@ -106,6 +106,12 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES, URL_LIST)
 
 
+def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base measures of op7_quality alone, which SQL can express."""
+    measured = quality_rules.measures(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": op1_jaccard,
     "op2_pii": op2_pii,
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_classifier": op8_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
+    "measures_of_quality": measures,
 }
 
 _PARTS = r"""
@@ -128,6 +135,30 @@ parts AS (
 canonical AS (
   SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^(?s:.*)@', ''), ':(80|443)$', ''), '\.$', '') AS listed_host FROM parts)"""
 
+
+def _secrets_sql() -> str:
+    """Spans in SQL: the texts between matches and the matches alternate, so sums of their lengths are places."""
+    parts, spans, counts = [], [], []
+    every = secrets.BASE_RULES | secrets.MORE_RULES
+    for rank, (kind, (pattern, group, least)) in enumerate(every.items()):
+        p = pattern.replace("'", "''")
+        parts.append(f"regexp_extract_all(text, '{p}', 0) AS m_{kind}, regexp_extract_all(text, '{p}', {group}) AS c_{kind}, string_split_regex(text, '{p}') AS b_{kind}")
+        spans.append(
+            f"SELECT r, {rank} AS rank, '{kind}' AS kind, s, s + length(m) AS e FROM (SELECT r, length(array_to_string(b_{kind}[1:i], '')) + length(array_to_string(m_{kind}[1:i-1], '')) AS s, "
+            f"m_{kind}[i] AS m, c_{kind}[i] AS c FROM (SELECT *, unnest(range(1, len(m_{kind}) + 1)) AS i FROM t)) WHERE length(c) >= {least}"
+        )
+        if kind in secrets.BASE_RULES:
+            counts.append(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}")
+    joined = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank){}, '')"
+    base = joined.format(f" FILTER (WHERE rank < {len(secrets.BASE_RULES)})")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, {", ".join(parts)} FROM d),
+spans AS ({" UNION ALL ".join(spans)})
+SELECT any_value(doc_id) AS doc_id, {", ".join(counts)}, sha256({base}) AS base_sha256, {joined.format("")} AS spans
+FROM d LEFT JOIN spans USING (r) GROUP BY r"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op10_urls": f"""
 WITH {_PARTS.strip()},
@@ -142,4 +173,33 @@ best AS (
 SELECT page_id, host, path, hit.rule AS rule,
        coalesce(hit.verdict, CASE WHEN bad > 0 THEN 'block' ELSE 'allow' END) AS verdict
 FROM best""",
+    "op1_jaccard": r"""
+WITH RECURSIVE
+words AS (SELECT row_number() OVER () AS r, doc_id,
+                 list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END AS s FROM words),
+keyed AS (SELECT r, doc_id, len(s) AS n, md5(array_to_string(list_sort(s), chr(10))) AS k, s FROM sets),
+classes AS (SELECT k, any_value(n) AS n, min(doc_id) AS rep, count(*) AS copies, any_value(s) AS s FROM keyed WHERE n > 0 GROUP BY k),
+grams AS (SELECT k, n, unnest(s) AS g FROM classes),
+pairs AS (SELECT a.k AS a, b.k AS b FROM grams a JOIN grams b ON a.g = b.g AND a.k <> b.k GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(k, root) AS (SELECT k, k FROM classes UNION SELECT p.b, reach.root FROM reach JOIN pairs p ON p.a = reach.k),
+component AS (SELECT reach.k, min(c.rep) AS component_id FROM reach JOIN classes c ON c.k = reach.root GROUP BY reach.k),
+near AS (SELECT p.a AS k, sum(c.copies) AS others FROM pairs p JOIN classes c ON c.k = p.b GROUP BY p.a)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_shingles, coalesce(component.component_id, d.doc_id) AS component_id, coalesce(c.rep, d.doc_id) AS class_id,
+       CAST(CASE WHEN d.n = 0 THEN 0 ELSE c.copies - 1 + coalesce(near.others, 0) END AS BIGINT) AS n_links
+FROM keyed d LEFT JOIN classes c ON c.k = d.k AND d.n > 0 LEFT JOIN component ON component.k = c.k LEFT JOIN near ON near.k = c.k""",
+    "measures_of_quality": r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+windows AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])) AS g FROM w WHERE len(w) >= 3),
+repeated AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows),
+covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM repeated WHERE n > 1) GROUP BY r),
+m AS (SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(array_to_string(w.w, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN covered ON covered.r = w.r)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m""",
+    "op5_secrets": _secrets_sql(),
 }
