@@ -29,7 +29,7 @@ from shelfmark.llm.hashing import CHUNK, hash_spans
 CAPACITY = 4096
 END_ID = 1
 #: Rounds of multiplicative weights of one program, configurations of a round, and programs at most.
-ROUNDS, WIDE, PROGRAMS = 30, 160, 6
+ROUNDS, WIDE, PROGRAMS = 30, 160, 10
 #: What an uncovered length is worth beyond its tokens, and the share of its scarcest length that a configuration is used for at a time.
 BONUS, STEP = 0.02, 0.125
 #: Slots of the table of words whose ids a Python worker remembers (about 60 MB); it is emptied when half full.
