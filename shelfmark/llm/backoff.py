@@ -226,7 +226,9 @@ def score_documents(
     words = _input_bytes(docs.select(id_col, text_col), text_col) // 3  # more than there are
     block_words = max(block_words, isqrt(SHARED * words))
     buckets = min(100_000, max(partitions(spark), 2 * words // block_words, 1))
-    of = _bucketed(blocks(docs, id_col, text_col, block_words), "block", buckets)
+    # Small partitions of the input are read together, so that blocks are full.
+    tasks = max(4 * spark.sparkContext.defaultParallelism, words // block_words)
+    of = _bucketed(blocks(docs.coalesce(tasks), id_col, text_col, block_words), "block", buckets)
     total = of.agg(F.sum("n_words")).first()[0] or 0
     parts = max(1, -(-total // block_words))
     bits = min(64, total.bit_length() + SPARE)
