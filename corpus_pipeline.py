@@ -48,7 +48,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Hashed likelihoods, keyed permutations and a tokenizer have no equivalent in SQL; tests compare the stages with brute force.
+#: Hashed likelihoods, keyed permutations and a tokenizer have no equivalent in SQL.  The operators of the stages are tested against
+#: brute force; of the pipeline itself tests compare columns and numbers of rows.
 ORACLE_SQL = None
 
 
