@@ -70,20 +70,35 @@ def _name_parts(column: str) -> str:
     return f"list_transform({kept}, lambda t: regexp_replace(t, '[0-9]', '', 'g'))"
 
 
-_KEYS = rf"""
+def _first_of_each(items: str, key: str = "x") -> str:
+    """A list without later repetitions, in its order; key: what makes two items one."""
+    keys = f"list_transform({items}, lambda x: {key})"
+    return f"list_filter({items}, lambda x, i: list_position({keys}, {key}) = i)"
+
+
+def _keys(source: str) -> str:
+    """Keys of the comparable books of a table; its authors have two words at most."""
+    return rf"""
 split_keys AS (
   SELECT *, {_name_parts("Name")} AS parts,
-         list_filter(string_split_regex(lower(Authors), '[^\p{{L}}\p{{N}}_]'), lambda t: t <> '' AND NOT list_contains([{_STOP}], t)) AS aw
-  FROM books),
+         list_transform(list_filter(string_split_regex(lower(Authors), '[,;:]'), lambda a: a <> ''),
+                        lambda a: list_filter(string_split_regex(a, '[^\p{{L}}\p{{N}}_]'), lambda t: t <> '' AND NOT list_contains([{_STOP}], t))) AS aws
+  FROM {source}),
+all_keys AS (
+  SELECT *, flatten(list_transform(aws, lambda aw:
+              CASE WHEN len(aw) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(aw) = 1 THEN [aw[1]]
+                   WHEN length(aw[1]) <> 1 AND length(aw[2]) = 1 THEN [aw[1] || aw[2]]
+                   ELSE [aw[1] || left(aw[2], 1), aw[2] || left(aw[1], 1)] END)) AS every_key
+  FROM split_keys),
 keys AS (
   SELECT *, regexp_replace(array_to_string(parts, ''), '[{T.VOWELS}]', '', 'g') AS name_key,
          list_filter(list_transform(parts, lambda t: regexp_replace(t, '[{T.VOWELS}]', '', 'g')), lambda t: t <> '') AS token_list,
-         CASE WHEN len(aw) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(aw) = 1 THEN [aw[1]]
-              WHEN length(aw[1]) <> 1 AND length(aw[2]) = 1 THEN [aw[1] || aw[2]]
-              WHEN aw[1] || left(aw[2], 1) = aw[2] || left(aw[1], 1) THEN [aw[1] || left(aw[2], 1)]
-              ELSE [aw[1] || left(aw[2], 1), aw[2] || left(aw[1], 1)] END AS author_keys
-  FROM split_keys),
+         {_first_of_each("every_key")} AS author_keys
+  FROM all_keys),
 keyed AS (SELECT *, list_distinct(token_list) AS name_tokens FROM keys WHERE trim(Authors) <> '' AND trim(Name) <> '')"""
+
+
+_KEYS = _keys("books")
 # One ASCII character, of none that a key has, for each letter beyond ASCII: a distance in bytes is then one in characters.
 _ASCII = "translate({}, 'ßäçèéêíñóöüàâîïôùûúá', 'ABCDEFGHIJKLMNOPQRST')"
 _PAIRS = """
@@ -116,6 +131,32 @@ forward AS (
 edges AS (SELECT from_id, to_id, coeff FROM forward UNION SELECT to_id, from_id, coeff FROM forward)"""
 _LINKING = f"WITH {_BOOKS.strip()}, {_KEYS.strip()}, {_PAIRS.strip()}, {_SCORED.strip()}"
 
+_AUTHORS = rf"""
+author_words AS (
+  SELECT list_filter(string_split_regex(Authors, '[^\p{{L}}\p{{N}}]'), lambda x: x <> '' AND try_cast(x AS INTEGER) IS NULL AND regexp_matches(x, '^\p{{Lu}}')
+         AND NOT list_contains([{_STOP}], lower(x))) AS ts FROM books),
+author_dict AS (SELECT DISTINCT author FROM (SELECT unnest(list_filter(ts, lambda x: length(x) > 2)) AS author FROM author_words WHERE len(ts) BETWEEN 2 AND 4))"""
+_BIB_STOP = ", ".join(f"'{w}'" for w in sorted({w.lower() for w in T.BIB_STOP_WORDS}))
+# Descriptions of the derived catalogue hold one known publisher and no full stop, so no initials either.
+_BIB = rf"""
+bib_words AS (
+  SELECT Id, list_filter(string_split_regex(regexp_replace(Bib, lower(Publisher), ' ', 'gi'), '[^\p{{L}}]'),
+                         lambda t: length(t) > 1 AND NOT list_contains([{_BIB_STOP}], lower(t))) AS ts FROM books),
+bib_word AS (SELECT Id, unnest(ts) AS t, generate_subscripts(ts, 1) AS i FROM bib_words),
+bib_split AS (
+  SELECT Id, coalesce(list(t ORDER BY i) FILTER (WHERE author IS NOT NULL), []) AS known, coalesce(list(t ORDER BY i) FILTER (WHERE author IS NULL), []) AS others
+  FROM bib_word LEFT JOIN author_dict ON author = t GROUP BY Id),
+bib AS (
+  SELECT books.Id, coalesce(array_to_string({_first_of_each("known")}, ', '), '') AS bib_authors,
+         coalesce(array_to_string(CASE WHEN len(known) > 0 THEN others ELSE {_first_of_each("others", "lower(x)")} END, ' '), '') AS bib_name
+  FROM books LEFT JOIN bib_split ON bib_split.Id = books.Id),
+filled AS (
+  SELECT books.* REPLACE (
+           CASE WHEN NOT Compared AND trim(Authors) = '' THEN bib_authors ELSE Authors END AS Authors,
+           CASE WHEN NOT Compared AND trim(Name) = '' THEN bib_name ELSE Name END AS Name)
+  FROM books JOIN bib ON bib.Id = books.Id)"""
+_PARSED = f"WITH {_BOOKS.strip()}, {_AUTHORS.strip()}, {_BIB.strip()}"
+
 
 # --- Sources -----------------------------------------------------------------------------------
 
@@ -293,13 +334,7 @@ def publisher_dict(spark, sf_dir):
     return B.publisher_dictionary(derived_books(spark, sf_dir))
 
 
-@query(
-    "q17_author_dict",
-    rf"""WITH {_BOOKS.strip()},
-    t AS (SELECT list_filter(string_split_regex(Authors, '[^\p{{L}}\p{{N}}]'), lambda x: x <> '' AND try_cast(x AS INTEGER) IS NULL AND regexp_matches(x, '^\p{{Lu}}')
-          AND NOT list_contains([{_STOP}], lower(x))) AS ts FROM books)
-    SELECT DISTINCT author FROM (SELECT unnest(list_filter(ts, lambda x: length(x) > 2)) AS author FROM t WHERE len(ts) BETWEEN 2 AND 4)""",
-)
+@query("q17_author_dict", f"WITH {_BOOKS.strip()}, {_AUTHORS.strip()} SELECT author FROM author_dict")
 def author_dict(spark, sf_dir):
     return B.author_dictionary(derived_books(spark, sf_dir))
 
@@ -315,12 +350,12 @@ def bib_publishers(spark, sf_dir):
     return _parsed(spark, sf_dir).select("id", "bib_publisher")
 
 
-@query("q19_bib_authors_name")
+@query("q19_bib_authors_name", f"{_PARSED} SELECT Id AS id, bib_authors, bib_name FROM bib")
 def bib_authors_name(spark, sf_dir):
     return _parsed(spark, sf_dir).select("id", "bib_authors", "bib_name")
 
 
-@query("q20_bib_fill")
+@query("q20_bib_fill", f"{_PARSED} SELECT Id AS id, Authors, Name, Publisher FROM filled")
 def bib_fill(spark, sf_dir):
     books = derived_books(spark, sf_dir).withColumnRenamed("Id", "id")
     return B.fill_gaps(books).select("id", "Authors", "Name", "Publisher")
@@ -503,7 +538,11 @@ def author_initials(spark, sf_dir):
     return rows.select("id", X.with_initials("author", "bib").alias("author"))
 
 
-@query("q41_compare")
+@query(
+    "q41_compare",
+    f"{_PARSED}, {_keys('filled').strip()}, {_PAIRS.strip()}, {_SCORED.strip()} SELECT Id, any_value(Authors) AS Authors, any_value(Name) AS Name, "
+    "any_value(Publisher) AS Publisher, CAST(count(from_id) AS INTEGER) AS SimilarCount, true AS Compared FROM filled LEFT JOIN edges ON from_id = Id GROUP BY Id",
+)
 def compare_all(spark, sf_dir):
     return compare(derived_books(spark, sf_dir)).select("Id", "Authors", "Name", "Publisher", "SimilarCount", "Compared")
 
