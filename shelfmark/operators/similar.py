@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.keys import author_keys, comparable, name_key, name_tokens
 from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER, book_score, edit_distance
 from shelfmark.schema import BOOKS
+from shelfmark.scratch import stash
 
 
 #: Postings of a token that are compared with all others of it in one task.
@@ -122,7 +123,9 @@ def comparisons(keyed: DataFrame, edit: float = EDIT_BORDER, overlap: float = OV
     """Successful comparisons (from_id, to_id, coeff) of books not yet compared with all others.
 
     A score depends on the direction, so both directions of a pair are scored where both books probe.
+    The keys are written once, as blocking and scoring read them eight times and making them may be a long plan.
     """
+    keyed = stash(keyed.select(id_col, "Compared", "author_keys", "name_key", "name_tokens"), "keys")
     side = keyed.select(F.col(id_col).alias("id"), F.struct("author_keys", "name_key", "name_tokens").alias("k"), F.col("Compared").alias("old"))
     pairs = near_candidates(keyed, edit, id_col)
     both = _both_ways(pairs, "a", "b")

@@ -11,6 +11,7 @@ from shelfmark.functions.bib import fill_gaps
 from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER
 from shelfmark.operators.similar import similar_edges, similar_maps, with_keys
 from shelfmark.schema import as_books
+from shelfmark.scratch import stash
 from shelfmark.sources.store import BookStore
 
 
@@ -27,7 +28,7 @@ def compare(books: DataFrame, options: CompareOptions = CompareOptions()) -> Dat
 
     Only books not yet compared are probed, against all; links of the others are kept and added to.
     """
-    filled = fill_gaps(books)
+    filled = stash(fill_gaps(books), "filled")
     edges = similar_edges(with_keys(filled), options.edit_border, options.overlap_border)
     maps = similar_maps(filled, edges)
     done = filled.drop("SimilarBooks", "SimilarCount", "Compared").join(maps, "Id")

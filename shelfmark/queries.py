@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from shelfmark.operators import harvest as V
 from shelfmark.operators import similar as M
 from shelfmark.plans.compare import compare, derived_books
 from shelfmark.schema import as_books
+from shelfmark.scratch import scratch_dir
 from shelfmark.sources import html as H
 from shelfmark.sources import payloads as P
+from shelfmark.sources.store import BookStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -326,6 +329,23 @@ def bib_lookup(spark, sf_dir):
     return V.lookup(customers, entries, F.concat(F.lit("nation:"), F.col("c_nationkey"))).select("c_custkey", "value")
 
 
+@query(
+    "q42_store_updates",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS Id, o_orderstatus AS ElsName, CAST(coalesce(n, 0) AS INTEGER) AS Pages, CASE WHEN o_orderstatus = 'O' THEN 'open' END AS Publisher
+    FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey WHERE o_orderkey IS NOT NULL""",
+)
+def store_updates(spark, sf_dir):
+    store = BookStore(spark, f"{scratch_dir(spark).rstrip('/')}/shelfmark/books-{uuid.uuid4().hex}")
+    key = F.col("o_orderkey").cast("string")
+    orders = _table(spark, sf_dir, "orders").select(key.alias("Id"), key.alias("ExternalId"), F.col("o_orderstatus").alias("ElsName"), F.lit(0).alias("Pages"))
+    lines = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("Id")).agg(F.count(F.lit(1)).cast("int").alias("Pages"))
+    done = F.col("ElsName") == "F"
+    steps = [store.create_many(orders.where(done)), store.create_many(orders.where(~done)), store.update_many(lines), store.update(F.col("ElsName") == "O", Publisher="open")]
+    if not all(steps):
+        raise RuntimeError("the store did not take a change")
+    return store.read(columns=["Id", "ElsName", "Pages", "Publisher"])
+
+
 # --- Descriptions --------------------------------------------------------------------------------
 
 

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shelfmark.operators.harvest import new_items, page_numbers, pages_of_total
@@ -98,6 +100,28 @@ def test_store(spark, tmp_path):
     assert "ISBN" not in store.read_without("ISBN").columns
 
 
+def test_store_rewrites_only_what_changes(spark, tmp_path):
+    row = "Id string, ElsName string, ExternalId string, Name string"
+    store, other = (BookStore(spark, f"{tmp_path}/b") for _ in range(2))
+    assert store.update_many(spark.createDataFrame([("x", "new")], "Id string, Name string")) and store.all().count() == 0
+    for k in "abc":
+        assert store.create_many(spark.createDataFrame([(k, "E", k, "old")], row).coalesce(1))
+    before = store._version()[1]
+    assert store.update_many(spark.createDataFrame([("b", "new"), ("x", "new"), (None, "new")], "Id string, Name string"))
+    after = store._version()[1]
+    assert len(set(before) - set(after)) == 1 and len(set(before) & set(after)) == 2
+    # An append between an update's reading and its commit stays; a second rewriting of the same file does not go through.
+    added = store._write(store._files(after[:1]).withColumn("Name", F.lit("later")))
+    assert other.create_many(spark.createDataFrame([("d", "E", "d", "old")], row))
+    store._commit(added, after[:1])
+    with pytest.raises(RuntimeError):
+        other._commit(added, after[:1])
+    want = {"a": "old", "b": "new", "c": "old", "d": "old"}
+    want[next(iter(want.keys() & {r.Id for r in store._files(after[:1]).collect()}))] = "later"
+    assert {r.Id: r.Name for r in store.all().collect()} == want
+    assert store.vacuum() == 2 and {r.Id: r.Name for r in other.all().collect()} == want and store.vacuum() == 0
+
+
 def test_requests():
     waits = []
     answers = iter([("", 500), OSError(), ("x", 200)])
