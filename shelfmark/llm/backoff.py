@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import partitions, scratch_dir
+from shelfmark.llm.common import partitions, scratch_dir, trim
 from shelfmark.llm.hashing import mix, ngrams, word_hashes
 
 #: Longest n-gram and the weight of a shorter one.
@@ -69,9 +69,12 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK
                 if size >= block_words:
                     yield row([*ids, b.column(0).slice(start, k + 1 - start)], held)
                     ids, held, size, start = [], [], 0, k + 1
+                    trim()
             ids.append(b.column(0).slice(start))
         if held:
             yield row(ids, held)
+        ids, held = [], []
+        trim()
 
     schema = f"block string, doc_ids array<{kind}>, ends binary, vocabulary binary, words binary, n_words long"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
@@ -146,6 +149,8 @@ def counts(of: DataFrame, order: int, parts: int, bits: int) -> DataFrame:
                     gaps = [_squeeze(np.diff(g[i:j], prepend=bounds[p])) for p, (i, j) in zip(some, spans, strict=True)]
                     own = [b"" if (c[i:j] == 1).all() else _squeeze(c[i:j]) for i, j in spans]
                     yield pd.DataFrame({"block": block, "n": n, "part": some, "size": [j - i for i, j in spans], "grams": gaps, "own": own})
+                del held, g, c, gaps, own
+                trim()
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         each = [np.cumsum(_numbers(x, k)) for x, k in zip(pdf["grams"], pdf["size"], strict=True)]
@@ -153,7 +158,10 @@ def counts(of: DataFrame, order: int, parts: int, bits: int) -> DataFrame:
         _, place = np.unique(np.concatenate(each), return_inverse=True)
         total = np.bincount(place, np.concatenate(own)).astype(np.int64)
         cut = np.cumsum([len(e) for e in each])[:-1]
-        return pdf[["block", "n", "part", "size"]].assign(counts=[_squeeze(x) for x in np.split(total[place], cut)])
+        out = pdf[["block", "n", "part", "size"]].assign(counts=[_squeeze(x) for x in np.split(total[place], cut)])
+        del each, own, total, place
+        trim()
+        return out
 
     sent = of.select("block", "ends", "vocabulary", "words").mapInPandas(send, "block string, n int, part long, size long, grams binary, own binary")
     # As many tasks as the corpus asks for, whatever the session's number; each holds a few (n, part).
@@ -246,7 +254,10 @@ def score_documents(
         full = {n: counted(held, n, bits, received[n], exclude_own) for n in received}
         s = np.append(0, np.cumsum(backoff_scores(held, full, total, alpha, exclude_own)))
         starts = np.append(0, held.ends[:-1])
-        return pa.table({"doc_id": ids, "n_words": held.ends - starts, "log_score": s[held.ends] - s[starts]})
+        out = pa.table({"doc_id": ids, "n_words": held.ends - starts, "log_score": s[held.ends] - s[starts]})
+        del held, got, received, full, s
+        trim()
+        return out
 
     schema = f"doc_id {kind.simpleString()}, n_words long, log_score double"
     scored = of.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, schema)

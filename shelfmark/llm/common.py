@@ -2,32 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.scratch import scratch_dir, stash  # noqa: F401  the operators take them from here
+
 #: White space that separates words, as a class for Java, Python and DuckDB regular expressions.
 SPACE = r"\x20\x09-\x0D"
 #: The same characters, for translate().
 SPACES = "\t\n\x0b\x0c\r "
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share.  Where none is set, one of this process's own, as in tests on one machine; an error on a cluster."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfmark-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found
-
-
 def unused(df: DataFrame, name: str) -> str:
     """A column name like name that the table does not have."""
     taken = {c.lower() for c in df.columns}
@@ -36,12 +24,16 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it again, so a lost executor costs no more than this step."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/shelfmark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def trim() -> None:
+    """Gives memory that a Python worker has freed back to the system: workers stay idle between stages and keep their peak else."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give is not None:
+        give(0)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
