@@ -354,10 +354,51 @@ def test_op6_slots_and_short_items(spark):
         assert got[0].text_hash == "h" and got[0].item == "b" and got[0].contaminated and not got[4].contaminated
 
 
-def test_op6_brute_force(spark):
-    """Windows, diagonals and runs against plain loops over the templates that the operator makes."""
+def templates(df):
+    """Template and raw words of each row, as the operator makes them."""
     from pyspark.sql import functions as F
 
+    made = df.select(df.columns[0], decontaminate.template(F.col("text")).alias("t"), decontaminate.raw_words(F.col("text")).alias("r"))
+    return {r[0]: (r.t or [], r.r or []) for r in made.collect()}
+
+
+MARKS = {"0", "1", "2"}
+
+
+def eligible(t):
+    return [a for a in range(len(t) - 7) if sum(x not in MARKS for x in t[a : a + 8]) >= 5]
+
+
+def contaminated(of_texts, of_items):
+    """Windows, diagonals and runs in plain loops: the items of each text, of those that have windows."""
+    want = {}
+    for i, (t, r) in of_items.items():
+        at = {}
+        for a in eligible(t):
+            at.setdefault(tuple(t[a : a + 8]), []).append(a)
+        for d, (dt, dr) in of_texts.items():
+            met = {}
+            for b in range(len(dt) - 7):
+                for a in at.get(tuple(dt[b : b + 8]), ()):
+                    met.setdefault(b - a, []).append(a)
+            for shift, found in met.items():
+                run = best = 0
+                held = {}
+                for a in sorted(found):
+                    pairs = {(r[j], dr[j + shift]) for j in range(a, a + 8) if t[j] in MARKS}
+                    if len({x for x, _ in pairs}) < len(pairs):
+                        held, run = {}, 0
+                    elif any(held.get(x, y) != y for x, y in pairs):
+                        held, run = dict(pairs), 1
+                    else:
+                        held, run = held | dict(pairs), run + 1
+                    best = max(best, run)
+                if best >= min(3, len(eligible(t))):
+                    want.setdefault(d, set()).add(i)
+    return want
+
+
+def test_op6_brute_force(spark):
     rng = random.Random(21)
     pool = ["Paris", "Rome", "10", "3", "km", "and", *VOCABULARY[:14]]
     items = [(i, " ".join(rng.choice(pool) for _ in range(rng.randint(9, 16)))) for i in range(30)]
@@ -368,31 +409,10 @@ def test_op6_brute_force(spark):
             w[rng.randrange(len(w))] = rng.choice(pool)
         texts.append((i, prose(rng.randint(0, 5), rng) + " " + " ".join(w)))
     benchmark, table = (spark.createDataFrame(x, f"{n} long, text string") for x, n in ((items, "item_id"), (texts, "doc_id")))
-    made = lambda df: {r[0]: (r.t, r.r) for r in df.select(df.columns[0], decontaminate.template(F.col("text")).alias("t"), decontaminate.raw_words(F.col("text")).alias("r")).collect()}
-    of_items, of_texts = made(benchmark), made(table)
-    marks = {"0", "1", "2"}
-    want = {}
-    for d, (dt, dr) in of_texts.items():
-        for i, (t, r) in of_items.items():
-            ats = [a for a in range(len(t) - 7) if sum(x not in marks for x in t[a : a + 8]) >= 5]
-            for shift in range(-len(t), len(dt)):
-                run = best = 0
-                held = {}
-                for a in ats:
-                    if a + shift < 0 or dt[a + shift : a + shift + 8] != t[a : a + 8]:
-                        continue
-                    pairs = {(r[j], dr[j + shift]) for j in range(a, a + 8) if t[j] in marks}
-                    if len({p for p, _ in pairs}) < len(pairs):
-                        held, run = {}, 0
-                    elif any(held.get(p, q) != q for p, q in pairs):
-                        held, run = dict(pairs), 1
-                    else:
-                        held, run = held | dict(pairs), run + 1
-                    best = max(best, run)
-                if ats and best >= min(3, len(ats)):
-                    want.setdefault(d, set()).add(i)
+    of_items = templates(benchmark)
+    want = contaminated(templates(table), of_items)
     got = {r.doc_id: set(map(int, r["items"].split(","))) for r in decontaminate.decontaminate(table, benchmark).where("contaminated").collect()}
-    whole = {i for i, (t, _) in of_items.items() if not any(sum(x not in marks for x in t[a : a + 8]) >= 5 for a in range(len(t) - 7))}
+    whole = {i for i, (t, _) in of_items.items() if not eligible(t)}
     assert {d: s - whole for d, s in got.items() if s - whole} == want and len(want) > 30
 
 
@@ -508,17 +528,51 @@ def test_op10_bloom():
 
 
 def test_pipeline(spark, sf_dir):
+    """Each stage against brute force on what the one before it kept; quality against its measures and the labels."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
+
     from shelfmark.llm.common import stash
 
+    benchmark, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("benchmark", "labels"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    sizes = []
+    tables, texts = [docs], [{r.doc_id: r.text for r in docs.collect()}]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stash(stage(spark, docs, sf_dir), "test")
+        out = stash(stage(spark, tables[-1], sf_dir), "test")
         assert out.columns == docs.columns, name
-        sizes.append((docs.count(), out.count()))
-        docs = out
-    assert sizes[0][1] < sizes[0][0] and sizes[1][1] < sizes[1][0] and sizes[3][0] == sizes[3][1]
-    left = [(r.doc_id, shingles(r.text)) for r in docs.collect()]
-    assert len(left) > 100 and len({i for i, _ in left}) == len(left)
-    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= len(left)
+        rows = out.collect()
+        tables.append(out)
+        texts.append({r.doc_id: r.text for r in rows})
+        assert len(rows) == len(texts[-1]) and (name == "personal_data" or texts[-1].items() <= texts[-2].items()), name
+    every, good, single, clean, private = texts
+
+    failed = {d for d, t in every.items() if (m := measures(t))[0] < 50 or 100 * m[4] > 50 * m[0]}
+    trusted = {r.doc_id for r in labels.where("quality = 1").collect()} - failed
+    assert failed and not failed & good.keys() and len(trusted & good.keys()) >= 0.95 * len(trusted)
+
+    order = sorted(good)
+    roots = components([shingles(good[d]) for d in order])
+    assert sorted(single) == sorted({order[r] for r in roots}) and len(single) < len(good)
+
+    of_items = templates(benchmark.select("item_id", "text"))
+    assert all(eligible(t) for t, _ in of_items.values())
+    assert single.keys() - clean.keys() == contaminated(templates(tables[2].select("doc_id", "text")), of_items).keys()
+
+    found = pii.replace_pii(tables[3], b"another key").where("n_entities > 0").select("doc_id").collect()
+    assert private.keys() == clean.keys() and {d for d in clean if clean[d] != private[d]} == {r.doc_id for r in found}
+    mail = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
+    mails = {m for t in clean.values() for m in mail.findall(t)}
+    assert not any(m in t for m in mails for t in private.values())
+
+    full = Tokenizer.from_file(tokenizer())
+    want, ends = Counter(), Counter()
+    for d, t in private.items():
+        ids = [*full.encode(t, add_special_tokens=False).ids, 1]
+        for k in range(0, len(ids), 4096):
+            want[d, k // 4096, k, len(ids[k : k + 4096]), binascii.crc32(b"".join(i.to_bytes(4, "little") for i in ids[k : k + 4096]))] += 1
+    rows = corpus_pipeline.STAGES[-1][1](spark, tables[-1], sf_dir).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends[r.sequence_id]
+        ends[r.sequence_id] += r.length
+    assert max(ends.values()) <= 4096
