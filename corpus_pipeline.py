@@ -48,8 +48,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Hashed likelihoods, keyed permutations and a tokenizer have no equivalent in SQL.  The operators of the stages are tested against
-#: brute force; of the pipeline itself tests compare columns and numbers of rows.
+#: Hashed likelihoods, keyed permutations and a tokenizer have no equivalent in SQL.  Tests compare each stage's rows
+#: with brute force on what the stage before kept; of the quality stage, its measures and the labels.
 ORACLE_SQL = None
 
 
