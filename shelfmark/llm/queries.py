@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import backoff, classifier, decontaminate, jaccard, packing, pii, quality_rules, secrets, toxicity, urls
-from shelfmark.llm.common import scratch_dir, table
+from shelfmark.llm import backoff, classifier, decontaminate, jaccard, mixing, packing, pii, quality_rules, secrets, toxicity, urls
+from shelfmark.llm.common import scratch_dir, table, words
 
 
 def tokenizer_path(spark: SparkSession) -> str:
@@ -106,6 +106,18 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES, URL_LIST)
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken, _, _ = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The targets of op12_mixing alone, which SQL can express."""
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("source", F.size(words(F.col("text"))).cast("long").alias("size"))
+    return mixing.with_slots(mixing.source_targets(sized)).select("source", "no", "weight", "source_size", "target", "goal")
+
+
 def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base measures of op7_quality alone, which SQL can express."""
     measured = quality_rules.measures(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -123,7 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_classifier": op8_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
+    "op12_mixing": op12_mixing,
     "measures_of_quality": measures,
+    "targets_of_mixing": targets,
 }
 
 _PARTS = r"""
@@ -202,4 +216,15 @@ m AS (SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(array_to
       FROM w LEFT JOIN covered ON covered.r = w.r)
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m""",
     "op5_secrets": _secrets_sql(),
+    # Sources by the ratio of limit and weight: one stops at its limit if its share of what those before it leave is more.
+    "targets_of_mixing": r"""
+WITH sized AS (SELECT source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size FROM documents),
+sources AS (SELECT *, 1 + no % 3 AS weight FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM sized GROUP BY source)),
+shares AS (SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS left_over, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weights
+           FROM sources WINDOW before AS (ORDER BY 3 * source_size / CAST(weight AS DOUBLE), no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+judged AS (SELECT *, 3 * source_size * weights < left_over * weight AS capped FROM shares),
+rest AS (SELECT arg_max(left_over, weights) AS left_over, max(weights) AS weights FROM judged WHERE NOT capped)
+SELECT source, no, CAST(weight AS BIGINT) AS weight, source_size, target, CAST(round(target) AS BIGINT) AS goal FROM (
+  SELECT j.*, CASE WHEN capped THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(rest.left_over AS DOUBLE) * weight / CAST(rest.weights AS DOUBLE) END AS target
+  FROM judged j LEFT JOIN rest ON true)""",
 }
