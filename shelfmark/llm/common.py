@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,22 @@ SPACE = r"\x20\x09-\x0D"
 SPACES = "\t\n\x0b\x0c\r "
 
 
+#: Bytes of terms, other bytes as spaces: letters and all that is not ASCII, and the same with digits.
+LETTERS = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
+ALNUM = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))
+
+
+def byte_tokens(text: bytes, table: bytes, piece: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The terms of a text in UTF-8, in pieces: runs of the bytes that a table keeps, A-Z in lower case.  No term is cut."""
+    text = bytes(text).lower().translate(table)  # lower() of bytes is that of ASCII
+    start = 0
+    while start < len(text):
+        end = text.find(b" ", start + piece) if start + piece < len(text) else -1
+        end = len(text) if end < 0 else end
+        yield text[start:end].split()
+        start = end
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like name that the table does not have."""
     taken = {c.lower() for c in df.columns}

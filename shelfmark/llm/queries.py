@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import backoff, classifier, decontaminate, jaccard, mixing, packing, pii, quality_rules, secrets, toxicity, urls
+from shelfmark.llm import backoff, classifier, decontaminate, divergence, jaccard, mixing, packing, pii, quality_rules, search, secrets, toxicity, urls
 from shelfmark.llm.common import scratch_dir, table, words
 
 
@@ -106,11 +106,19 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES, URL_LIST)
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken, _, _ = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The targets of op12_mixing alone, which SQL can express."""
     docs = table(spark, sf_dir, "documents")
@@ -135,7 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_classifier": op8_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_urls": op10_urls,
+    "op11_search": op11_search,
     "op12_mixing": op12_mixing,
+    "op13_divergence": op13_divergence,
     "measures_of_quality": measures,
     "targets_of_mixing": targets,
 }
@@ -216,6 +226,37 @@ m AS (SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(array_to
       FROM w LEFT JOIN covered ON covered.r = w.r)
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m""",
     "op5_secrets": _secrets_sql(),
+    "op11_search": r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+total AS (SELECT count(*) AS n, CAST(sum(len(w)) AS HUGEINT) AS l FROM docs WHERE len(w) > 0),
+lengths AS (SELECT r, doc_id, w, 25 + (75 * CAST(len(w) AS HUGEINT) * total.n) // total.l AS m FROM docs, total WHERE len(w) > 0),
+asked AS (SELECT i, item_id, term, count(*) AS q FROM (SELECT i, item_id, unnest(w) AS term FROM items) GROUP BY i, item_id, term),
+held AS (SELECT r, doc_id, m, term, count(*) AS tf FROM (SELECT r, doc_id, m, unnest(w) AS term FROM lengths) WHERE term IN (SELECT term FROM asked) GROUP BY r, doc_id, m, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * total.n + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM held, total GROUP BY term, total.n),
+scored AS (SELECT i, item_id, r, doc_id, CAST(sum(q * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM asked JOIN held USING (term) JOIN weights USING (term) GROUP BY i, item_id, r, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_divergence": r"""
+WITH uses AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)),
+kept AS (SELECT lang, term, count(*) AS n FROM uses GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(n) AS BIGINT) AS total FROM kept GROUP BY lang),
+held AS (SELECT lang, source, term, count(*) AS n FROM uses JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+sizes AS (SELECT g.lang, g.source, coalesce(CAST(sum(h.n) AS BIGINT), 0) AS total FROM groups g LEFT JOIN held h USING (lang, source) GROUP BY g.lang, g.source),
+p AS (SELECT s.lang, s.source, k.term, coalesce(h.n, 0) AS n, 1 + (1000000000 * (CAST(coalesce(h.n, 0) AS HUGEINT) + 1)) // (s.total + l.v) AS p,
+             1 + (1000000000 * (CAST(k.n AS HUGEINT) + 1)) // (l.total + l.v) AS q
+      FROM sizes s JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN held h ON h.lang = s.lang AND h.source = s.source AND h.term = k.term),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
     # Sources by the ratio of limit and weight: one stops at its limit if its share of what those before it leave is more.
     "targets_of_mixing": r"""
 WITH sized AS (SELECT source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size FROM documents),
