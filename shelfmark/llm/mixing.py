@@ -38,7 +38,8 @@ def running(df: DataFrame, by: list[str], order: list[str], value: str, name: st
         sized = df.join(df.groupBy(*by).agg(F.ceil(F.sqrt(F.count(F.lit(1)))).alias("_buckets")), by)
     else:
         sized = df.withColumn("_buckets", F.lit(isqrt(df.count()) + 1).cast("long"))
-    dealt = sized.withColumn("_bucket", F.pmod(F.xxhash64(*order), "_buckets")).drop("_buckets")
+    # Dealt out by bucket in so many words: else the windows are content with rows dealt by group, and a group is one task's.
+    dealt = sized.withColumn("_bucket", F.pmod(F.xxhash64(*order), "_buckets")).drop("_buckets").repartition(partitions(df.sparkSession), *by, "_bucket")
     inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
     summed = dealt.withColumn("_inside", F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(value))
     totals = dealt.groupBy(*by, "_bucket").agg(F.sum(value).alias("_total"))
