@@ -1,18 +1,18 @@
 """Similar books: blocking by name tokens and near authors, scoring, symmetric links.
 
 A pair needs a common name token and two author keys within the border, so both are part of the
-self-join's key.  Near author keys are found first, among distinct keys: of two strings within k edits,
-one of the k + 1 segments of the shorter stands in the longer, moved by k places at most.  A book then goes to every
+self-join's key.  Near author keys are found first, among distinct keys.  A book then goes to every
 key that is near one of its own and meets the books with that key and the same token.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import author_keys, comparable, name_key, name_tokens
-from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER, book_score, edit_distance
+from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER, book_score
+from shelfmark.operators.near import both_ways, near_keys
 from shelfmark.schema import BOOKS
 from shelfmark.scratch import stash
 
@@ -51,51 +51,6 @@ def salted_postings(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple
     return dealt, every
 
 
-def _edits(longer: Column, border: float) -> Column:
-    """The most edits between two keys of which the longer has so many characters."""
-    return F.floor(longer * F.lit(border) + 1e-9).cast("int")
-
-
-def _segment(length: Column, edits: Column, i: Column) -> tuple[Column, Column]:
-    """Start, from 0, and length of a segment of a key."""
-    start, end = (F.floor(k * length / (edits + 1)).cast("int") for k in (i, i + 1))
-    return start, end - start
-
-
-def near_keys(keys: DataFrame, border: float = EDIT_BORDER) -> DataFrame:
-    """(x, y): all pairs of distinct keys (key) within the border, both ways, and each with itself."""
-    sized = keys.where("key <> ''").distinct().withColumn("n", F.length("key"))
-    n, key = F.col("n"), F.col("key")
-    most = F.greatest(n, F.floor(n / F.lit(max(1e-9, 1 - border)) + 1e-9).cast("int"))
-    least = F.greatest(F.lit(1), F.ceil(n * F.lit(1 - border) - 1e-9).cast("int"))
-
-    def own(longer: Column) -> Column:
-        edits = _edits(longer, border)
-
-        def one(i: Column) -> Column:
-            start, size = _segment(n, edits, i)
-            return F.struct(n.alias("a"), longer.alias("b"), i.alias("i"), F.substring(key, start + 1, size).alias("part"))
-
-        return F.transform(F.sequence(F.lit(0), edits), one)
-
-    def held(shorter: Column) -> Column:
-        edits = _edits(n, border)
-
-        def one(i: Column) -> Column:
-            start, size = _segment(shorter, edits, i)
-            places = F.sequence(F.greatest(F.lit(0), start - edits), F.greatest(F.lit(0), F.least(start + edits, n - size)))
-            return F.transform(places, lambda p: F.struct(shorter.alias("a"), n.alias("b"), i.alias("i"), F.substring(key, p + 1, size).alias("part")))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), edits), one))
-
-    short = sized.select(F.col("key").alias("x"), F.explode(F.flatten(F.transform(F.sequence(n, most), own))).alias("s"))
-    long = sized.select(F.col("key").alias("y"), F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(least, n), held)))).alias("s"))
-    met = short.join(long, "s").where("x <> y").select("x", "y").distinct()
-    near = met.where(edit_distance(F.col("x"), F.col("y"), border).isNotNull())
-    same = sized.select(F.col("key").alias("x"), F.col("key").alias("y"))
-    return _both_ways(near, "x", "y").distinct().union(same)
-
-
 def near_candidates(keyed: DataFrame, edit: float = EDIT_BORDER, id_col: str = "Id") -> DataFrame:
     """The candidates whose authors pass; the test of authors is symmetric, so a pair is tested once."""
     books = keyed.select(F.col(id_col).alias("id"), F.col("Compared").alias("old"), "name_tokens", F.explode("author_keys").alias("x"))
@@ -112,13 +67,6 @@ def near_candidates(keyed: DataFrame, edit: float = EDIT_BORDER, id_col: str = "
     return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
-def _both_ways(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Each pair and its reverse, in one pass."""
-    ways = F.array(F.struct(F.col(a).alias("_a"), F.col(b).alias("_b")), F.struct(F.col(b).alias("_a"), F.col(a).alias("_b")))
-    rest = [c for c in pairs.columns if c not in (a, b)]
-    return pairs.select(F.explode(ways).alias("_w"), *rest).select(F.col("_w._a").alias(a), F.col("_w._b").alias(b), *rest)
-
-
 def comparisons(keyed: DataFrame, edit: float = EDIT_BORDER, overlap: float = OVERLAP_BORDER, id_col: str = "Id") -> DataFrame:
     """Successful comparisons (from_id, to_id, coeff) of books not yet compared with all others.
 
@@ -128,7 +76,7 @@ def comparisons(keyed: DataFrame, edit: float = EDIT_BORDER, overlap: float = OV
     keyed = stash(keyed.select(id_col, "Compared", "author_keys", "name_key", "name_tokens"), "keys")
     side = keyed.select(F.col(id_col).alias("id"), F.struct("author_keys", "name_key", "name_tokens").alias("k"), F.col("Compared").alias("old"))
     pairs = near_candidates(keyed, edit, id_col)
-    both = _both_ways(pairs, "a", "b")
+    both = both_ways(pairs, "a", "b")
     probing = side.where(~F.col("old")).select(F.col("id").alias("a"), F.col("k").alias("ka"))
     other = side.select(F.col("id").alias("b"), F.col("k").alias("kb"))
     scored = both.join(probing, "a").join(other, "b").select("a", "b", book_score("ka", "kb", edit, overlap).alias("s")).where("s.success")
@@ -141,7 +89,7 @@ def similar_edges(keyed: DataFrame, edit: float = EDIT_BORDER, overlap: float =
     Two books of which both probe can have two different links each way.
     """
     forward = comparisons(keyed, edit, overlap, id_col)
-    return _both_ways(forward, "from_id", "to_id").distinct()
+    return both_ways(forward, "from_id", "to_id").distinct()
 
 
 def similar_maps(books: DataFrame, edges: DataFrame) -> DataFrame:
