@@ -5,10 +5,11 @@ by document, so no task holds a whole list.  Items are asked in blocks of bounde
 
 1. The head of every list is fetched; the sums of what heads say are lower bounds of scores, and the k-th best of an
    item is a bound for its whole ranking.
-2. That bound over the item's number of lists is a threshold for all its lists alike: a document that
+2. A part of that bound over the item's number of lists is a threshold for all its lists alike: a document that
    is below it in every list can't reach the bound.  Entries at or above the least threshold of any item are
    sent once, to their range of documents, where each item takes its own.  Partial sums give a better bound; a document whose
-   partial sum and what lists may still hold below their thresholds come to less is out.
+   partial sum and what lists may still hold below their thresholds come to less is out.  The lower the threshold, the
+   more entries are sent and the fewer documents are left.
 3. The exact scores of the documents left are looked up in the lists.
 
 Ties with a bound are never cut, so results are those of scoring every document.
@@ -33,6 +34,8 @@ from shelfmark.llm.common import ALNUM, byte_tokens, partitions, scratch_dir, st
 TOP, SEGMENT, BLOCK_TERMS, RANGE_BITS = 10, 50_000, 200_000, 12
 #: Bytes of the items' terms that are sent along to keep other terms out of the index; with more, it has all terms.
 WANTED_BYTES = 32 << 20
+#: The threshold's divisor, besides the number of lists.
+PART = 4
 
 
 @dataclass(frozen=True)
@@ -108,10 +111,10 @@ def _kth(scored: DataFrame, score: str, top: int) -> dict[int, int]:
     return {r.item: r[1] for r in scored.select("item", score, F.row_number().over(order).alias("r")).where(F.col("r") <= top).where(F.col("r") == top).select("item", score).collect()}
 
 
-def _fetch(postings: DataFrame, items: dict[int, list[tuple[int, int, int, int]]], top: int) -> DataFrame:
+def _fetch(postings: DataFrame, items: dict[int, list[tuple[int, int, int, int]]], bounds: dict[int, int], top: int) -> DataFrame:
     """item, doc, partial, upper of the documents of every range that may be among the best there.
 
-    items: (tid, gain, least impact, most that an entry below it adds) of each list of an item.
+    items: (tid, gain, least impact, most that an entry below it adds) of each list of an item; bounds: of its ranking, from the heads.
     """
     size = 1 << RANGE_BITS
 
@@ -133,9 +136,10 @@ def _fetch(postings: DataFrame, items: dict[int, list[tuple[int, int, int, int]]
                 partial[place[a:b]] += gain * impact[a:b]
                 missed[place[a:b]] -= most
             seen = np.flatnonzero(partial)
+            bound = bounds.get(item, 0)
             if len(seen) > top:
-                bound = np.partition(partial[seen], len(seen) - top)[len(seen) - top]
-                seen = seen[partial[seen] + missed[seen] >= bound]
+                bound = max(bound, np.partition(partial[seen], len(seen) - top)[len(seen) - top])
+            seen = seen[partial[seen] + missed[seen] >= bound]
             if len(seen):
                 found.append((np.full(len(seen), item), first + seen, partial[seen], partial[seen] + missed[seen]))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 4
@@ -167,11 +171,11 @@ def _ask(index: Index, asked: DataFrame, top: int) -> DataFrame:
         lists.setdefault(r.item, []).append(r)
     items = {}
     for item, held in lists.items():
-        b, m = bound.get(item, 0), len(held)
-        least = lambda r, b=b, m=m: -(-b // (m * r.gain))  # noqa: E731  gain * impact >= b / m, in whole numbers
+        b, m = bound.get(item, 0), PART * len(held)
+        least = lambda r, b=b, m=m: -(-b // (m * r.gain))  # noqa: E731  gain * impact >= b / m in whole numbers
         most = lambda r, b=b, m=m: min(r.gain * r.best, (b - 1) // m) if b else 0
         items[item] = [(r.tid, r.gain, least(r), most(r)) for r in held]
-    maybe = stash(_fetch(index.postings, items, top), "candidates")
+    maybe = stash(_fetch(index.postings, items, bound, top), "candidates")
     second = spark.createDataFrame(list(_kth(maybe, "partial", top).items()), "item long, bound long")
     left = maybe.join(F.broadcast(second), "item", "left").where("bound is null or upper >= bound").select("item", "doc")
     looked = left.join(F.broadcast(asked), "item").select("item", "doc", "tid", _salt().alias("salt"), "gain")
