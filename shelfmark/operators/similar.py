@@ -13,14 +13,11 @@ from pyspark.sql import functions as F
 from shelfmark.functions.keys import author_keys, comparable, name_key, name_tokens
 from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER, book_score
 from shelfmark.operators.near import both_ways, near_keys
+from shelfmark.operators.overlap import salted_postings
 from shelfmark.schema import BOOKS
 from shelfmark.scratch import stash
 
 
-#: Postings of a token that are compared with all others of it in one task.
-SALTED = 500
-
-
 def with_keys(books: DataFrame) -> DataFrame:
     """Adds author_keys, name_key, name_tokens to the comparable books."""
     keyed = {"author_keys": author_keys(F.col("Authors")), "name_key": name_key(F.col("Name")), "name_tokens": name_tokens(F.col("Name"))}
@@ -39,18 +36,6 @@ def candidates(keyed: DataFrame, id_col: str = "Id") -> DataFrame:
     return left.withColumnRenamed("id", "a").join(right.withColumnRenamed("id", "b"), ["token", "salt"]).where("a < b").select("a", "b").distinct()
 
 
-def salted_postings(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a join on keys, the postings (keys and id) of frequent ones dealt out.
-
-    A key of n postings on the left gets n / SALTED salts: the left side has each posting once, under
-    one of them, the right side under all, so no task compares more than SALTED postings with all others.
-    """
-    sizes = left.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SALTED).cast("int").alias("salts"))
-    dealt = left.join(sizes, keys).withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int")).drop("salts")
-    every = right.join(sizes, keys).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    return dealt, every
-
-
 def near_candidates(keyed: DataFrame, edit: float = EDIT_BORDER, id_col: str = "Id") -> DataFrame:
     """The candidates whose authors pass; the test of authors is symmetric, so a pair is tested once."""
     books = keyed.select(F.col(id_col).alias("id"), F.col("Compared").alias("old"), "name_tokens", F.explode("author_keys").alias("x"))

@@ -15,12 +15,17 @@ from shelfmark.functions import score as S
 from shelfmark.functions import text as T
 from shelfmark.operators import harvest as V
 from shelfmark.operators import similar as M
+from shelfmark.operators import structure as N
+from shelfmark.operators.index import BookIndex
+from shelfmark.operators.overlap import overlap_candidates, overlap_pairs, ranked_tokens
 from shelfmark.plans.compare import compare, derived_books
+from shelfmark.plans.metrics import Metrics
 from shelfmark.schema import as_books
-from shelfmark.scratch import scratch_dir
+from shelfmark.scratch import scratch_dir, stash
 from shelfmark.sources import html as H
 from shelfmark.sources import payloads as P
 from shelfmark.sources.store import BookStore
+from shelfmark.streaming import state as W
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -260,6 +265,20 @@ def html_label_pairs(spark, sf_dir):
     return rows.withColumn("pairs", pairs).select("id", of(0).alias("isbn"), of(1).alias("year"))
 
 
+@query(
+    "q45_html_descendants",
+    r"""WITH lists AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<ul>.*?</ul>')) AS ul FROM pages),
+    within AS (SELECT page_id, 'li' AS tag, 1 AS depth, len(regexp_extract_all(ul, '<li>')) AS n FROM lists
+               UNION ALL SELECT page_id, 'a', 2, len(regexp_extract_all(ul, '<li><a [^>]*>')) FROM lists)
+    SELECT page_id, tag, depth, CAST(sum(n) AS BIGINT) AS n, count(*) AS lists FROM within WHERE n > 0 GROUP BY ALL""",
+)
+def html_descendants(spark, sf_dir):
+    """Items and links below the lists of a page, with their depth."""
+    below = N.descendants(N.intervals(_pages(spark, sf_dir), "page_id", F.col("dom")), F.col("tag") == "ul", F.col("tag").isin("li", "a"))
+    by_list = below.groupBy("page", "ancestor", "tag", "depth").agg(F.count(F.lit(1)).alias("n"))
+    return by_list.groupBy(F.col("page").alias("page_id"), "tag", "depth").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("lists"))
+
+
 _PAGERS = [(1, "1,2,17,»", 17), (2, "назад", 1), (3, None, 1), (4, "3, x,5", 5)]
 
 
@@ -346,6 +365,72 @@ def store_updates(spark, sf_dir):
     return store.read(columns=["Id", "ElsName", "Pages", "Publisher"])
 
 
+# --- Streams and figures ---------------------------------------------------------------------------
+
+
+def _scratch(spark, name):
+    return f"{scratch_dir(spark).rstrip('/')}/shelfmark/{name}-{uuid.uuid4().hex}"
+
+
+def _stream(spark, path, like, files=1_000):
+    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+@query(
+    "q46_count_windows",
+    """SELECT source AS key, batch, count(*) AS n, min(doc_id) AS least, max(doc_id) AS greatest
+    FROM (SELECT source, doc_id, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 7 AS batch FROM documents) GROUP BY source, batch""",
+)
+def count_windows(spark, sf_dir):
+    """The documents of every source in batches of seven by a stream; a restarted one hears that sources are complete and flushes the rests."""
+    docs = _table(spark, sf_dir, "documents").select("source", "doc_id")
+    source, out, state = (_scratch(spark, n) for n in ("arrivals", "windows", "state"))
+    rows = W.numbered(docs, F.col("source"), F.col("doc_id"), F.col("doc_id"))
+    rows.write.parquet(source)
+    done = rows.select("key").distinct().select("key", F.lit(None).cast("long").alias("seq"), F.lit(None).cast("string").alias("item"), F.lit(True).alias("done"))
+    for step in (0, 1):
+        if step:
+            done.write.mode("append").parquet(source)
+        batches = W.count_windows(_stream(spark, source, rows), 7)
+        W.run_all(batches.writeStream.format("parquet").option("path", out).option("checkpointLocation", state), spark)
+    return spark.read.parquet(out).groupBy("key", "batch").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("least"), F.max("seq").alias("greatest"))
+
+
+@query("q47_seen_once", "SELECT event_id, event_type, 1 AS n FROM events")
+def seen_once(spark, sf_dir):
+    """Events that are replayed with overlap, in two runs of one stream: each is taken once, after the restart too."""
+    events = _table(spark, sf_dir, "events").select("event_id", "event_type")
+    source, out, state = (_scratch(spark, n) for n in ("replay", "events", "seen"))
+    part = F.col("event_id") % 4
+    for some in (events.where(part < 2).union(events.where(part == 1)), events.where(part > 0)), (events.where(part == 3), events):
+        for rows in some:
+            rows.write.mode("append").parquet(source)
+        W.run_all(W.seen_once(_stream(spark, source, events, 4), ["event_id"]).writeStream.format("parquet").option("path", out).option("checkpointLocation", state), spark)
+    return spark.read.parquet(out).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@query(
+    "q48_metrics",
+    f"""WITH {_BOOKS.strip()}, {_KEYS.strip()}, {_PAIRS.strip()}, {_AUTHORS.strip()}
+    SELECT 'books' AS step, unnest(['rows', 'least', 'greatest']) AS figure, unnest([count(*), min(doc_id), max(doc_id)]) AS value FROM documents
+    UNION ALL SELECT 'comparable', 'rows', count(*) FROM keyed
+    UNION ALL SELECT 'publishers', 'rows', count(DISTINCT lower(Publisher)) FROM books
+    UNION ALL SELECT 'authors', 'rows', count(*) FROM author_dict
+    UNION ALL SELECT 'index', unnest(['rows', 'books']), unnest([count(*), count(*) FILTER (WHERE first)]) FROM (SELECT row_number() OVER (PARTITION BY Id) = 1 AS first FROM posting)""",
+)
+def metrics(spark, sf_dir):
+    """Sizes of the books, dictionaries and index of a comparison, told by the jobs that write them."""
+    seen = Metrics()
+    number = F.col("ExternalId").cast("long")
+    books = stash(seen.of(derived_books(spark, sf_dir), "books", least=F.min(number), greatest=F.max(number)), "books")
+    keyed = stash(seen.of(M.with_keys(books), "comparable"), "keyed")
+    stash(seen.of(B.publisher_dictionary(books), "publishers"), "publishers")
+    stash(seen.of(B.author_dictionary(books), "authors"), "authors")
+    postings = keyed.select("Id", F.posexplode("name_tokens").alias("at", "token"))
+    stash(seen.of(postings, "index", books=F.count_if(F.col("at") == 0)), "postings")
+    return seen.table(spark)
+
+
 # --- Descriptions --------------------------------------------------------------------------------
 
 
@@ -462,9 +547,29 @@ def author_first_hit(spark, sf_dir):
     "CAST(least(len(x.name_tokens), len(y.name_tokens)) AS DOUBLE) AS diff, least(len(x.name_tokens), len(y.name_tokens)) AS n FROM candidates "
     "JOIN keyed x ON x.Id = a JOIN keyed y ON y.Id = b) SELECT a, b, round(diff, 6) AS diff FROM d WHERE n >= 5 AND diff <= 0.4",
 )
-def overlap_pairs(spark, sf_dir):
-    s = S.overlap_score(F.col("ka.name_tokens"), F.col("kb.name_tokens"))
-    return _pairs(spark, sf_dir).withColumn("s", s).where("s.success").select("a", "b", F.round("s.diff", 6).alias("diff"))
+def overlaps(spark, sf_dir):
+    return overlap_pairs(M.with_keys(derived_books(spark, sf_dir))).select("a", "b", F.round("diff", 6).alias("diff"))
+
+
+@query(
+    "q44_overlap_filter",
+    f"""WITH {_BOOKS.strip()}, {_KEYS.strip()}, {_PAIRS.strip()},
+    each AS (SELECT Id, len(name_tokens) AS size, unnest(name_tokens) AS token FROM keyed WHERE len(name_tokens) >= 5),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY Id ORDER BY n, token) - 1 AS place, CAST(ceil(size * 0.6 - 1e-9) AS INTEGER) AS need
+               FROM each JOIN (SELECT token, count(*) AS n FROM each GROUP BY token) USING (token)),
+    asked AS (SELECT DISTINCT p.Id AS a, q.Id AS b FROM ranked p JOIN ranked q ON p.token = q.token AND (p.size < q.size OR p.size = q.size AND p.Id < q.Id)
+              AND p.place <= p.size - p.need AND least(p.size - p.place, q.size - q.place) >= p.need),
+    passed AS (SELECT a, b FROM asked JOIN keyed x ON x.Id = a JOIN keyed y ON y.Id = b WHERE 1.0 - len(list_intersect(x.name_tokens, y.name_tokens)) / CAST(len(x.name_tokens) AS DOUBLE) <= 0.4)
+    SELECT 'common token' AS what, count(*) AS pairs FROM candidates JOIN keyed x ON x.Id = a JOIN keyed y ON y.Id = b WHERE least(len(x.name_tokens), len(y.name_tokens)) >= 5
+    UNION ALL SELECT 'prefix filter', count(*) FROM asked UNION ALL SELECT 'overlap', count(*) FROM passed""",
+)
+def overlap_filter(spark, sf_dir):
+    """How many pairs have a common token, pass the prefix filter, and pass the test."""
+    keyed = stash(M.with_keys(derived_books(spark, sf_dir)).select("Id", "name_tokens"), "keyed")
+    ranked = stash(ranked_tokens(keyed), "ranked")
+    count = lambda df, what: df.agg(F.count(F.lit(1)).alias("pairs")).select(F.lit(what).alias("what"), "pairs")
+    any_token = M.candidates(keyed.where(F.size("name_tokens") >= 5))
+    return count(any_token, "common token").union(count(overlap_candidates(ranked), "prefix filter")).union(count(overlap_pairs(keyed), "overlap"))
 
 
 # --- Links ---------------------------------------------------------------------------------------
@@ -500,6 +605,16 @@ def incremental(spark, sf_dir):
     return forward.select("from_id", "to_id", F.round("coeff", 6).alias("coeff"))
 
 
+@query("q43_index_deltas", f"{_LINKING.replace('NOT old_a AND ', '')} SELECT from_id, to_id, round(coeff, 6) AS coeff FROM edges")
+def index_deltas(spark, sf_dir):
+    """Two thirds of the books indexed, the others added in two runs: the links of all three are those of one comparison of all."""
+    index = BookIndex(spark, f"{scratch_dir(spark).rstrip('/')}/shelfmark/index-{uuid.uuid4().hex}")
+    keyed = stash(M.with_keys(derived_books(spark, sf_dir)), "keyed")
+    turn = F.col("ExternalId").cast("long") % 6
+    runs = [index.add(keyed.where(part)) for part in (turn % 3 != 2, turn == 2, turn == 5)]
+    return runs[0].union(runs[1]).union(runs[2]).distinct().select("from_id", "to_id", F.round("coeff", 6).alias("coeff"))
+
+
 @query("q35_compared_count", "SELECT source AS ElsName, count(*) FILTER (WHERE doc_id % 3 = 0) AS compared, count(*) AS n FROM documents GROUP BY source")
 def compared_count(spark, sf_dir):
     return derived_books(spark, sf_dir).groupBy("ElsName").agg(F.count_if("Compared").alias("compared"), F.count(F.lit(1)).alias("n"))

@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 # Elements that have no end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Index of an element, its parent and the last element inside it; name, class, id; texts; attributes.
+#: Index of an element, its parent and the last element inside it, elements above it; name, class, id; texts; attributes.
 ELEMENT = T.StructType(
-    [T.StructField(c, T.IntegerType()) for c in ("i", "parent", "last")]
+    [T.StructField(c, T.IntegerType()) for c in ("i", "parent", "last", "level")]
     + [T.StructField(c, T.StringType()) for c in ("tag", "cls", "id", "text", "next_text", "first_text")]
     + [T.StructField("attrs", T.MapType(T.StringType(), T.StringType()))]
 )
@@ -38,7 +38,7 @@ class _Tree(HTMLParser):
         if "&" in raw:  # the parser decodes values; here they stay as they stand
             attrs = [(m[1].lower(), m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "") for m in _ATTRIBUTE.finditer(raw)]
         held = {k: v or "" for k, v in reversed(attrs)}
-        row = {"i": len(self.rows), "parent": parent, "last": len(self.rows), "tag": tag, "cls": held.get("class"), "id": held.get("id"), "attrs": held}
+        row = {"i": len(self.rows), "parent": parent, "last": len(self.rows), "level": len(self.open), "tag": tag, "cls": held.get("class"), "id": held.get("id"), "attrs": held}
         self._settle(parent)
         if parent >= 0:
             if self.rows[parent]["first"] is None:
@@ -98,7 +98,7 @@ class _Tree(HTMLParser):
             self._close(self.open.pop())
         texts = ["".join(r["parts"]) for r in self.rows]
         of = lambda x: texts[x] if isinstance(x, int) and x < len(texts) else x if isinstance(x, str) else None
-        keys = ("i", "parent", "last", "tag", "cls", "id", "attrs")
+        keys = ("i", "parent", "last", "level", "tag", "cls", "id", "attrs")
         return [{k: r[k] for k in keys} | {"text": texts[r["i"]], "next_text": of(r["next"]), "first_text": of(r["first"])} for r in self.rows]
 
 
@@ -139,12 +139,13 @@ def by_id(dom: Column, id_: str) -> Column:
 
 
 def inside(dom: Column, element: Column) -> Column:
-    """The elements within an element; none if it is null."""
-    return F.filter(dom, lambda e: F.coalesce((e["i"] > element["i"]) & (e["i"] <= element["last"]), F.lit(False)))
+    """The elements within an element, which stand behind it one after another; none if it is null."""
+    found = F.slice(dom, element["i"] + 2, element["last"] - element["i"])
+    return F.coalesce(found, F.filter(dom, lambda e: F.lit(False)))
 
 
 def children(dom: Column, element: Column) -> Column:
-    return F.filter(dom, lambda e: F.coalesce(e["parent"] == element["i"], F.lit(False)))
+    return F.filter(inside(dom, element), lambda e: e["parent"] == element["i"])
 
 
 def first(found: Column) -> Column:
@@ -176,7 +177,7 @@ def label_values(labels: Column) -> Column:
 
 def row_pairs(dom: Column, table: Column) -> Column:
     """(label, value, title) of the rows of a table that have exactly two cells."""
-    cells = lambda row: F.filter(dom, lambda e: (e["tag"] == "td") & (e["i"] > row["i"]) & (e["i"] <= row["last"]))
+    cells = lambda row: by_tag(inside(dom, row), "td")
     rows = F.transform(by_tag(inside(dom, table), "tr"), cells)
     two = F.filter(rows, lambda c: F.size(c) == 2)
     trim = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

@@ -1,16 +1,17 @@
-"""The store of books: Parquet files in place of a document collection.
+"""The store of books: a Parquet table with a partition for each catalogue.
 
-Reads push filters and columns down to the scan.  The table is a list of files, written anew by every
-change; a failed write leaves the old list in place.  An append adds files.  An update rewrites only the files that hold a changed row.
+Reads push filters and columns down to the scan, and one of a catalogue reads its partition alone.  An append adds
+files.  An update finds the catalogues that hold a changed row by the ids alone and writes only their partitions
+anew, by Spark's dynamic overwrite: a failed job leaves the old ones.  Appends may run side by side; an update
+wants its catalogues to itself.
 """
 
 from __future__ import annotations
 
-import json
 import logging
-import uuid
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,71 +22,18 @@ log = logging.getLogger("shelfmark.store")
 
 
 class BookStore:
-    """A table of books in one folder: data/<write>/<file> and log/<version>, the list of a version's files.
-
-    A version is made by a rename that fails if it exists, on file systems with such a rename; who comes second
-    tries again on the newer list.  So appends during an update stay, and of two updates of one file the second fails.
-    """
+    """A table of books in one folder, partitioned by ElsName."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _at(self, *parts: str):
-        return self._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
-
-    def _names(self, *parts: str) -> list[str]:
-        fs = self._at().getFileSystem(self._conf)
-        return [x.getPath().getName() for x in fs.listStatus(self._at(*parts))] if fs.exists(self._at(*parts)) else []
-
-    def _version(self) -> tuple[int, list[str]]:
-        """The newest version and its files; -1 and none before the first."""
-        newest = max((int(n) for n in self._names("log") if n.isdigit()), default=-1)
-        if newest < 0:
-            return -1, []
-        stream = self._at().getFileSystem(self._conf).open(self._at("log", f"{newest:012d}"))
-        try:
-            return newest, json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _commit(self, added: list[str], removed: Iterable[str] = ()) -> None:
-        """Makes the next version: the newest one's files without those removed and with those added."""
-        removed = set(removed)
-        fs = self._at().getFileSystem(self._conf)
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
-        kind = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
-        never_over = self.spark.sparkContext._gateway.new_array(kind, 1)
-        never_over[0] = kind.NONE
-        while True:
-            version, files = self._version()
-            if removed - set(files):
-                raise RuntimeError("another update has rewritten the same files")
-            draft = self._at("log", f"_{uuid.uuid4().hex}")
-            stream = fs.create(draft)
-            try:
-                stream.write(bytearray(json.dumps([f for f in files if f not in removed] + added).encode()))
-            finally:
-                stream.close()
-            try:
-                context.rename(fs.makeQualified(draft), fs.makeQualified(self._at("log", f"{version + 1:012d}")), never_over)
-                return
-            except Exception:
-                fs.delete(draft, False)
-                if self._version()[0] <= version:  # not a matter of who came first
-                    raise
-
-    def _write(self, books: DataFrame) -> list[str]:
-        name = uuid.uuid4().hex
-        as_books(books).write.parquet(f"{self.path}/data/{name}")
-        return [f"{name}/{f}" for f in self._names("data", name) if f.endswith(".parquet")]
-
-    def _files(self, files: Iterable[str]) -> DataFrame:
-        paths = [f"{self.path}/data/{f}" for f in files]
-        return self.spark.read.schema(BOOKS).parquet(*paths) if paths else self.spark.createDataFrame([], BOOKS)
 
     def all(self) -> DataFrame:
-        return self._files(self._version()[1])
+        try:
+            return self.spark.read.schema(BOOKS).parquet(self.path).select(BOOKS.names)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], BOOKS)
 
     def read(self, condition: Column | None = None, columns: Iterable[str] | None = None) -> DataFrame:
         """Rows that meet a condition, with some columns."""
@@ -100,28 +48,34 @@ class BookStore:
         return self.read(F.col("ElsName") == els_name, ["ElsName", "ExternalId"]).distinct()
 
     def create_many(self, books: DataFrame) -> bool:
-        """Appends rows, those without an id left out; an error is logged and tells False."""
+        """Appends rows, those without an id or a catalogue left out; an error is logged and tells False."""
         try:
-            self._commit(self._write(books.where(F.col("ExternalId").isNotNull())))
+            good = as_books(books).where("ExternalId is not null and ElsName <> ''")
+            good.write.mode("append").partitionBy("ElsName").parquet(self.path)
         except Exception:  # noqa: BLE001  the caller goes on with other batches
             log.exception("books were not saved")
             return False
         return True
 
+    def touched(self, keys: DataFrame, key: str = "Id") -> DataFrame:
+        """All rows of the catalogues that hold one of the keys (_key); the partitions of the others are not read."""
+        held = self.all().select(F.col(key).alias("_key"), "ElsName").join(keys, "_key", "left_semi")
+        names = held.select(F.col("ElsName").alias("_name")).where("_name <> ''").distinct()  # as many as catalogues at most
+        return self.all().join(F.broadcast(names), F.col("ElsName") == F.col("_name"), "left_semi")
+
     def update_many(self, changes: DataFrame, key: str = "Id") -> bool:
-        """Sets the columns of changes in the rows of the same key; nothing to change is a success."""
+        """Sets the columns of changes in the rows of the same key; nothing to change is a success.  A book stays in its catalogue."""
+        fields = [c for c in changes.columns if c != key]
+        if "ElsName" in fields:
+            raise ValueError("a book stays in its catalogue")
         try:
-            fields = [c for c in changes.columns if c != key]
-            right = stash(changes.select(F.col(key).alias("_key"), F.struct(*fields).alias("_new")).dropDuplicates(["_key"]), "changes")
-            file = F.substring_index(F.input_file_name(), "/", -2).alias("file")
-            held = self.all().select(F.col(key).alias("_key"), file).join(right.select("_key"), "_key", "left_semi")
-            touched = [r.file for r in held.select("file").distinct().collect()]  # names of files, as many as the list of a version has at most
-            if touched:
-                joined = self._files(touched).join(right, F.col(key) == F.col("_key"), "left")
-                for c in fields:
-                    joined = joined.withColumn(c, F.when(F.col("_key").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)))
-                self._commit(self._write(joined.drop("_key", "_new")), touched)
-        except Exception:  # noqa: BLE001  the old version stays
+            right = stash(changes.select(F.col(key).alias("_key"), F.struct(*fields).alias("_new")).where("_key is not null").dropDuplicates(["_key"]), "changes")
+            joined = self.touched(right.select("_key"), key).join(right, F.col(key) == F.col("_key"), "left")
+            for c in fields:
+                joined = joined.withColumn(c, F.when(F.col("_key").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)))
+            anew = stash(as_books(joined), "updated")  # a table can't be written over while it is read
+            anew.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ElsName").parquet(self.path)
+        except Exception:  # noqa: BLE001  the old partitions stay
             log.exception("books were not updated")
             return False
         return True
@@ -130,22 +84,3 @@ class BookStore:
         """Sets columns of the rows that meet a condition."""
         found = self.read(condition, ["Id"])
         return self.update_many(found.select("Id", *[F.lit(v).alias(c) for c, v in values.items()]))
-
-    def vacuum(self) -> int:
-        """Deletes files that the newest version does not list, and older lists; how many files.  Only while nobody else reads or writes."""
-        fs = self._at().getFileSystem(self._conf)
-        version, files = self._version()
-        keep, gone = set(files), 0
-        for write in self._names("data"):
-            names = [f"{write}/{f}" for f in self._names("data", write)]
-            left = [n for n in names if n in keep]
-            gone += sum(n.endswith(".parquet") for n in names) - len(left)
-            for n in [] if left else [write]:
-                fs.delete(self._at("data", n), True)
-            for n in names if left else []:
-                if n not in keep and n.endswith(".parquet"):
-                    fs.delete(self._at("data", n), False)
-        for n in self._names("log"):
-            if n != f"{version:012d}":
-                fs.delete(self._at("log", n), False)
-        return gone

@@ -105,21 +105,19 @@ def test_store_rewrites_only_what_changes(spark, tmp_path):
     store, other = (BookStore(spark, f"{tmp_path}/b") for _ in range(2))
     assert store.update_many(spark.createDataFrame([("x", "new")], "Id string, Name string")) and store.all().count() == 0
     for k in "abc":
-        assert store.create_many(spark.createDataFrame([(k, "E", k, "old")], row).coalesce(1))
-    before = store._version()[1]
+        assert store.create_many(spark.createDataFrame([(k, f"E{k}", k, "old"), (f"{k}2", f"E{k}", f"{k}2", None)], row))
+    assert store.create_many(spark.createDataFrame([("n", None, "n", "no catalogue"), ("e", "", "e", "")], row)) and store.all().count() == 6
+    files = lambda k: {f.name for f in (tmp_path / "b" / f"ElsName=E{k}").glob("*.parquet")}
+    before = {k: files(k) for k in "abc"}
     assert store.update_many(spark.createDataFrame([("b", "new"), ("x", "new"), (None, "new")], "Id string, Name string"))
-    after = store._version()[1]
-    assert len(set(before) - set(after)) == 1 and len(set(before) & set(after)) == 2
-    # An append between an update's reading and its commit stays; a second rewriting of the same file does not go through.
-    added = store._write(store._files(after[:1]).withColumn("Name", F.lit("later")))
-    assert other.create_many(spark.createDataFrame([("d", "E", "d", "old")], row))
-    store._commit(added, after[:1])
-    with pytest.raises(RuntimeError):
-        other._commit(added, after[:1])
-    want = {"a": "old", "b": "new", "c": "old", "d": "old"}
-    want[next(iter(want.keys() & {r.Id for r in store._files(after[:1]).collect()}))] = "later"
-    assert {r.Id: r.Name for r in store.all().collect()} == want
-    assert store.vacuum() == 2 and {r.Id: r.Name for r in other.all().collect()} == want and store.vacuum() == 0
+    assert files("a") == before["a"] and files("c") == before["c"] and not files("b") & before["b"]
+    want = {"a": "old", "b": "new", "c": "old", "a2": None, "b2": None, "c2": None}
+    assert {r.Id: r.Name for r in other.all().collect()} == want
+    with pytest.raises(ValueError):
+        store.update_many(spark.createDataFrame([("b", "Ea")], "Id string, ElsName string"))
+    # Partitions without a changed row are pruned by a subquery.
+    plan = store.touched(spark.createDataFrame([("b",)], "_key string"))._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan
 
 
 def test_requests():
