@@ -40,6 +40,13 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(docs: DataFrame, *read: str) -> tuple[DataFrame, list[Column]]:
+    """The columns that an operator reads, and all others in one struct, so that none clashes with a column that it adds; and the columns of docs to select again from its result."""
+    rest = [c for c in docs.columns if c not in read]
+    held = F.struct(*[F.col(f"`{c}`").alias(c) for c in rest]) if rest else F.lit(None)
+    return docs.select(*read, held.alias("_rest")), [F.col(c) if c in read else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns]
+
+
 def trim() -> None:
     """Gives memory that a Python worker has freed back to the system: workers stay idle between stages and keep their peak else."""
     import ctypes

@@ -1,8 +1,8 @@
 """Surrogates for personal data: keyed, of the same type and format, distinct for distinct values.
 
 Mail addresses, bank and card numbers, network addresses, telephone and social security numbers
-and names after a form of address, with their later mentions, are found in whole texts.  A mention is
-made of values: a name of its words, an address of its local part and domain labels, so what is partly
+and names, after a form of address or by a known given name, with their other mentions, are found in whole texts.  A mention is
+made of values: a name of its words but for particles, an address of its local part and domain labels, so what is partly
 the same stays partly the same.  A value, in lower case and without punctuation, is replaced by a keyed permutation of
 the values of its format: letters stay letters of their script, digits digits, a card number keeps its
 length, first digit and check digit, a given name becomes one of its gender and script, any other
@@ -34,11 +34,14 @@ MAX_BROADCAST = 100_000
 #: Candidates that are made in one group, and values that are ranked in one, about.
 GROUP = 10_000
 
-# Forms of address before a name, alphabets, longest parts of a mail address.
+# Forms of address before a name, those of languages with two surnames, particles within a name, alphabets,
+# the longest domain of a mail address.
 TITLES = (
-    "Mr Mrs Ms Miss Dr Prof Herr Frau Señor Señora Señorita Sra Doña Monsieur Madame Mademoiselle Mme Mlle "
+    "Mr Mrs Ms Miss Dr Dra Prof Sir Lady Herr Frau Señor Señora Señorita Sr Sra Srta Don Doña Monsieur Madame Mademoiselle Mme Mlle "
     "Господин Госпожа г-н г-жа"
 ).split()
+TWO_SURNAMES = frozenset("Señor Señora Señorita Sr Sra Srta Don Doña Dra".split())
+PARTICLES = frozenset("de del la las los da do dos das di du le van von der den zu y".split())
 ALPHABETS = [
     "0123456789",
     "aeiou",
@@ -69,9 +72,9 @@ GIVEN = {
 }
 _GIVEN = {name: group for group, names in GIVEN.items() for name in names}
 _CLASS = {c: a for a in ALPHABETS for c in a}
-LOCAL_BYTES, DOMAIN_BYTES = 64, 255
+DOMAIN_BYTES = 255
 
-_LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*\Z")
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}")
 _CARD = re.compile(r"(?<![\w.+-])[3-6][0-9]{3}(?:[ -]?[0-9]){9,15}(?![\w-])")
 _IP = re.compile(r"(?<![\w.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![\w]|\.[0-9])")
@@ -80,8 +83,12 @@ _PHONE = re.compile(
 )
 _SSN = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
-_NAME = re.compile(rf"\b(?:{'|'.join(TITLES)})\.?[  ]([^\W\d_a-zа-я][\w'’-]+(?: [^\W\d_a-zа-я][\w'’-]+)?)")
-_TITLED = re.compile("|".join(f"{t}[.  ]" for t in TITLES))
+_CAPITAL = r"[^\W\d_a-zа-я][\w'’-]+"
+_MORE = rf"(?:\s{{1,3}}(?:(?:{'|'.join(sorted(PARTICLES))})\s{{1,3}}){{0,2}}{_CAPITAL})"
+_NAME = re.compile(rf"\b({'|'.join(TITLES)})\.?\s{{1,3}}({_CAPITAL}{_MORE}{{0,4}})")
+_TITLED = re.compile("|".join(rf"{t}[.\s]" for t in TITLES))
+_CALLED = frozenset(n.title() for n in _GIVEN)
+_FULL = re.compile(rf"\b()((?:{'|'.join(sorted(_CALLED))}){_MORE}{{1,4}})")
 _WORD = re.compile(r"[^\W\d_][\w'’-]+")
 _POSSESSIVE = re.compile(r"['’-]+[sS]?\Z")
 _DIGIT = re.compile(r"\d")
@@ -224,7 +231,7 @@ def values_of(kind: str, mention: str) -> list[tuple[str, str]]:
         local, _, domain = mention.lower().rpartition("@")
         return [("local", local), *(("domain", x) for x in domain.split(".")[:-1])]
     if kind == "name":
-        return [("name", w.lower() if len(w.lower()) == len(w) else w) for w in mention.split(" ")]
+        return [("name", w.lower() if len(w.lower()) == len(w) else w) for w in mention.split() if w not in PARTICLES]
     if kind == "iban":
         return [(kind, mention.replace(" ", ""))]
     return [(kind, re.sub(r"[^0-9+]", "", mention) if kind in ("card", "phone", "ssn") else mention)]
@@ -244,7 +251,8 @@ def reformat(kind: str, mention: str, made: list[str]) -> str:
         value = f"{made[0]}@{'.'.join([*made[1:], mention.lower().rpartition('.')[2]])}"
         return value.upper() if mention.isupper() else value
     if kind == "name":
-        return " ".join(_cased(w, v) for w, v in zip(mention.split(" "), made, strict=True))
+        left = iter(made)
+        return re.sub(r"\S+", lambda m: m[0] if m[0] in PARTICLES else _cased(m[0], next(left)), mention)
     if kind in ("card", "phone", "ssn"):
         left = iter(made[0].removeprefix("+"))
         return "".join(next(left) if c in "0123456789" else c for c in mention)
@@ -254,15 +262,42 @@ def reformat(kind: str, mention: str, made: list[str]) -> str:
     return made[0]
 
 
+def _person(m: re.Match) -> tuple[int, int]:
+    """Where a name stands in what follows a form of address (group 1, empty without one) or begins with a given name (group 2).
+
+    Known given names and a surname, or two words at least after a form of address; a second surname where the form of address is
+    of a language that has them.  A word behind a particle belongs to the name.  Words beyond are none of it.
+    """
+    words = [(w.start(), w[0]) for w in re.finditer(r"\S+", m[2])]
+    given = 0
+    while given < len(words) and words[given][1].lower() in _GIVEN:
+        given += 1
+    left = max(given + 1, 2) + (m[1] in TWO_SURNAMES and given > 0)
+    end, linked = 0, False
+    for start, w in words:
+        if w in PARTICLES:
+            linked = True
+            continue
+        if not (left or linked):
+            break
+        left, linked, end = left - (left > 0 and not linked), False, start + len(w)
+    at = m.start(2)
+    return at, at + len(_POSSESSIVE.sub("", m[2][:end]))
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """Non-overlapping (start, end, kind) by start; an earlier kind of email, iban, card, ip, phone, ssn, name goes first."""
     found: list[tuple[int, int, str]] = []
     at = text.find("@")
     while at >= 0:
-        local = _LOCAL.search(text[max(0, at - LOCAL_BYTES) : at])
         domain = _DOMAIN.match(text[at + 1 : at + 1 + DOMAIN_BYTES])
-        if local and domain:
-            found.append((at - len(local[0]), at + 1 + len(domain[0]), "email"))
+        start = at
+        while domain and start and text[start - 1] in _LOCAL:
+            start -= 1
+        while start < at and text[start] in "._%+-":
+            start += 1
+        if domain and start < at:
+            found.append((start, at + 1 + len(domain[0]), "email"))
         at = text.find("@", at + 1)
     if _DIGIT.search(text):
         found += [(*m.span(), "iban") for m in _IBAN.finditer(text) if _valid_iban(m[0])]
@@ -270,13 +305,14 @@ def find(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "ip") for m in _IP.finditer(text) if all(int(x) < 256 and str(int(x)) == x for x in m[0].split("."))]
         found += [(*m.span(), "phone") for m in _PHONE.finditer(text) if 9 <= len(re.sub(r"\D", "", m[0])) <= 15]
         found += [(*m.span(), "ssn") for m in _SSN.finditer(text)]
-    if _TITLED.search(text):
-        titled = [(m.start(1), m.start(1) + len(_POSSESSIVE.sub("", m[1]))) for m in _NAME.finditer(text)]
-        found += [(s, e, "name") for s, e in titled]
-        known = {w.lower() for s, e in titled for w in text[s:e].split(" ")}
-        if known:  # later and earlier mentions of the same people
-            words = ((m.start(), _POSSESSIVE.sub("", m[0])) for m in _WORD.finditer(text))
-            found += [(s, s + len(w), "name") for s, w in words if w.lower() in known and not w[0].islower()]
+    named = [_person(m) for m in _NAME.finditer(text)] if _TITLED.search(text) else []
+    if not _CALLED.isdisjoint(text.split()):
+        named += [_person(m) for m in _FULL.finditer(text)]
+    if named:
+        found += [(s, e, "name") for s, e in named]
+        known = {w.lower() for s, e in named for w in text[s:e].split() if w not in PARTICLES}
+        words = ((m.start(), _POSSESSIVE.sub("", m[0])) for m in _WORD.finditer(text))  # other mentions of the same people
+        found += [(s, s + len(w), "name") for s, w in words if w.lower() in known and not w[0].islower()]
     if len(found) < 2:
         return found
     taken: list[tuple[int, int, str]] = []

@@ -15,7 +15,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SPACE, SPACES, let, stash, words
+from shelfmark.llm.common import SPACE, SPACES, let, stash, unused, words
 
 #: Buckets of the two multinomials: a table of this size is all that is sent to executors.
 BUCKETS = 10_000
@@ -75,20 +75,27 @@ def word_hashes(text: Column) -> Column:
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds _h, the words' hashes, and the base measures of a text; null counts as empty."""
+    """Adds the base measures of a text; null counts as empty.  Columns of their names are replaced, all others pass through."""
+    h = unused(docs, "_h")
+    return _measured(docs, text_col, h).drop(h)
+
+
+def _measured(docs: DataFrame, text_col: str, h: str) -> DataFrame:
+    """Adds the words' hashes, in a column named h, and the base measures of a text."""
+    line = unused(docs, "_lines")
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    out = docs.withColumn("_h", word_hashes(text)).withColumn("_lines", lines).withColumn("n_words", F.size("_h").cast("long"))
+    out = docs.withColumn(h, word_hashes(text)).withColumn(line, lines).withColumn("n_words", F.size(h).cast("long"))
     out = out.withColumns(
         {
             "word_chars": F.length(reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), SPACES, text)).cast("long"),
             "n_symbols": F.when(text.rlike("[#*$%&|<>]"), F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).otherwise(0).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": repeated_words(F.col("_h"), F.col("n_words").cast("int")),
+            "n_dup_lines": (F.size(line) - F.size(F.array_distinct(line))).cast("long"),
+            "n_repeat_words": repeated_words(F.col(h), F.col("n_words").cast("int")),
         }
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.withColumn("base_failed", failed).drop("_lines")
+    return out.withColumn("base_failed", failed).drop(line)
 
 
 def bucket(gram: Column, n: int = BUCKETS) -> Column:
@@ -154,16 +161,16 @@ def _table(weights: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
 
 
-def mean_ratio(table: Column, n: int) -> Column:
-    """The mean of a table of n log ratios over the n-grams of _h."""
+def mean_ratio(table: Column, n: int, words: str = "_h") -> Column:
+    """The mean of a table of n log ratios over the n-grams of a column of words' hashes."""
 
     def total(t: Column) -> Column:
-        h = F.col("_h")
+        h = F.col(words)
         one = lambda x: F.get(t, bucket(x, n))
         each = F.transform(h, lambda x, i: one(x) + F.when(i + 1 < F.size(h), one(F.xxhash64(x, F.get(h, i + 1)))).otherwise(0.0))
         return F.aggregate(each, F.lit(0.0), lambda a, x: a + x)
 
-    return F.round(let(table, total) / F.greatest(F.lit(1), 2 * F.size("_h") - 1), 9)
+    return F.round(let(table, total) / F.greatest(F.lit(1), 2 * F.size(words) - 1), 9)
 
 
 def held_out_threshold(known: DataFrame, raw: list[int], folds: list[list[int]], threshold: float, n: int) -> float:
@@ -200,14 +207,16 @@ def judge(
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, log_ratio, kept to docs.
 
     A null text counts as empty and fails (fewer than 50 words); null ids are judged but never
-    trusted; repeated rows are judged alike; all other columns pass through.
+    trusted; repeated rows are judged alike; all other columns pass through, columns of these eight names
+    are replaced.  Very long texts are judged whole, and an empty table gives an empty one.
     """
     known = trusted_documents(docs, trusted_ids, id_col, text_col)
     raw, folds = _counts(docs, known, text_col, n)
     threshold = held_out_threshold(known, raw, folds, threshold, n)
-    out = measures(docs, text_col)
-    out = out.withColumn("log_ratio", mean_ratio(_table(ratios(raw, [sum(f) for f in zip(*folds, strict=True)])), n))
+    h = unused(docs, "_h")
+    out = _measured(docs, text_col, h)
+    out = out.withColumn("log_ratio", mean_ratio(_table(ratios(raw, [sum(f) for f in zip(*folds, strict=True)])), n, h))
     # The last conjunct is always true.  It keeps a filter on the verdict from moving below the columns it
     # is made of, where each reference to the words would split the text again.
     verdict = ~F.col("base_failed") & (F.col("log_ratio") >= threshold) & (F.monotonically_increasing_id() >= 0)
-    return out.withColumn("kept", verdict).drop("_h")
+    return out.withColumn("kept", verdict).drop(h)

@@ -6,6 +6,7 @@ import secrets as secrets_module
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +29,19 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
-_session_key = secrets_module.token_bytes(32)
-
-
 def pii_key(spark: SparkSession) -> bytes:
-    """The key of surrogates: that of spark.shelfmark.pii.key, which keeps them from run to run, else one drawn for this process."""
+    """The key of surrogates: that of spark.shelfmark.pii.key, else one that is drawn once for a shared folder and lies there, so that reruns and restarts agree."""
     found = spark.conf.get("spark.shelfmark.pii.key", None)
-    return found.encode()[:64] if found else _session_key
+    if found:
+        return found.encode()[:64]
+    path = f"{scratch_dir(spark).rstrip('/')}/shelfmark/pii-key"
+    fresh = spark.createDataFrame([(secrets_module.token_hex(32),)], "key string")
+    try:
+        fresh.coalesce(1).write.mode("error").text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+    return spark.read.text(path).first()[0].encode()
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,14 +17,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.classifier import isotonic
 from shelfmark.llm.hashing import mix, ngrams, word_hashes
 
-#: The sample of labelled documents: at most so many of each class, those whose id has the smallest hash, of at most so many characters.
-MAX_TRAIN, MAX_CHARS = 2000, 100_000
+#: The sample of labelled documents: at most so many of each class, those whose id has the smallest hash, and of these as many as have so many characters together.
+MAX_TRAIN, MAX_CHARS = 2000, 32_000_000
 #: Of each FOLDS groups of documents one calibrates and the others train.
 FOLDS = 4
 #: Bytes of the ordinary dictionary, of the toxic passages, of the lead that both share at the end, of an n-gram.
@@ -202,8 +202,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("label").cast("int")).alias("label"))
     some = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound) for k in (0, 1)]
     chosen = F.broadcast(some[0].unionByName(some[1]))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.coalesce(F.length("text"), F.lit(0)) <= MAX_CHARS)
-    rows = texts.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    along = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # twice the bound of rows at most
+    rows = texts.withColumn("size", F.sum(F.coalesce(F.length("text"), F.lit(0))).over(along)).where(F.col("size") <= MAX_CHARS).collect()
     return train([(r.text, r.label) for r in sorted(rows, key=lambda r: r.doc_id)])
 
 
