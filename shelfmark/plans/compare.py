@@ -44,20 +44,28 @@ def compare_store(store: BookStore, options: CompareOptions = CompareOptions())
 def derived_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalogue out of the table of documents.
 
-    The first two words of a text are authors, the next twelve the name, the language gives the
-    publisher and all of it the description.  Every fifth book has blank authors, every third is compared.
+    The first words of a text are authors: by the id one name of one to five words, two names, or a surname with initials; words
+    three to fourteen are the name.  The language gives the publisher, which every fourth book has a branch of.  The description is all
+    of it, with a second publisher in every third and with a surname beside initials in every sixth.  Every fifth book has
+    blank authors, every third is compared, and every ninth has a stored link.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
     words = F.filter(F.split("text", r"[^\p{L}\p{N}]+", 16), lambda w: w != "")  # the first fourteen, one may be empty, and the rest
-    authors = F.array_join(F.slice("w", 1, 2), " ")
-    name = F.array_join(F.slice("w", 3, 12), " ")
-    publisher = F.concat(F.lit("Verlag "), F.col("lang"))
-    base = docs.withColumn("w", words).select("doc_id", "lang", "source", authors.alias("a"), name.alias("n"), publisher.alias("p"))
+    of = lambda k: F.col("doc_id") % k
+    part = lambda i, n: F.array_join(F.slice("w", i, n), " ")
+    initial = lambda i: F.coalesce(F.concat(F.lit(" "), F.upper(F.left(F.get("w", F.lit(i)), F.lit(1))), F.lit(".")), F.lit(""))
+    authors = F.when(of(8) < 5, F.array_join(F.slice("w", F.lit(1), (of(8) + 1).cast("int")), " ")).when(of(8) == 5, F.concat(part(1, 2), F.lit(", "), part(3, 2)))
+    authors = authors.when(of(8) == 6, F.concat(part(1, 1), initial(1), initial(2))).otherwise(part(1, 2))
+    publisher = F.concat(F.lit("Verlag "), F.col("lang"), F.when(of(4) == 1, " Nord").otherwise(""))
+    base = docs.withColumn("w", words).select("doc_id", "lang", "source", authors.alias("a"), part(3, 12).alias("n"), publisher.alias("p"))
+    more = F.concat(F.when(of(3) == 1, " Verlag de").otherwise(""), F.when(of(6) == 2, " Zorin A. B.").otherwise(""))
+    link = F.struct(F.lpad((F.col("doc_id") + 1).cast("string"), 12, "0").alias("BookId"), (F.col("doc_id") + 1).cast("string").alias("ExternalId"), F.lit(0.125).alias("Coeff"))
+    stored = F.when(of(9) == 0, F.create_map(F.lit("stored"), F.array(link)))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return as_books(
         base.repartition(parts, "doc_id").select(
             F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("Id"), F.col("doc_id").cast("string").alias("ExternalId"), F.col("source").alias("ElsName"),
-            F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.col("a")).alias("Authors"), F.col("n").alias("Name"), F.col("p").alias("Publisher"),
-            F.concat_ws(" ", "a", "n", "p").alias("Bib"), (F.col("doc_id") % 3 == 0).alias("Compared"),
+            F.when(of(5) == 0, "").otherwise(F.col("a")).alias("Authors"), F.col("n").alias("Name"), F.col("p").alias("Publisher"),
+            F.concat(F.concat_ws(" ", "a", "n", "p"), more).alias("Bib"), (of(3) == 0).alias("Compared"), stored.alias("SimilarBooks"),
         )
     )

@@ -61,13 +61,17 @@ def _values(rows: list[tuple]) -> str:
 
 _BOOKS = r"""
 raw_books AS (SELECT *, list_filter(string_split_regex(text, '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+parts AS (
+  SELECT *, CASE WHEN doc_id % 8 < 5 THEN array_to_string(w[1:doc_id % 8 + 1], ' ') WHEN doc_id % 8 = 5 THEN array_to_string(w[1:2], ' ') || ', ' || array_to_string(w[3:4], ' ')
+                 WHEN doc_id % 8 = 6 THEN coalesce(w[1], '') || coalesce(' ' || upper(left(w[2], 1)) || '.', '') || coalesce(' ' || upper(left(w[3], 1)) || '.', '') ELSE array_to_string(w[1:2], ' ') END AS a,
+         array_to_string(w[3:14], ' ') AS n, 'Verlag ' || lang || CASE WHEN doc_id % 4 = 1 THEN ' Nord' ELSE '' END AS p
+  FROM raw_books),
 books AS (
   SELECT lpad(CAST(doc_id AS VARCHAR), 12, '0') AS Id, CAST(doc_id AS VARCHAR) AS ExternalId, source AS ElsName,
-         CASE WHEN doc_id % 5 = 0 THEN '' ELSE array_to_string(w[1:2], ' ') END AS Authors,
-         array_to_string(w[3:14], ' ') AS Name, 'Verlag ' || lang AS Publisher,
-         array_to_string(w[1:2], ' ') || ' ' || array_to_string(w[3:14], ' ') || ' ' || 'Verlag ' || lang AS Bib,
-         doc_id % 3 = 0 AS Compared
-  FROM raw_books)"""
+         CASE WHEN doc_id % 5 = 0 THEN '' ELSE a END AS Authors, n AS Name, p AS Publisher,
+         a || ' ' || n || ' ' || p || CASE WHEN doc_id % 3 = 1 THEN ' Verlag de' ELSE '' END || CASE WHEN doc_id % 6 = 2 THEN ' Zorin A. B.' ELSE '' END AS Bib,
+         doc_id % 3 = 0 AS Compared, CASE WHEN doc_id % 9 = 0 THEN 1 ELSE 0 END AS stored
+  FROM parts)"""
 _STOP = ", ".join(f"'{w}'" for w in sorted({w.lower() for w in T.AUTHOR_STOP_WORDS}))
 
 
@@ -84,8 +88,14 @@ def _first_of_each(items: str, key: str = "x") -> str:
     return f"list_filter({items}, lambda x, i: list_position({keys}, {key}) = i)"
 
 
+def _orders(n: int) -> str:
+    """The keys of a name of n words in SQL: the first of each order in full, the others by their first characters."""
+    one = lambda p: " || ".join(f"aw[{i + 1}]" if k == 0 else f"left(aw[{i + 1}], 1)" for k, i in enumerate(p))
+    return "[" + ", ".join(map(one, K.permutation_indexes(n))) + "]"
+
+
 def _keys(source: str) -> str:
-    """Keys of the comparable books of a table; its authors have two words at most."""
+    """Keys of the comparable books of a table."""
     return rf"""
 split_keys AS (
   SELECT *, {_name_parts("Name")} AS parts,
@@ -94,9 +104,11 @@ split_keys AS (
   FROM {source}),
 all_keys AS (
   SELECT *, flatten(list_transform(aws, lambda aw:
-              CASE WHEN len(aw) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(aw) = 1 THEN [aw[1]]
-                   WHEN length(aw[1]) <> 1 AND length(aw[2]) = 1 THEN [aw[1] || aw[2]]
-                   ELSE [aw[1] || left(aw[2], 1), aw[2] || left(aw[1], 1)] END)) AS every_key
+              CASE WHEN len(aw) = 0 THEN CAST([] AS VARCHAR[])
+                   WHEN len(aw) > 4 OR len(aw) IN (2, 3) AND length(aw[1]) <> 1 AND len(list_filter(aw[2:], lambda t: length(t) <> 1)) = 0
+                     THEN [aw[1] || array_to_string(list_transform(aw[2:], lambda t: left(t, 1)), '')]
+                   WHEN len(aw) = 1 THEN {_orders(1)} WHEN len(aw) = 2 THEN {_orders(2)} WHEN len(aw) = 3 THEN {_orders(3)}
+                   ELSE {_orders(4)} END)) AS every_key
   FROM split_keys),
 keys AS (
   SELECT *, regexp_replace(array_to_string(parts, ''), '[{T.VOWELS}]', '', 'g') AS name_key,
@@ -141,23 +153,48 @@ _LINKING = f"WITH {_BOOKS.strip()}, {_KEYS.strip()}, {_PAIRS.strip()}, {_SCORED.
 
 _AUTHORS = rf"""
 author_words AS (
-  SELECT list_filter(string_split_regex(Authors, '[^\p{{L}}\p{{N}}]'), lambda x: x <> '' AND try_cast(x AS INTEGER) IS NULL AND regexp_matches(x, '^\p{{Lu}}')
-         AND NOT list_contains([{_STOP}], lower(x))) AS ts FROM books),
+  SELECT list_filter(string_split_regex(author, '[^\p{{L}}\p{{N}}]'), lambda x: x <> '' AND try_cast(x AS INTEGER) IS NULL AND regexp_matches(x, '^\p{{Lu}}')
+         AND NOT list_contains([{_STOP}], lower(x))) AS ts FROM (SELECT unnest(string_split_regex(Authors, '[,;:]')) AS author FROM books)),
 author_dict AS (SELECT DISTINCT author FROM (SELECT unnest(list_filter(ts, lambda x: length(x) > 2)) AS author FROM author_words WHERE len(ts) BETWEEN 2 AND 4))"""
 _BIB_STOP = ", ".join(f"'{w}'" for w in sorted({w.lower() for w in T.BIB_STOP_WORDS}))
-# Descriptions of the derived catalogue hold one known publisher and no full stop, so no initials either.
+_W = r"[\p{L}\p{N}_]"
+
+
+def _beside_initials(pattern: str, name: int, a: int, b: int) -> str:
+    """Capitalised words beside capital initials in SQL."""
+    of = lambda g: f"regexp_extract_all(rest, '{pattern}', {g})"
+    upper = lambda x: f"(coalesce({x}, '') = '' OR regexp_matches(trim({x}), '^\\p{{Lu}}'))"
+    good = f"length(x.name) > 2 AND regexp_matches(x.name, '^\\p{{Lu}}') AND NOT list_contains([{_STOP}], lower(x.name)) AND {upper('x.a')} AND {upper('x.b')}"
+    zipped = f"list_transform(range(1, len({of(name)}) + 1), lambda i: struct_pack(name := {of(name)}[i], a := {of(a)}[i], b := {of(b)}[i]))"
+    return f"list_transform(list_filter({zipped}, lambda x: {good}), lambda x: x.name)"
+
+
+# Publishers of a description: longest first, of one length that which stands nearer to the end; each is cut out wherever it still stands.
 _BIB = rf"""
+publisher_dict AS (SELECT DISTINCT lower(Publisher) AS p FROM books),
+bib_texts AS (
+  SELECT Id, text, ' ' || array_to_string(list_filter(string_split_regex(lower(text), '[^\p{{L}}]'), lambda t: length(t) > 1), ' ') || ' ' AS spoken
+  FROM (SELECT Id, trim(regexp_replace(regexp_replace(Bib, '[^\p{{L}}\s.]', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM books)),
+bib_hits AS (
+  SELECT Id, any_value(text) AS text, coalesce(list(p ORDER BY length(p) DESC, strpos(reverse(spoken), reverse(' ' || p || ' '))) FILTER (WHERE p IS NOT NULL), []) AS hits
+  FROM bib_texts LEFT JOIN publisher_dict ON contains(spoken, ' ' || p || ' ') GROUP BY Id),
+bib_cut AS (
+  SELECT Id, list_reduce(hits, lambda t, q: regexp_replace(t, q, ' ', 'gi'), text) AS rest,
+         list_filter(hits, lambda p, i: contains(lower(list_reduce(hits[1:i - 1], lambda t, q: regexp_replace(t, q, ' ', 'gi'), text)), p)) AS found
+  FROM bib_hits),
 bib_words AS (
-  SELECT Id, list_filter(string_split_regex(regexp_replace(Bib, lower(Publisher), ' ', 'gi'), '[^\p{{L}}]'),
-                         lambda t: length(t) > 1 AND NOT list_contains([{_BIB_STOP}], lower(t))) AS ts FROM books),
+  SELECT Id, rest, found, list_filter(string_split_regex(rest, '[^\p{{L}}]'), lambda t: length(t) > 1 AND NOT list_contains([{_BIB_STOP}], lower(t))) AS ts,
+         list_concat({_beside_initials(rf"({_W}+)(\s{_W}\.)(\s{_W}\.)?\s", 1, 2, 3)}, {_beside_initials(rf"({_W}\.\s)({_W}\.\s)?({_W}+)", 3, 1, 2)}) AS beside FROM bib_cut),
 bib_word AS (SELECT Id, unnest(ts) AS t, generate_subscripts(ts, 1) AS i FROM bib_words),
 bib_split AS (
   SELECT Id, coalesce(list(t ORDER BY i) FILTER (WHERE author IS NOT NULL), []) AS known, coalesce(list(t ORDER BY i) FILTER (WHERE author IS NULL), []) AS others
   FROM bib_word LEFT JOIN author_dict ON author = t GROUP BY Id),
 bib AS (
-  SELECT books.Id, coalesce(array_to_string({_first_of_each("known")}, ', '), '') AS bib_authors,
-         coalesce(array_to_string(CASE WHEN len(known) > 0 THEN others ELSE {_first_of_each("others", "lower(x)")} END, ' '), '') AS bib_name
-  FROM books LEFT JOIN bib_split ON bib_split.Id = books.Id),
+  SELECT bib_words.Id, array_to_string(found, ', ') AS bib_publisher,
+         CASE WHEN len(known) > 0 THEN array_to_string({_first_of_each("known")}, ', ') ELSE array_to_string({_first_of_each("beside")}, ', ') END AS bib_authors,
+         coalesce(CASE WHEN len(known) > 0 THEN array_to_string(others, ' ')
+                       ELSE array_to_string(list_filter({_first_of_each("others", "lower(x)")}, lambda x: NOT list_contains(list_transform(beside, lambda y: lower(y)), lower(x))), ' ') END, '') AS bib_name
+  FROM bib_words LEFT JOIN bib_split ON bib_split.Id = bib_words.Id),
 filled AS (
   SELECT books.* REPLACE (
            CASE WHEN NOT Compared AND trim(Authors) = '' THEN bib_authors ELSE Authors END AS Authors,
@@ -450,7 +487,7 @@ def _parsed(spark, sf_dir):
     return parsed.select("id", "bib_authors", "bib_name", "bib_publisher")
 
 
-@query("q18_bib_publishers", rf"WITH {_BOOKS.strip()} SELECT Id AS id, lower(Publisher) AS bib_publisher FROM books")
+@query("q18_bib_publishers", f"{_PARSED} SELECT Id AS id, bib_publisher FROM bib")
 def bib_publishers(spark, sf_dir):
     return _parsed(spark, sf_dir).select("id", "bib_publisher")
 
@@ -581,7 +618,7 @@ def similar_edges(spark, sf_dir):
     return edges.select("from_id", "to_id", F.round("coeff", 6).alias("coeff"))
 
 
-@query("q32_similar_count", f"{_LINKING} SELECT Id, CAST(count(from_id) AS INTEGER) AS n FROM books LEFT JOIN edges ON from_id = Id GROUP BY Id")
+@query("q32_similar_count", f"{_LINKING} SELECT Id, CAST(count(from_id) + any_value(stored) AS INTEGER) AS n FROM books LEFT JOIN edges ON from_id = Id GROUP BY Id")
 def similar_count(spark, sf_dir):
     books = derived_books(spark, sf_dir)
     maps = M.similar_maps(books, M.similar_edges(M.with_keys(books)))
@@ -590,7 +627,8 @@ def similar_count(spark, sf_dir):
 
 @query(
     "q33_similar_map",
-    f"{_LINKING} SELECT from_id AS Id, o.ElsName AS els, to_id AS BookId, o.ExternalId, round(coeff, 6) AS coeff FROM edges JOIN books o ON o.Id = to_id",
+    f"{_LINKING} SELECT from_id AS Id, o.ElsName AS els, to_id AS BookId, o.ExternalId, round(coeff, 6) AS coeff FROM edges JOIN books o ON o.Id = to_id "
+    "UNION ALL SELECT Id, 'stored', lpad(CAST(CAST(ExternalId AS BIGINT) + 1 AS VARCHAR), 12, '0'), CAST(CAST(ExternalId AS BIGINT) + 1 AS VARCHAR), 0.125 FROM books WHERE stored = 1",
 )
 def similar_map(spark, sf_dir):
     books = derived_books(spark, sf_dir)
@@ -676,7 +714,7 @@ def author_initials(spark, sf_dir):
 @query(
     "q41_compare",
     f"{_PARSED}, {_keys('filled').strip()}, {_PAIRS.strip()}, {_SCORED.strip()} SELECT Id, any_value(Authors) AS Authors, any_value(Name) AS Name, "
-    "any_value(Publisher) AS Publisher, CAST(count(from_id) AS INTEGER) AS SimilarCount, true AS Compared FROM filled LEFT JOIN edges ON from_id = Id GROUP BY Id",
+    "any_value(Publisher) AS Publisher, CAST(count(from_id) + any_value(stored) AS INTEGER) AS SimilarCount, true AS Compared FROM filled LEFT JOIN edges ON from_id = Id GROUP BY Id",
 )
 def compare_all(spark, sf_dir):
     return compare(derived_books(spark, sf_dir)).select("Id", "Authors", "Name", "Publisher", "SimilarCount", "Compared")
