@@ -77,9 +77,9 @@ def similar_edges(keyed: DataFrame, edit: float = EDIT_BORDER, overlap: float =
     return both_ways(forward, "from_id", "to_id").distinct()
 
 
-def similar_maps(books: DataFrame, edges: DataFrame) -> DataFrame:
-    """Id, SimilarBooks, SimilarCount of every book: new links with those stored for books already compared."""
-    other = books.select(F.col("Id").alias("to_id"), F.col("ElsName").alias("els"), "ExternalId")
+def similar_maps(books: DataFrame, edges: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """Id, SimilarBooks, SimilarCount of every book: new links with those stored for books already compared.  others: the books that links may lead to, if not these."""
+    other = (books if others is None else others).select(F.col("Id").alias("to_id"), F.col("ElsName").alias("els"), "ExternalId")
     made = edges.join(other, "to_id").select(F.col("from_id").alias("Id"), "els", F.struct(F.col("to_id").alias("BookId"), "ExternalId", F.col("coeff").alias("Coeff")).alias("link"))
     kept = books.where("Compared").select("Id", F.explode("SimilarBooks").alias("els", "links")).select("Id", "els", F.explode("links").alias("link"))
     links = made.unionByName(kept).groupBy("Id", "els").agg(F.sort_array(F.collect_set("link")).alias("links"))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.bib import fill_gaps
 from shelfmark.functions.score import EDIT_BORDER, OVERLAP_BORDER
+from shelfmark.operators.index import BookIndex
 from shelfmark.operators.similar import similar_edges, similar_maps, with_keys
+from shelfmark.plans.metrics import Metrics
 from shelfmark.schema import as_books
 from shelfmark.scratch import stash
 from shelfmark.sources.store import BookStore
@@ -23,22 +25,45 @@ class CompareOptions:
     overlap_border: float = OVERLAP_BORDER
 
 
-def compare(books: DataFrame, options: CompareOptions = CompareOptions()) -> DataFrame:
+def compare(books: DataFrame, options: CompareOptions = CompareOptions(), metrics: Metrics | None = None) -> DataFrame:
     """Books with gaps filled, links to similar ones, their number and the marker set; books that are not comparable get no links.
 
-    Only books not yet compared are probed, against all; links of the others are kept and added to.
+    Only books not yet compared are probed, against all; links of the others are kept and added to.  metrics gets the
+    numbers of books, of those compared before, and of links.
     """
-    filled = stash(fill_gaps(books), "filled")
-    edges = similar_edges(with_keys(filled), options.edit_border, options.overlap_border)
+    seen = metrics or Metrics()
+    filled = stash(seen.of(fill_gaps(books), "books", compared=F.count_if("Compared")), "filled")
+    edges = stash(seen.of(similar_edges(with_keys(filled), options.edit_border, options.overlap_border), "links"), "edges")
     maps = similar_maps(filled, edges)
     done = filled.drop("SimilarBooks", "SimilarCount", "Compared").join(maps, "Id")
     return as_books(done.withColumn("Compared", F.lit(True)))
 
 
-def compare_store(store: BookStore, options: CompareOptions = CompareOptions()) -> bool:
-    """Compares what a store holds and writes the result as its next version; descriptions stay as stored."""
-    done = compare(store.all(), options)
-    return store.update_many(done.select("Id", "Authors", "Publisher", "Name", "SimilarCount", "SimilarBooks", "Compared"))
+_RESULT = ["Id", "Authors", "Publisher", "Name", "SimilarCount", "SimilarBooks", "Compared"]
+
+
+def compare_store(store: BookStore, options: CompareOptions = CompareOptions(), metrics: Metrics | None = None) -> bool:
+    """Compares what a store holds and writes the result to it; descriptions stay as stored."""
+    seen = metrics or Metrics()
+    done = store.update_many(compare(store.all(), options, seen).select(_RESULT))
+    seen.report()
+    return done
+
+
+def compare_new(store: BookStore, index: BookIndex) -> bool:
+    """Compares the books of a store that are not compared yet by an index of the others, adds them to it and writes the links of all books they meet.
+
+    Pairs are scored in both directions, so the links do not depend on the runs that books came in.
+    """
+    books = store.all()
+    fresh = stash(fill_gaps(books).where("not Compared"), "fresh")
+    edges = index.add(with_keys(fresh))
+    met = edges.select(F.col("from_id").alias("Id")).union(fresh.select("Id")).distinct()
+    touched = stash(books.join(met, "Id", "left_semi").withColumn("Compared", F.lit(True)), "touched")
+    other = books.select("Id", "ElsName", "ExternalId")
+    maps = similar_maps(touched, edges, other)
+    names = fresh.select("Id", "Authors", "Publisher", "Name").union(touched.join(fresh.select("Id"), "Id", "left_anti").select("Id", "Authors", "Publisher", "Name"))
+    return store.update_many(maps.join(names, "Id").withColumn("Compared", F.lit(True)).select(_RESULT))
 
 
 def derived_books(spark: SparkSession, sf_dir: str) -> DataFrame:

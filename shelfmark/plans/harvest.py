@@ -19,6 +19,8 @@ from shelfmark.sources import html as H
 from shelfmark.sources import payloads as P
 from shelfmark.sources.connectors import CONNECTORS, bookru_categories, next_data, profspo_token
 from shelfmark.sources.http import Client, fetch
+from shelfmark.plans.metrics import Metrics
+from shelfmark.scratch import stash
 from shelfmark.sources.store import BookStore
 
 log = logging.getLogger("shelfmark.harvest")
@@ -57,6 +59,7 @@ class Harvest:
     store: BookStore
     options: HarvestOptions = field(default_factory=HarvestOptions)
     get: Callable[[DataFrame], DataFrame] | None = None
+    metrics: Metrics = field(default_factory=Metrics)
 
     def __post_init__(self) -> None:
         if self.get is None:
@@ -85,21 +88,21 @@ class Harvest:
         if lists is None:
             log.error("%s: no access, nothing is asked", self.name)
             return 0
-        lists = lists.persist()
-        found = new_items(self.connector.discover(lists), self.store.stored_ids(self.name)).persist()
-        total = found.count()
+        # Payloads are written before they are read again: a lost executor must not ask the catalogue a second time and get other pages.
+        lists = stash(lists, "lists")
+        found = stash(self.metrics.of(new_items(self.connector.discover(lists), self.store.stored_ids(self.name)), f"{self.name}: new items"), "found")
+        total = dict((step, value) for step, figure, value in self.metrics.rows() if figure == "rows")[f"{self.name}: new items"]
         log.info("%s: all list pages are read, %d new items", self.name, total)
         batches = max(1, -(-total // max(1, self.options.batch)))
         of = F.pmod(F.xxhash64("ExternalId"), F.lit(batches))
-        books = self.details(lists, found) if self.connector.list_is_detail else None
-        for k in range(batches if total else 0):
-            some = found.where(of == k)
-            rows = books.where(of == k) if books is not None else self.connector.extract(self.raw(some))
-            if not self.store.create_many(rows):
+        books = stash(self.details(lists, found).withColumn("batch", of), "details", "batch") if self.connector.list_is_detail else None
+        waiting = stash(found.withColumn("batch", of), "batches", "batch") if books is None else None
+        for k in range(batches if total else 0):  # each reads its own partition
+            rows = books.where(F.col("batch") == k).drop("batch") if books is not None else self.connector.extract(self.raw(waiting.where(F.col("batch") == k).drop("batch")))
+            if not self.store.create_many(self.metrics.of(rows, f"{self.name}: batch {k}")):
                 raise RuntimeError(f"{self.name}: batch {k} was not saved; a new run goes on from it")
         log.info("%s: all books are saved", self.name)
-        for table in (lists, found):
-            table.unpersist()
+        self.metrics.report()
         return total
 
     def details(self, lists: DataFrame, found: DataFrame) -> DataFrame:

@@ -47,16 +47,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
-
-
-def _values(rows: list[tuple]) -> str:
-    """The same literal rows in SQL."""
-    one = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'"
-    return "(VALUES " + ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows) + ")"
-
-
 # --- SQL of the derived catalogue and its keys -----------------------------------------------
 
 _BOOKS = r"""
@@ -287,19 +277,33 @@ def html_links(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", hrefs.alias("hrefs"), H.joined_texts(H.by_tag(dom, "li")).alias("texts"), H.attribute(H.first(H.by_tag(dom, "html")), "lang").alias("lang"))
 
 
-_LABELS = [
-    (1, '<div class="d"><p><span class="bold-text">ISBN</span> 978-5 </p><p><span class="bold-text">Год</span>2020</p></div>', "978-5", "2020"),
-    (2, '<div class="d"><p><span class="bold-text">Год</span>1999</p><p><span class="bold-text">Год</span>2001</p></div>', None, "2001"),
-    (3, "<div>none</div>", None, None),
-]
+@query(
+    "q09_html_label_pairs",
+    """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS isbn, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y') END AS year, o_orderpriority AS priority, o_orderstatus AS title,
+    CAST(o_custkey AS VARCHAR) AS customer FROM orders""",
+)
+def html_label_pairs(spark, sf_dir):
+    """Values beside labels, in rows of two cells and behind a colon, from a page for each order."""
+    c = F.col
+    year = F.when(c("o_orderkey") % 3 == 0, "").otherwise(F.concat(F.lit('<p><span class="bold-text">Год</span>1900</p><p><span class="bold-text">Год</span> '), F.year("o_orderdate"), F.lit(" </p>")))
+    html = F.concat(
+        F.lit('<div class="d"><p><span class="bold-text">ISBN</span> '), c("o_orderkey"), F.lit(" </p>"), year, F.lit("</div><table><tr><td>Clerk</td><td>a</td><td>b</td></tr><tr><td> Priority </td><td title="), c("o_orderstatus"), F.lit("> "),
+        c("o_orderpriority"), F.lit("</td></tr></table><ul><li>Customer: "), c("o_custkey"), F.lit("</li><li>a: b: c</li></ul>"),
+    )
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", H.elements(html).alias("dom"))
+    dom = c("dom")
+    pairs = rows.select("o_orderkey", H.label_values(H.by_class(dom, "span", "bold-text")).alias("labels"), H.row_pairs(dom, H.first(H.by_tag(dom, "table"))).alias("cells"), H.colon_pairs(H.by_tag(dom, "li")).alias("lines"))
+    of = lambda k: T.trim(H.routed(c("labels"), ["ISBN", "Год"], k))
+    cells = H.routed(c("cells"), ["Priority"], 0), H.routed(c("cells"), ["Priority"], 0, "title")
+    return pairs.select("o_orderkey", of(0).alias("isbn"), of(1).alias("year"), cells[0].alias("priority"), cells[1].alias("title"), H.routed(c("lines"), ["customer"], 0).alias("customer"))
 
 
-@query("q09_html_label_pairs", f"SELECT id, isbn, year FROM {_values([(r[0], r[2], r[3]) for r in _LABELS])} AS t(id, isbn, year)")
-def html_label_pairs(spark, sf_dir):
-    rows = _rows(spark, [r[:2] for r in _LABELS], "id int, html string").withColumn("dom", H.elements("html"))
-    pairs = H.label_values(H.by_class(F.col("dom"), "span", "bold-text"))
-    of = lambda k: T.trim(H.routed(F.col("pairs"), ["ISBN", "Год"], k))
-    return rows.withColumn("pairs", pairs).select("id", of(0).alias("isbn"), of(1).alias("year"))
+@query("q10_pager_max", "SELECT p_partkey, CAST(CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE greatest(2, p_size) END AS INTEGER) AS n FROM part")
+def pager_max(spark, sf_dir):
+    """The last page by the texts of a pager, one for each part; some have no number, and some parts no pager."""
+    key = F.col("p_partkey")
+    texts = F.when(key % 14 == 0, F.lit(None).cast("string")).when(key % 7 == 0, F.col("p_brand")).otherwise(F.concat(F.lit("1, 2,"), F.col("p_size"), F.lit(","), F.col("p_name"), F.lit(",»")))
+    return _table(spark, sf_dir, "part").select("p_partkey", V.pages_of_pager(F.split(texts, ",")).alias("n"))
 
 
 @query(
@@ -316,15 +320,6 @@ def html_descendants(spark, sf_dir):
     return by_list.groupBy(F.col("page").alias("page_id"), "tag", "depth").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("lists"))
 
 
-_PAGERS = [(1, "1,2,17,»", 17), (2, "назад", 1), (3, None, 1), (4, "3, x,5", 5)]
-
-
-@query("q10_pager_max", f"SELECT id, n FROM {_values([(r[0], r[2]) for r in _PAGERS])} AS t(id, n)")
-def pager_max(spark, sf_dir):
-    rows = _rows(spark, [r[:2] for r in _PAGERS], "id int, texts string")
-    return rows.select("id", V.pages_of_pager(F.split("texts", ",")).alias("n"))
-
-
 # --- URLs, JSON, XML -----------------------------------------------------------------------------
 
 
@@ -342,13 +337,13 @@ def url_ids(spark, sf_dir):
     )
 
 
-_SITEMAP = '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"><url><loc>https://c.example/book/a-12</loc></url><url><loc>https://c.example/book/b-x</loc></url><url><loc>https://c.example/efd/7</loc></url></urlset>'
-
-
-@query("q12_sitemap_xml", "SELECT * FROM (VALUES ('https://c.example/book/a-12', '12'), ('https://c.example/book/b-x', NULL), ('https://c.example/efd/7', '7')) AS t(link, id)")
+@query("q12_sitemap_xml", "SELECT 'https://c.example/book/' || CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment || '-x' ELSE c_mktsegment || '-' || c_custkey END AS link, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS id FROM customer")
 def sitemap_xml(spark, sf_dir):
-    rows = _rows(spark, [(_SITEMAP,)], "xml string").select(F.explode(P.sitemap_urls(F.col("xml"))).alias("link"))
-    return rows.select("link", X.numeric_id(X.last_segment(F.col("link"), "-", -1)).alias("id"))
+    """Links and ids of sitemaps, one for each thousand customers."""
+    name = F.concat(F.lit("https://c.example/book/"), "c_mktsegment", F.lit("-"), F.when(F.col("c_custkey") % 5 == 0, "x").otherwise(F.col("c_custkey").cast("string")))
+    located = _table(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / 1000).alias("part"), F.concat(F.lit("<url><loc>"), name, F.lit("</loc></url>")).alias("url"))
+    maps = located.groupBy("part").agg(F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_list("url"), ""), F.lit("</urlset>")).alias("xml"))
+    return maps.select(F.explode(P.sitemap_urls(F.col("xml"))).alias("link")).select("link", X.numeric_id(X.last_segment(F.col("link"), "-", -1)).alias("id"))
 
 
 @query("q13_json_paths", "SELECT event_id, json_extract_string(props, '$.k') AS k, try_cast(json_extract_string(props, '$.k') AS INTEGER) AS n FROM events")
@@ -357,12 +352,19 @@ def json_paths(spark, sf_dir):
     return events.select("event_id", P.json_path(F.col("props"), "k").alias("k"), P.from_payload(F.col("props"), "struct<k:string>")["k"].try_cast("int").alias("n"))
 
 
-@query("q13b_categories", "SELECT * FROM (VALUES ('5'), ('9')) AS t(id)")
+@query("q13b_categories", "SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer")
 def categories(spark, sf_dir):
+    """Categories of the menus of start pages, one page for each thousand customers, in the two spellings that occur."""
     from shelfmark.sources.connectors import bookru_categories
 
-    page = '<html><script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"serverMenu":[{"Menu":[{"Id":"new","Name":"n"},{"Id":"5","Name":"a"}]},{"menu":[{"id":9,"name":"b"}]}]}}}</script></html>'
-    return bookru_categories(_rows(spark, [(page,)], "payload string"))
+    key, even = F.col("c_custkey"), F.col("part") % 2 == 0
+    as_json = lambda i, n: F.to_json(F.struct(key.cast("string").alias(i), F.col("c_name").alias(n)))
+    numbered = _table(spark, sf_dir, "customer").withColumn("part", F.floor(key / 1000))
+    each = numbered.select("part", F.when(even, as_json("Id", "Name")).otherwise(as_json("id", "name")).alias("entry"))
+    pages = each.groupBy("part").agg(F.array_join(F.collect_list("entry"), ",").alias("entries"))
+    menus = F.concat(F.when(even, '{"Menu":[{"Id":"new","Name":"n"},').otherwise('{"menu":[{"id":"new","name":"n"},'), "entries", F.lit("]}"))
+    page = F.concat(F.lit('<html><script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"serverMenu":['), menus, F.lit("]}}}</script></html>"))
+    return bookru_categories(pages.select(page.alias("payload")))
 
 
 # --- Joins with what is stored -------------------------------------------------------------------
@@ -671,44 +673,55 @@ def only_digits(spark, sf_dir):
 
 # --- Fields of descriptions ----------------------------------------------------------------------
 
-_CLEANUP = [
-    (1, "  a \t b\n", "2010 год, 12", "Иванов (ред.)", "ISBN 978", " 12 ", "a b", "2010", "Иванов ", "978", 12),
-    (2, None, "нет", "x", "978", "1x", "", None, "x", "978", 0),
-    (3, "", "v. 7", "(a) b (c)", " ISBN ", None, "", "7", " b ", "", 0),
-]
-
-
-@query("q38_field_cleanup", f"SELECT id, c, y, p, i, n FROM {_values([(r[0], *r[6:]) for r in _CLEANUP])} AS t(id, c, y, p, i, n)")
+@query(
+    "q38_field_cleanup",
+    """SELECT o_orderkey, o_orderstatus || ' ' || o_orderpriority AS c, CASE WHEN o_orderkey % 4 <> 0 THEN strftime(o_orderdate, '%Y') END AS y, ' ' || o_orderpriority || ' ' AS p,
+    CAST(o_orderkey AS VARCHAR) AS i, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE CAST(o_orderkey AS INTEGER) END AS n FROM orders""",
+)
 def field_cleanup(spark, sf_dir):
-    rows = _rows(spark, [r[:6] for r in _CLEANUP], "id int, a string, b string, d string, e string, f string")
     c = F.col
-    return rows.select("id", T.collapse(c("a")).alias("c"), X.first_number(c("b")).alias("y"), X.strip_parenthetical(c("d")).alias("p"), X.without_label(c("e"), "ISBN").alias("i"), T.parse_int(c("f")).alias("n"))
-
-
-_BIBS = [
-    (1, "Книга — Москва, 2010. — 103 c. — ISBN 978-5-1. — Текст", "А. - 55 с. - ISBN 12-3, x", "Издательство Юрайт, 2020", "Питер, 2019 г., 320 с.", 103, 55, "978-5-1", "12-3", "Юрайт", "2019", 320, "Питер"),
-    (2, "isbn 5", "нет", "Юрайт", "Изд, Дом", 0, 0, None, None, None, None, 0, "Дом"),
-]
+    year = F.when(c("o_orderkey") % 4 == 0, "нет").otherwise(F.concat(F.year("o_orderdate"), F.lit(" год, 12")))
+    label = F.when(c("o_orderkey") % 2 == 0, "ISBN ").otherwise("")
+    raw = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit("  "), "o_orderstatus", F.lit(" \t "), "o_orderpriority", F.lit("\n")).alias("a"), year.alias("b"), F.concat(F.lit("(ред.) "), "o_orderpriority", F.lit(" (c)")).alias("d"),
+        F.concat(label, c("o_orderkey").cast("string")).alias("e"), F.concat(F.lit(" "), "o_orderkey", F.when(c("o_orderstatus") == "F", "x").otherwise(" ")).alias("f"),
+    )
+    return raw.select("o_orderkey", T.collapse(c("a")).alias("c"), X.first_number(c("b")).alias("y"), X.strip_parenthetical(c("d")).alias("p"), X.without_label(c("e"), "ISBN").alias("i"), T.parse_int(c("f")).alias("n"))
 
 
-@query("q39_bib_field_regex", f"SELECT * FROM {_values([(r[0], *r[5:]) for r in _BIBS])} AS t(id, em, hy, isbn_dot, isbn_comma, pub, year, pages, publisher)")
+@query(
+    "q39_bib_field_regex",
+    """WITH o AS (SELECT *, CAST(100 + o_orderkey % 900 AS INTEGER) AS n, strftime(o_orderdate, '%Y') AS y, o_orderkey % 5 = 0 AS bare FROM orders)
+    SELECT o_orderkey, CASE WHEN bare THEN 0 ELSE n END AS em, CASE WHEN bare THEN 0 ELSE n END AS hy, CASE WHEN NOT bare THEN '978-' || o_orderkey END AS isbn_dot, CASE WHEN NOT bare THEN '12-' || o_orderkey END AS isbn_comma,
+    CASE WHEN NOT bare THEN o_orderpriority END AS pub, CASE WHEN NOT bare THEN y END AS year, CASE WHEN bare THEN 0 ELSE n END AS pages, o_orderpriority AS publisher FROM o""",
+)
 def bib_field_regex(spark, sf_dir):
-    rows = _rows(spark, [r[:5] for r in _BIBS], "id int, a string, b string, d string, e string")
+    """Fields out of descriptions in four styles, one of each for every order; every fifth has none of the fields."""
     c = F.col
+    bare, key, n, y = c("o_orderkey") % 5 == 0, c("o_orderkey").cast("string"), (100 + c("o_orderkey") % 900).cast("string"), F.year("o_orderdate").cast("string")
+    bare_or = lambda text, *parts: F.when(bare, text).otherwise(F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
+    raw = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", bare_or("isbn 5", "Книга — Москва, ", y, ". — ", n, " c. — ISBN 978-", key, ". — Текст").alias("a"), bare_or("нет", "А. - ", n, " с. - ISBN 12-", key, ", x").alias("b"),
+        bare_or(c("o_orderpriority"), "Издательство ", c("o_orderpriority"), ", 2020").alias("d"), bare_or(F.concat(F.lit("Изд, "), "o_orderpriority"), c("o_orderpriority"), ", ", y, " г., ", n, " с.").alias("e"),
+    )
     listed = X.from_comma_list(c("e"))
-    return rows.select(
-        "id", X.pages_of_bib(c("a"), *X.EM_DASH_PAGES).alias("em"), X.pages_of_bib(c("b"), *X.HYPHEN_PAGES).alias("hy"), X.isbn_of_bib(c("a"), ". ").alias("isbn_dot"),
+    return raw.select(
+        "o_orderkey", X.pages_of_bib(c("a"), *X.EM_DASH_PAGES).alias("em"), X.pages_of_bib(c("b"), *X.HYPHEN_PAGES).alias("hy"), X.isbn_of_bib(c("a"), ". ").alias("isbn_dot"),
         X.isbn_of_bib(c("b"), ", ").alias("isbn_comma"), X.publisher_of_bib(c("d")).alias("pub"), listed["year"].alias("year"), listed["pages"].alias("pages"), listed["publisher"].alias("publisher"),
     )
 
 
-_INITIALS = [(1, "Иванов", "Книга / А.Б. Иванов. - М.", "Иванов А.Б."), (2, "Иванов", "Книга / А.Б.-Иванов, ред.", "Иванов А.Б."), (3, "Ив(анов", "Ив(анов А.Б.", "Ив(анов"), (4, "Петров", None, "Петров")]
-
-
-@query("q40_author_initials", f"SELECT * FROM {_values([(r[0], r[3]) for r in _INITIALS])} AS t(id, author)")
+@query(
+    "q40_author_initials",
+    f"WITH {_BOOKS.strip()} SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR len(w) = 0 THEN w[1] ELSE w[1] || ' А.Б.' END AS author FROM raw_books",
+)
 def author_initials(spark, sf_dir):
-    rows = _rows(spark, [r[:3] for r in _INITIALS], "id int, author string, bib string")
-    return rows.select("id", X.with_initials("author", "bib").alias("author"))
+    """Surnames with the initials that stand beside them in a description, the first words of documents; every third description is missing."""
+    docs = _table(spark, sf_dir, "documents")
+    first = F.get(F.filter(F.split("text", r"[^\p{L}\p{N}]+", 3), lambda w: w != ""), 0)
+    rows = docs.select("doc_id", first.alias("author"))
+    bib = F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("Книга / А.Б. "), "author", F.lit(". - М.")))
+    return rows.select("doc_id", X.with_initials("author", bib).alias("author"))
 
 
 @query(

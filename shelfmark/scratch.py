@@ -20,9 +20,9 @@ def scratch_dir(spark: SparkSession) -> str:
     return found
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the shared folder and reads it again, so a lost executor costs no more than this step."""
+def stash(df: DataFrame, name: str, *partition: str) -> DataFrame:
+    """Writes a table to the shared folder, by partitions if asked for, and reads it again, so a lost executor costs no more than this step."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/shelfmark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition) if partition else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
