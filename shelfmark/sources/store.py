@@ -60,8 +60,8 @@ class BookStore:
     def touched(self, keys: DataFrame, key: str = "Id") -> DataFrame:
         """All rows of the catalogues that hold one of the keys (_key); the partitions of the others are not read."""
         held = self.all().select(F.col(key).alias("_key"), "ElsName").join(keys, "_key", "left_semi")
-        names = held.select(F.col("ElsName").alias("_name")).where("_name <> ''").distinct()  # as many as catalogues at most
-        return self.all().join(F.broadcast(names), F.col("ElsName") == F.col("_name"), "left_semi")
+        names = [r.ElsName for r in held.select("ElsName").distinct().collect()]  # as many as catalogues at most
+        return self.all().where(F.col("ElsName").isin(names))
 
     def update_many(self, changes: DataFrame, key: str = "Id") -> bool:
         """Sets the columns of changes in the rows of the same key; nothing to change is a success.  A book stays in its catalogue."""

@@ -48,7 +48,9 @@ class _Window(StatefulProcessor):
         if whole < len(held):
             self.rest.put([(int(s), i) for s, i in held[whole:]])
         self.next.update((number + -(-whole // self.size),))
-        yield pd.DataFrame({"key": [key[0]] * whole, "batch": batches, "seq": [int(h[0]) for h in held[:whole]], "item": [h[1] for h in held[:whole]]})
+        if whole:
+            text = lambda values: pd.Series(values, dtype=object)
+            yield pd.DataFrame({"key": text([key[0]] * whole), "batch": batches, "seq": [int(h[0]) for h in held[:whole]], "item": text([h[1] for h in held[:whole]])})
 
     def close(self) -> None:
         pass
