@@ -622,7 +622,7 @@ def similar_edges(spark, sf_dir):
 
 @query("q32_similar_count", f"{_LINKING} SELECT Id, CAST(count(from_id) + any_value(stored) AS INTEGER) AS n FROM books LEFT JOIN edges ON from_id = Id GROUP BY Id")
 def similar_count(spark, sf_dir):
-    books = derived_books(spark, sf_dir)
+    books = stash(derived_books(spark, sf_dir), "books")
     maps = M.similar_maps(books, M.similar_edges(M.with_keys(books)))
     return maps.select("Id", F.col("SimilarCount").alias("n"))
 
@@ -633,7 +633,7 @@ def similar_count(spark, sf_dir):
     "UNION ALL SELECT Id, 'stored', lpad(CAST(CAST(ExternalId AS BIGINT) + 1 AS VARCHAR), 12, '0'), CAST(CAST(ExternalId AS BIGINT) + 1 AS VARCHAR), 0.125 FROM books WHERE stored = 1",
 )
 def similar_map(spark, sf_dir):
-    books = derived_books(spark, sf_dir)
+    books = stash(derived_books(spark, sf_dir), "books")
     maps = M.similar_maps(books, M.similar_edges(M.with_keys(books)))
     each = maps.select("Id", F.explode("SimilarBooks").alias("els", "links")).select("Id", "els", F.explode("links").alias("x"))
     return each.select("Id", "els", "x.BookId", "x.ExternalId", F.round("x.Coeff", 6).alias("coeff"))
