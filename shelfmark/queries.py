@@ -298,6 +298,29 @@ def html_label_pairs(spark, sf_dir):
     return pairs.select("o_orderkey", of(0).alias("isbn"), of(1).alias("year"), cells[0].alias("priority"), cells[1].alias("title"), H.routed(c("lines"), ["customer"], 0).alias("customer"))
 
 
+@query(
+    "q49_html_children",
+    """SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS first, CAST(CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 1 + c_custkey % 3 END AS INTEGER) AS n, c_custkey % 5 = 0 AS none FROM customer""",
+)
+def html_children(spark, sf_dir):
+    """The first child and the number of children of the element with an id, from a page for each customer; every fifth page has none."""
+    key = F.col("c_custkey")
+    name = F.when(key % 5 == 0, "other").otherwise("main")
+    more = F.repeat(F.lit("<i>x<u>y</u></i>"), (key % 3).cast("int"))
+    html = F.concat(F.lit('<div id="maint"><b>no</b></div><div class="main" id="'), name, F.lit('"><b>'), "c_name", F.lit("</b>"), more, F.lit("</div><p>z</p>"))
+    found = _table(spark, sf_dir, "customer").select("c_custkey", H.elements(html).alias("dom")).select("c_custkey", H.children(F.col("dom"), H.by_id(F.col("dom"), "main")).alias("c"))
+    return found.select("c_custkey", H.first(F.col("c"))["text"].alias("first"), F.size("c").alias("n"), T.none_or_empty(F.col("c")).alias("none"))
+
+
+@query("q50_id_range", "SELECT id FROM (SELECT unnest(range(min(o_orderkey), max(o_orderkey) + 11)) AS id FROM orders) WHERE id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O')")
+def id_range(spark, sf_dir):
+    """The ids of a range that are not stored: from the least order to ten beyond the last, without the orders that are not open."""
+    orders = _table(spark, sf_dir, "orders")
+    least, last = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    stored = orders.where(F.col("o_orderstatus") != "O").select(F.col("o_orderkey").alias("id"))
+    return V.new_items(V.id_range(spark, least, last + 11), stored, ["id"])
+
+
 @query("q10_pager_max", "SELECT p_partkey, CAST(CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE greatest(2, p_size) END AS INTEGER) AS n FROM part")
 def pager_max(spark, sf_dir):
     """The last page by the texts of a pager, one for each part; some have no number, and some parts no pager."""
