@@ -202,11 +202,16 @@ def backoff_scores(held: Block, full: dict[int, np.ndarray], total: int, alpha:
 
 
 def _bucketed(df: DataFrame, column: str, buckets: int) -> DataFrame:
-    """Writes a table to the shared folder in buckets: a grouping by that column reads it without a shuffle."""
+    """Writes a table to the shared folder in buckets: a grouping by that column reads it without a shuffle.
+
+    The catalog is only asked for the table once, so that it keeps no name of it: the files are the folder's, and stay.
+    """
     spark = df.sparkSession
     name = f"shelfmark_{uuid.uuid4().hex}"
     df.write.bucketBy(buckets, column).option("path", f"{scratch_dir(spark).rstrip('/')}/shelfmark/{name}").saveAsTable(name)
-    return spark.table(name)
+    made = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return made
 
 
 def _input_bytes(docs: DataFrame, text_col: str) -> int:
