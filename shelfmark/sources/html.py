@@ -7,9 +7,12 @@ order.  A missing end tag closes with its parent; void elements have no content.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,8 @@ ELEMENT = T.StructType(
     + [T.StructField(c, T.StringType()) for c in ("tag", "cls", "id", "text", "next_text", "first_text")]
     + [T.StructField("attrs", T.MapType(T.StringType(), T.StringType()))]
 )
+#: Characters of pages, about, and pages whose elements a task holds at once.
+HELD_CHARS, HELD_PAGES = 500_000, 2_000
 _ATTRIBUTE = re.compile(r"""\s([^\s=<>/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 
 
@@ -30,25 +35,41 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.rows: list[dict] = []
         self.open: list[int] = []
-        self.waiting: list[int] = []  # closed elements whose next sibling is still to come
+        self.names: Counter[str] = Counter()  # of the open elements
+        self.closed: list[int | None] = [None]  # for each level the element that closed last and whose next sibling is still to come
+        self.texts: list[str] = []
+        self.spans: list[list[int]] = []  # of each element in texts
+        # What follows an element and what it begins with: a text, the number of an element, or nothing.
+        self.next: list[str | int | None] = []
+        self.first: list[str | int | None] = []
+        self.at = 0
+
+    def updatepos(self, i: int, j: int) -> int:
+        """The parser tells its place here; lines are not counted."""
+        self.at = j
+        return j
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        parent = self.open[-1] if self.open else -1
-        raw = self.get_starttag_text() or ""
-        if "&" in raw:  # the parser decodes values; here they stay as they stand
+        i, parent = len(self.rows), self.open[-1] if self.open else -1
+        if attrs and "&" in (raw := self.get_starttag_text() or ""):  # the parser decodes values; here they stay as they stand
             attrs = [(m[1].lower(), m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "") for m in _ATTRIBUTE.finditer(raw)]
         held = {k: v or "" for k, v in reversed(attrs)}
-        row = {"i": len(self.rows), "parent": parent, "last": len(self.rows), "level": len(self.open), "tag": tag, "cls": held.get("class"), "id": held.get("id"), "attrs": held}
-        self._settle(parent)
-        if parent >= 0:
-            if self.rows[parent]["first"] is None:
-                self.rows[parent]["first"] = row["i"]
-            self.rows[parent]["first_ended"] = True
-        self.rows.append(row | {"parts": [], "next": None, "first": None, "first_ended": False})
+        before = self.closed[-1]
+        if before is not None and self.next[before] is None:
+            self.next[before] = i
+        self.closed[-1] = None
+        if parent >= 0 and self.first[parent] is None:
+            self.first[parent] = i
+        self.rows.append({"i": i, "parent": parent, "last": i, "level": len(self.open), "tag": tag, "cls": held.get("class"), "id": held.get("id"), "attrs": held})
+        self.spans.append([len(self.texts), len(self.texts)])
+        self.next.append(None)
+        self.first.append(None)
         if tag in VOID:
-            self._close(row["i"])
+            self.closed[-1] = i
         else:
-            self.open.append(row["i"])
+            self.open.append(i)
+            self.names[tag] += 1
+            self.closed.append(None)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -56,50 +77,50 @@ class _Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if any(self.rows[i]["tag"] == tag for i in self.open):
-            while True:
-                i = self.open.pop()
-                self._close(i)
-                if self.rows[i]["tag"] == tag:
-                    break
-
-    def _close(self, i: int) -> None:
-        self.rows[i]["last"] = len(self.rows) - 1
-        self.waiting.append(i)
-
-    def _settle(self, parent: int) -> None:
-        """An element that follows is the next sibling of those closed before it, unless a text came between."""
-        for w in self.waiting:
-            if self.rows[w]["parent"] == parent and self.rows[w]["next"] is None:
-                self.rows[w]["next"] = len(self.rows)
-        self.waiting = [w for w in self.waiting if self.rows[w]["parent"] != parent]
-
-    def _text(self, text: str) -> None:
-        parent = self.open[-1] if self.open else -1
-        for i in self.open:
-            self.rows[i]["parts"].append(text)
-        for w in [w for w in self.waiting if self.rows[w]["parent"] == parent]:
-            if isinstance(self.rows[w]["next"], int):
-                continue
-            self.rows[w]["next"] = (self.rows[w]["next"] or "") + text
-        if parent >= 0 and not self.rows[parent]["first_ended"]:
-            self.rows[parent]["first"] = (self.rows[parent]["first"] or "") + text
-
-    handle_data = _text
+        while self.names[tag]:
+            if self._close() == tag:
+                break
+
+    def _close(self) -> str:
+        """Ends the innermost open element."""
+        i = self.open.pop()
+        self.closed.pop()
+        self.closed[-1] = i
+        row = self.rows[i]
+        row["last"] = len(self.rows) - 1
+        self.spans[i][1] = len(self.texts)
+        self.names[row["tag"]] -= 1
+        return row["tag"]
+
+    def handle_data(self, text: str) -> None:
+        """A text of the open element; it follows the element that closed last, unless another one came between."""
+        self.texts.append(text)
+        before = self.closed[-1]
+        if before is not None:
+            self.next[before] = (self.next[before] or "") + text
+        elif self.open and not isinstance(self.first[self.open[-1]], int):
+            self.first[self.open[-1]] = (self.first[self.open[-1]] or "") + text
+
+    def _reference(self, text: str) -> None:
+        """A reference as it stands: with a semicolon only where it has one."""
+        end = self.at + len(text)
+        self.handle_data(text + ";" if self.rawdata[end : end + 1] == ";" else text)
 
     def handle_entityref(self, name: str) -> None:
-        self._text(f"&{name};")
+        self._reference(f"&{name}")
 
     def handle_charref(self, name: str) -> None:
-        self._text(f"&#{name};")
+        self._reference(f"&#{name}")
 
     def elements(self) -> list[dict]:
         while self.open:
-            self._close(self.open.pop())
-        texts = ["".join(r["parts"]) for r in self.rows]
-        of = lambda x: texts[x] if isinstance(x, int) and x < len(texts) else x if isinstance(x, str) else None
-        keys = ("i", "parent", "last", "level", "tag", "cls", "id", "attrs")
-        return [{k: r[k] for k in keys} | {"text": texts[r["i"]], "next_text": of(r["next"]), "first_text": of(r["first"])} for r in self.rows]
+            self._close()
+        texts = ["".join(self.texts[a:b]) for a, b in self.spans]
+        for row, text, behind, inner in zip(self.rows, texts, self.next, self.first, strict=True):
+            row["text"] = text
+            row["next_text"] = texts[behind] if isinstance(behind, int) else behind
+            row["first_text"] = texts[inner] if isinstance(inner, int) else inner
+        return self.rows
 
 
 def parse(page: str | None) -> list[dict]:
@@ -115,10 +136,33 @@ def parse(page: str | None) -> list[dict]:
     return tree.elements()
 
 
-@F.pandas_udf(T.ArrayType(ELEMENT))
-def elements(pages: pd.Series) -> pd.Series:
-    """All elements of each page in document order."""
-    return pd.Series([parse(p) for p in pages], dtype=object)
+def _offsets(sizes: list[int]) -> pa.Array:
+    return pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+
+
+def _arrays(doms: list[list[dict]]) -> pa.Array:
+    """The elements of some pages, column by column: rows of nested values would cost as much as the parser."""
+    rows = [e for dom in doms for e in dom]
+    attrs = [e["attrs"] for e in rows]
+    of_map = pa.MapArray.from_arrays(_offsets([len(a) for a in attrs]), pa.array([k for a in attrs for k in a], pa.string()), pa.array([v for a in attrs for v in a.values()], pa.string()))
+    columns = [of_map if f.name == "attrs" else pa.array([e[f.name] for e in rows], pa.int32() if f.dataType == T.IntegerType() else pa.string()) for f in ELEMENT]
+    return pa.ListArray.from_arrays(_offsets([len(dom) for dom in doms]), pa.StructArray.from_arrays(columns, ELEMENT.names))
+
+
+@F.arrow_udf(T.ArrayType(ELEMENT))
+def elements(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """All elements of each page in document order; a task holds those of some pages only, however many come at once."""
+    for pages in batches:
+        doms, chars = [], 0
+        for page in pages:
+            text = page.as_py()
+            doms.append(parse(text))
+            chars += len(text or "")
+            if chars >= HELD_CHARS or len(doms) >= HELD_PAGES:
+                yield _arrays(doms)
+                doms, chars = [], 0
+        if doms:
+            yield _arrays(doms)
 
 
 def by_tag(dom: Column, tag: str) -> Column:
