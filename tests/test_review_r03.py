@@ -2,6 +2,7 @@
 
 import pyarrow as pa
 
+from shelfmark import queries
 from shelfmark.sources import html as H
 
 
@@ -23,3 +24,8 @@ def test_elements_of_pages_come_in_bounded_parts():
 def test_many_closed_elements_cost_no_square():
     dom = H.parse("<ul>" + "<li><a>k</a></li>" * 30_000 + "</ul>")
     assert len(dom) == 60_001 and dom[1]["next_text"] == "k" and dom[-1]["next_text"] is None
+
+
+def test_rows_of_pages_are_dealt_to_all_cores(spark, sf_dir):
+    for query in (queries.html_label_pairs, queries.html_children):
+        assert query(spark, sf_dir).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
