@@ -1,8 +1,11 @@
 """What the review of round 3 found: references, capitals, pages in bounded parts, rows dealt out."""
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from shelfmark import queries
+from shelfmark.functions import text as T
+from shelfmark.plans.compare import derived_books
 from shelfmark.sources import html as H
 
 
@@ -29,3 +32,11 @@ def test_many_closed_elements_cost_no_square():
 def test_rows_of_pages_are_dealt_to_all_cores(spark, sf_dir):
     for query in (queries.html_label_pairs, queries.html_children):
         assert query(spark, sf_dir).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_an_initial_is_one_letter(spark, tmp_path):
+    letters = {"ß": "ẞ", "ä": "Ä", "ﬁ": "ﬁ", "ᾳ": "ᾼ", "ŉ": "ŉ", "1": "1"}
+    got = spark.createDataFrame([(c,) for c in letters], "c string").select("c", T.upper_letter(F.col("c")).alias("u")).collect()
+    assert {r.c: r.u for r in got} == letters
+    spark.createDataFrame([(6, "Ge ßo sa", "de", "s")], "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert derived_books(spark, str(tmp_path)).first().Authors == "Ge ẞ. S."
