@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from shelfmark import queries
 from shelfmark.functions import text as T
+from shelfmark.operators.similar import near_candidates, with_keys
 from shelfmark.plans.compare import derived_books
+from shelfmark.schema import as_books
 from shelfmark.sources import html as H
 
 
@@ -40,3 +42,10 @@ def test_an_initial_is_one_letter(spark, tmp_path):
     assert {r.c: r.u for r in got} == letters
     spark.createDataFrame([(6, "Ge ßo sa", "de", "s")], "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
     assert derived_books(spark, str(tmp_path)).first().Authors == "Ge ẞ. S."
+
+
+def test_candidates_of_books_already_compared(spark):
+    rows = [("a", "Karlson", True, "river stone"), ("b", "Karlsen", True, "river north"), ("c", "Lee", False, "river"), ("d", "Karlson", False, "light")]
+    books = as_books(spark.createDataFrame([(i, "E", i, n, a, c) for i, a, c, n in rows], "Id string, ElsName string, ExternalId string, Name string, Authors string, Compared boolean"))
+    pairs = lambda **o: [(r.a, r.b) for r in near_candidates(with_keys(books), **o).collect()]
+    assert pairs() == [] and pairs(compared=True) == [("a", "b")]
