@@ -1,10 +1,13 @@
 """What the review of round 3 found: references, capitals, pages in bounded parts, rows dealt out."""
 
+import random
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfmark import queries
 from shelfmark.functions import text as T
+from shelfmark.operators.near import signatures
 from shelfmark.operators.similar import near_candidates, with_keys
 from shelfmark.plans.compare import derived_books
 from shelfmark.schema import as_books
@@ -49,3 +52,20 @@ def test_candidates_of_books_already_compared(spark):
     books = as_books(spark.createDataFrame([(i, "E", i, n, a, c) for i, a, c, n in rows], "Id string, ElsName string, ExternalId string, Name string, Authors string, Compared boolean"))
     pairs = lambda **o: [(r.a, r.b) for r in near_candidates(with_keys(books), **o).collect()]
     assert pairs() == [] and pairs(compared=True) == [("a", "b")]
+
+
+def test_short_keys_that_share_a_beginning_hardly_meet(spark):
+    rng = random.Random(3)
+    keys = {"sta" + "".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(300)}
+    marks = signatures(spark.createDataFrame([(k,) for k in keys], "key string"))
+    x, y = (marks.where(F.col("role") == r).select("h", F.col("key").alias(k)) for r, k in ((0, "x"), (1, "y")))
+    assert x.join(y, "h").where("x <> y").count() < 10_000
+
+
+def test_names_are_tested_where_books_meet(spark):
+    names = ["river stone light", "river stone night", "river house garden window", "one two three four five six", "six five four three ten nine"]
+    rows = [(str(i), "E", str(i), n, "Karlson", False) for i, n in enumerate(names)]
+    books = as_books(spark.createDataFrame(rows, "Id string, ElsName string, ExternalId string, Name string, Authors string, Compared boolean"))
+    keyed = with_keys(books)
+    assert {(r.a, r.b) for r in near_candidates(keyed, overlap=0.4).collect()} == {("0", "1"), ("3", "4")}
+    assert {(r.a, r.b) for r in near_candidates(keyed).collect()} == {("0", "1"), ("0", "2"), ("1", "2"), ("3", "4")}
