@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from shelfmark import queries
 from shelfmark.functions import text as T
+from shelfmark.operators.blocks import common_token_pairs, count_common_token
 from shelfmark.operators.near import signatures
-from shelfmark.operators.similar import near_candidates, with_keys
+from shelfmark.operators.overlap import overlap_pairs
+from shelfmark.operators.similar import candidates, near_candidates, with_keys
 from shelfmark.plans.compare import derived_books
 from shelfmark.schema import as_books
 from shelfmark.sources import html as H
@@ -69,3 +71,20 @@ def test_names_are_tested_where_books_meet(spark):
     keyed = with_keys(books)
     assert {(r.a, r.b) for r in near_candidates(keyed, overlap=0.4).collect()} == {("0", "1"), ("3", "4")}
     assert {(r.a, r.b) for r in near_candidates(keyed).collect()} == {("0", "1"), ("0", "2"), ("1", "2"), ("3", "4")}
+
+
+def test_pairs_of_frequent_tokens_are_made_once_and_do_not_move(spark):
+    rng = random.Random(4)
+    sets = {f"{i:03}": sorted({rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 9))}) for i in range(120)}
+    keyed = spark.createDataFrame([(i, "".join(t), t) for i, t in sets.items()], "Id string, name_key string, name_tokens array<string>")
+    share = {(a, b) for a in sets for b in sets if a < b and set(sets[a]) & set(sets[b])}
+    frame = candidates(keyed)
+    assert sorted((r.a, r.b) for r in frame.collect()) == sorted(share)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange") and count_common_token(keyed).agg(F.sum("n")).first()[0] == len(share)
+    near = {(r.a, r.b) for r in common_token_pairs(keyed, edit=0.3).collect()}
+    assert near <= share and {p for p in share if sets[p[0]] == sets[p[1]]} <= near
+    passing = {(a, b) for a, b in share if min(len(sets[a]), len(sets[b])) >= 5 and len(set(sets[a]) & set(sets[b])) >= 0.6 * min(len(sets[a]), len(sets[b])) - 1e-9}
+    found = overlap_pairs(keyed)
+    assert sorted((r.a, r.b) for r in found.collect()) == sorted(passing)
+    assert "HashAggregate" not in found._jdf.queryExecution().executedPlan().toString().split("ShuffledHashJoin")[0]
