@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import partitions, stash
+from shelfmark.llm.common import partitions, stash, trim
 from shelfmark.llm.hashing import mix, shingle_set, word_hashes
 
 #: Words of a shingle; links need 100 * intersection >= SIMILARITY * union.
@@ -47,6 +47,8 @@ SLICES, SHARDS = 64, 256
 MAX_MEMBERS, MAX_SHINGLES, DEPTH, PIVOTS = 2000, 4_000_000, 2, 16
 #: Buckets of the counts that bound a distance from below, and members of a region that are compared by them in one task.
 BUCKETS, MAX_COUNTED = 256, 5000
+#: Members that regions go to Python with, about; up to so many members a region's pairs are compared at once, so many at a time.
+DEALT_COUNTS, DEALT_SETS, FEW, PAIRS = 2000, 500, 64, 2048
 #: Beyond this distance from all pivots a document counts as far.
 FAR = 0.6
 
@@ -128,7 +130,7 @@ def _bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, n: int, similarity: int, hot: bytes, cells: int) -> DataFrame:
-    """doc_id, key, the leading shingles of each document's set (rare ones first, then by hash) and its counts by bucket."""
+    """doc_id, key, n, the leading shingles of each document's set (rare ones first, then by hash) and its counts by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(hot, np.uint8)
@@ -141,40 +143,53 @@ def prefixes(docs: DataFrame, n: int, similarity: int, hot: bytes, cells: int) -
                 often = _bit(bits, (s & np.uint64(cells - 1)).astype(np.int64)).astype(bool)
                 rare = s[~often][:size]
                 lead.append((np.concatenate([rare, s[often][: size - len(rare)]]) if len(rare) < size else rare).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), _long([set_key(s) for s in sets]), pa.array(lead, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "key", "lead", "counts"])
+            parts = [b.column(0), _long([set_key(s) for s in sets]), _long([len(s) for s in sets]), pa.array(lead, pa.binary()), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(parts, ["doc_id", "key", "n", "lead", "counts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, key long, lead binary, counts binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, key long, n long, lead binary, counts binary")
 
 
-def members(lead: DataFrame, buckets: int) -> DataFrame:
-    """(region, key): each class with the pivots of its leading shingles, itself included where it is one."""
+def holders(token: np.ndarray, key: np.ndarray, size: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(region, key): the holders of each shingle with their pivot, itself included.
+
+    Holders are taken by size and parted where the next one is too large to link with any before it; one alone is in no region.
+    """
+    order = np.lexsort((size, token))
+    token, key, size = token[order], key[order], size[order]
+    apart = np.ones(len(token), bool)
+    apart[1:] = (token[1:] != token[:-1]) | (100 * size[:-1].astype(np.int64) < similarity * size[1:].astype(np.int64))
+    start = np.flatnonzero(apart)
+    pivot = np.minimum.reduceat(key, start)[np.cumsum(apart) - 1] if len(start) else key  # the smallest key of those that may link
+    pairs = np.unique(np.stack([pivot, key], 1)[pivot != key], axis=0)
+    own = np.unique(pairs[:, 0])
+    return np.append(pairs[:, 0], own), np.append(pairs[:, 1], own)
+
+
+def members(lead: DataFrame, buckets: int, similarity: int = SIMILARITY) -> DataFrame:
+    """(region, key): each class with the pivots of its leading shingles among classes of like sizes, itself included where it is one."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             each = [np.frombuffer(x, np.uint64) for x in pdf["lead"]]
             token = np.concatenate([np.empty(0, np.uint64), *each])
-            key = np.repeat(pdf["key"].to_numpy(np.int64), [len(x) for x in each])
+            many = [len(x) for x in each]
+            key = np.repeat(pdf["key"].to_numpy(np.int64), many)
+            size = np.repeat(pdf["n"].to_numpy(np.int64).astype(np.uint32), many)
             to = (mix(token) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
-            token, key, to = token[order], key[order], to[order]
+            token, key, size, to = token[order], key[order], size[order], to[order]
             which, at = np.unique(to, return_index=True)
             cut = [*at.tolist(), len(to)]
             spans = list(zip(cut[:-1], cut[1:], strict=True))
-            yield pd.DataFrame({"bucket": which, "tokens": [token[i:j].tobytes() for i, j in spans], "keys": [key[i:j].tobytes() for i, j in spans]})
+            yield pd.DataFrame({"bucket": which, **{name: [x[i:j].tobytes() for i, j in spans] for name, x in (("tokens", token), ("keys", key), ("sizes", size))}})
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        token = np.frombuffer(b"".join(pdf["tokens"]), np.uint64)
-        key = np.frombuffer(b"".join(pdf["keys"]), np.int64)
-        order = np.lexsort((key, token))
-        token, key = token[order], key[order]
-        start = np.append(True, token[1:] != token[:-1])
-        pivot = key[start][np.cumsum(start) - 1]  # the smallest key of the shingle's holders
-        pairs = np.unique(np.stack([pivot, key], 1)[pivot != key], axis=0)
-        own = np.unique(pairs[:, 0])
-        return pd.DataFrame({"region": np.append(pairs[:, 0], own), "key": np.append(pairs[:, 1], own)})
-
-    dealt = lead.select("key", "lead").mapInPandas(deal, "bucket long, tokens binary, keys binary")
+        token, key, size = (np.frombuffer(b"".join(pdf[name]), kind) for name, kind in (("tokens", np.uint64), ("keys", np.int64), ("sizes", np.uint32)))
+        region, key = holders(token, key, size, similarity)
+        return pd.DataFrame({"region": region, "key": key})
+
+    dealt = lead.select("key", "n", "lead").mapInPandas(deal, "bucket long, tokens binary, keys binary, sizes binary")
     return dealt.groupBy("bucket").applyInPandas(gather, "region long, key long").distinct()
 
 
@@ -234,6 +249,57 @@ def of_counts(counts: np.ndarray) -> Meet:
     return lambda some, one: np.minimum(counts[some], counts[one]).sum(1, dtype=np.int64)
 
 
+def by_region(rows: DataFrame, total: int, most: int, run: Callable[[pd.DataFrame], pd.DataFrame], fields: str) -> DataFrame:
+    """run() of the rows of many whole regions at a time, about most of the total rows: most regions have a few members, and a call for each costs more than its work."""
+    buckets = max(4 * partitions(rows.sparkSession), -(-total // most))
+
+    def many(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = run(pdf)
+        if len(pdf) > most:
+            trim()
+        return out
+
+    return rows.groupBy(F.pmod(F.xxhash64("region"), F.lit(buckets)).alias("bucket")).applyInPandas(many, fields)
+
+
+def spans_of(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """Rows sorted by region, each key once in it, and the first row and the number of rows of each region."""
+    pdf = pdf.drop_duplicates(["region", "key"])
+    code = pd.factorize(pdf["region"])[0]
+    order = np.argsort(code, kind="stable")
+    return pdf.iloc[order], *np.unique(code[order], return_index=True, return_counts=True)[1:]
+
+
+def least_of(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The smallest key that each one reaches by edges between places left and right."""
+    least = keys.copy()
+    while True:
+        low = np.minimum(least[left], least[right])
+        if (low == least[left]).all() and (low == least[right]).all():
+            return least
+        np.minimum.at(least, left, low)
+        np.minimum.at(least, right, low)
+
+
+def solve_few(keys: np.ndarray, size: np.ndarray, counts: Meet, start: np.ndarray, number: np.ndarray, similarity: int) -> np.ndarray:
+    """solve() of many regions of few members each, all of whose pairs are compared at once; a key reaches its own region only."""
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for m in np.unique(number[number > 1]):
+        i, j = np.triu_indices(m, 1)
+        each = start[number == m]
+        width = max(1, 16 * PAIRS // len(i))
+        for k in range(0, len(each), width):
+            a, b = ((each[k : k + width, None] + x).ravel() for x in (i, j))
+            like = 100 * np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b])
+            a, b = a[like], b[like]
+            for c in range(0, len(a), PAIRS):
+                x, y = a[c : c + PAIRS], b[c : c + PAIRS]
+                yes = linked(counts(x, y), size[x], size[y], similarity)
+                left.append(x[yes])
+                right.append(y[yes])
+    return least_of(keys, np.concatenate(left), np.concatenate(right))
+
+
 def solve(keys: np.ndarray, size: np.ndarray, meet: Meet, similarity: int = SIMILARITY) -> np.ndarray:
     """The smallest key of each member's component, by pivots, balls and windows; exact in the metric that meet makes.
 
@@ -285,7 +351,8 @@ def bucket_counts(s: np.ndarray) -> bytes:
 
 def _read_counts(raw: list[bytes]) -> tuple[np.ndarray, Meet]:
     """Sizes and bounds from counts by bucket."""
-    counts = np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * BUCKETS else np.uint32).astype(np.int32) for x in raw])
+    short = all(len(x) == 2 * BUCKETS for x in raw)
+    counts = np.frombuffer(b"".join(raw), np.uint16).reshape(-1, BUCKETS) if short else np.stack([np.frombuffer(x, np.uint16 if len(x) == 2 * BUCKETS else np.uint32).astype(np.int32) for x in raw])
     return counts.sum(1, dtype=np.int64), of_counts(counts)
 
 
@@ -305,11 +372,12 @@ def _read_codes(raw: list[bytes]) -> tuple[np.ndarray, Meet]:
     return np.array([len(x) for x in sets], np.int64), of_sets(sets)
 
 
-def refine(rows: DataFrame, similarity: int, read: Callable[[list[bytes]], tuple[np.ndarray, Meet]]) -> DataFrame:
-    """Parts regions (region, key, bounds) into what may be linked by a lower bound of the distance; (region, key).
+def refine(rows: DataFrame, total: int, similarity: int, read: Callable[[list[bytes]], tuple[np.ndarray, Meet]], few: int = 0) -> DataFrame:
+    """Parts regions (region, key, bounds), total rows, into what may be linked by a lower bound of the distance; (region, key).
 
     Both bounds are metrics too, so the same pivots, balls and windows work, on far smaller rows;
-    only members of a part of two or more go on.
+    only members of a part of two or more go on.  Regions of at most few members are done together, which bounds
+    by counts allow: the meet of two arrays is that of their pairs.
     """
     rows = rows.withColumn("region", F.col("region").cast("string"))
     sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("m"))
@@ -320,13 +388,21 @@ def refine(rows: DataFrame, similarity: int, read: Callable[[list[bytes]], tuple
         rows = tagged.where("m is null").drop("m", "w").unionByName(blocks.withColumnRenamed("shingles", "bounds"))
 
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("key")
-        keys = pdf["key"].to_numpy(np.int64)
-        root = solve(keys, *read(pdf["bounds"].tolist()), similarity)
+        pdf, start, number = spans_of(pdf)
+        keys, bounds = pdf["key"].to_numpy(np.int64), pdf["bounds"].tolist()
+        root = keys.copy()
+        held = np.flatnonzero(np.repeat(number <= few, number))
+        if len(held):
+            size, meet = read([bounds[i] for i in held])
+            many = number[number <= few]
+            root[held] = solve_few(keys[held], size, meet, np.cumsum(many) - many, many, similarity)
+        for i, m in zip(start, number, strict=True):
+            if m > max(1, few):
+                root[i : i + m] = solve(keys[i : i + m], *read(bounds[i : i + m]), similarity)
         some = np.isin(root, root[root != keys])
         return pd.DataFrame({"region": root[some], "key": keys[some]})
 
-    return stash(rows.groupBy("region").applyInPandas(part, "region long, key long").distinct(), "refined")
+    return stash(by_region(rows, total, DEALT_COUNTS, part, "region long, key long").distinct(), "refined")
 
 
 def part_regions(rows: DataFrame, similarity: int, depth: int = DEPTH, pivots: int = PIVOTS) -> DataFrame:
@@ -438,8 +514,8 @@ def _homes(r: float):
     return cells
 
 
-def count_links(rows: DataFrame, similarity: int, depth: int = DEPTH, pivots: int = PIVOTS) -> DataFrame:
-    """key, n: the documents of other classes that each class links with.  rows: region string, key, copies, shingles."""
+def count_links(rows: DataFrame, total: int, similarity: int, depth: int = DEPTH, pivots: int = PIVOTS) -> DataFrame:
+    """key, n: the documents of other classes that each class links with.  rows: region string, key, copies, shingles; total of them."""
     small: list[DataFrame] = []
     rows = rows.select("region", "key", "copies", F.lit(True).alias("home"), F.lit(-1).alias("side"), "shingles")
     for level in range(depth + 1):
@@ -477,11 +553,16 @@ def count_links(rows: DataFrame, similarity: int, depth: int = DEPTH, pivots: in
         every = every.unionByName(x)
 
     def counted(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-        n = link_sums(sets, pdf["copies"].to_numpy(np.int64), pdf["home"].to_numpy(bool), pdf["side"].to_numpy(np.int64), similarity)
-        return pd.DataFrame({"key": pdf["key"], "n": n})[n > 0]
+        keys, n = pdf["key"].to_numpy(np.int64), np.zeros(len(pdf), np.int64)
+        code = pd.factorize(pdf["region"])[0]
+        order = np.argsort(code, kind="stable")
+        raw, columns = pdf["shingles"].tolist(), [pdf["copies"].to_numpy(np.int64), pdf["home"].to_numpy(bool), pdf["side"].to_numpy(np.int64)]
+        for mine in np.split(order, np.cumsum(np.bincount(code))[:-1]):
+            if len(mine) > 1:
+                n[mine] = link_sums([np.frombuffer(raw[i], np.uint64) for i in mine], *[x[mine] for x in columns], similarity)
+        return pd.DataFrame({"key": keys, "n": n})[n > 0]
 
-    return every.groupBy("region").applyInPandas(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return by_region(every, total, DEALT_SETS, counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -519,9 +600,9 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = stash(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("doc_id").alias("copies")), "classes")
     named = classes.where("rep is not null").select("key", F.col("rep").alias("doc_id"))
     lead = prefixes(base, n, similarity, hot, cells).join(named, ["doc_id", "key"], "left_semi")
-    lead = stash(lead.select("key", "lead", "counts"), "leading")
-    region = stash(members(lead, max(64, 4 * partitions(spark))), "members")
-    region = refine(region.join(lead.select("key", F.col("counts").alias("bounds")), "key"), similarity, _read_counts)
+    lead = stash(lead.select("key", "n", "lead", "counts"), "leading")
+    region = stash(members(lead, max(64, 4 * partitions(spark)), similarity), "members")
+    region = refine(region.join(lead.select("key", F.col("counts").alias("bounds")), "key"), region.count(), similarity, _read_counts, FEW)
     candidates = stash(region.select("key").distinct().join(named, "key"), "candidates")
     sieve = candidate_filter(candidates.select("key"), FILTER_BITS)
     sets = candidate_sets(base, n, sieve, FILTER_BITS).join(candidates, ["doc_id", "key"], "left_semi").dropDuplicates(["key"])
@@ -531,24 +612,27 @@ def join_ngrams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def codes(shingles: pd.Series) -> pd.Series:
         return shingles.map(lambda x: fine_codes(np.frombuffer(x, np.uint64)))
 
-    region = refine(region.join(sets.select("key", codes("shingles").alias("bounds")), "key"), similarity, _read_codes)
+    region = refine(region.join(sets.select("key", codes("shingles").alias("bounds")), "key"), region.count(), similarity, _read_codes)
     held = region.join(sets, "key").select(F.col("region").cast("string").alias("region"), "key", "shingles")
     held = part_regions(held, similarity)
 
     def solved(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("key")
-        keys = pdf["key"].to_numpy(np.int64)
-        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-        root = solve(keys, np.array([len(x) for x in sets]), of_sets(sets), similarity)
+        pdf, start, number = spans_of(pdf)
+        keys, sets = pdf["key"].to_numpy(np.int64), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        root = keys.copy()
+        for i, m in zip(start, number, strict=True):
+            if m > 1:
+                some = sets[i : i + m]
+                root[i : i + m] = solve(keys[i : i + m], np.array([len(x) for x in some]), of_sets(some), similarity)
         return pd.DataFrame({"key": keys, "root": root})[root != keys]
 
-    links = stash(held.groupBy("region").applyInPandas(solved, "key long, root long").distinct(), "links")
+    links = stash(by_region(held, region.count(), DEALT_SETS, solved, "key long, root long").distinct(), "links")
     labels = components(links)
     labels = stash(labels, "labelled")
     labelled = classes.join(labels, "key").select("key", "label", "rep", "copies")
     least = labelled.groupBy("label").agg(F.min("rep").alias("component"))
     members_of = labelled.join(sets, "key").select(F.col("label").cast("string").alias("region"), "key", "copies", "shingles")
-    linked_to = stash(count_links(members_of, similarity), "counted")
+    linked_to = stash(count_links(members_of, labels.count(), similarity), "counted")
     of_class = classes.join(labelled.select("key", "label").join(least, "label").select("key", "component"), "key", "left").join(linked_to, "key", "left")
     of_class = stash(of_class.select("key", F.coalesce("component", "rep").alias("component_id"), F.col("rep").alias("class_id"), (F.col("copies") + F.coalesce("n", F.lit(0))).alias("near")), "components")
     n_links = F.col("near") - F.when(F.col("doc_id").isNotNull(), 1).otherwise(0)
