@@ -41,8 +41,8 @@ from shelfmark.llm.hashing import mix, shingle_set, word_hashes
 SHINGLE, SIMILARITY = 5, 80
 #: Cells of the counting sketch that tells frequent shingles (one byte each in a task, one bit when sent to executors) and bits of the candidates' filter.
 CELLS, FILTER_BITS = 1 << 22, 1 << 24
-#: Slices of the sketch and of the filter; groups of tasks whose sketches are summed first.
-SLICES, SHARDS = 64, 256
+#: Slices of the sketch and of the filter; groups of tasks whose sketches are summed first, few since sums are four times as long.
+SLICES, SHARDS = 64, 32
 #: A region with more members or shingles is parted again; so often; with so many pivots.
 MAX_MEMBERS, MAX_SHINGLES, DEPTH, PIVOTS = 2000, 4_000_000, 2, 16
 #: Buckets of the counts that bound a distance from below, and members of a region that are compared by them in one task.
@@ -92,6 +92,7 @@ def first_pass(docs: DataFrame, n: int, cells: int) -> DataFrame:
             blobs = [x.tobytes() for x in np.split(count, SLICES)]
             zero = _long([0] * SLICES)
             yield pa.RecordBatch.from_arrays([pa.nulls(SLICES, kind), zero, zero, pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names)
+        trim()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, n long, key long, part int, cells binary")
@@ -145,6 +146,7 @@ def prefixes(docs: DataFrame, n: int, similarity: int, hot: bytes, cells: int) -
                 lead.append((np.concatenate([rare, s[often][: size - len(rare)]]) if len(rare) < size else rare).tobytes())
             parts = [b.column(0), _long([set_key(s) for s in sets]), _long([len(s) for s in sets]), pa.array(lead, pa.binary()), pa.array(counts, pa.binary())]
             yield pa.RecordBatch.from_arrays(parts, ["doc_id", "key", "n", "lead", "counts"])
+        trim()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, key long, n long, lead binary, counts binary")
@@ -219,6 +221,7 @@ def candidate_sets(docs: DataFrame, n: int, sieve: bytes, bits: int) -> DataFram
             at = (key % SLICES) * (bits // SLICES) + (mix(key.astype(np.uint64)) % np.uint64(bits // SLICES)).astype(np.int64)
             yes = np.flatnonzero(_bit(held, at).astype(bool) & np.array([len(s) > 0 for s in sets], bool))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(yes)), pa.array(key[yes]), pa.array([sets[i].tobytes() for i in yes], pa.binary())], ["doc_id", "key", "shingles"])
+        trim()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, key long, shingles binary")
@@ -478,7 +481,7 @@ def link_sums(sets: list[np.ndarray], weight: np.ndarray, home: np.ndarray, side
     shared = end[first] - start[first] > 1
     first, times = first[shared], times[shared]
     inter = np.zeros((m, m), np.float32)
-    width = max(1, 4_000_000 // m)
+    width = max(1, 1_000_000 // m)
     for k in range(0, len(first), width):
         some = first[k : k + width]
         held = np.zeros((m, len(some)), np.float32)
@@ -486,10 +489,14 @@ def link_sums(sets: list[np.ndarray], weight: np.ndarray, home: np.ndarray, side
         column = np.repeat(np.arange(len(some)), length)
         held[member[np.arange(length.sum()) + np.repeat(start[some] - np.append(0, np.cumsum(length)[:-1]), length)], column] = 1
         inter += (held * times[k : k + width].astype(np.float32)) @ held.T
-    both = linked(np.rint(inter).astype(np.int64), size[:, None], size[None, :], similarity)
-    np.fill_diagonal(both, False)
-    both &= (side[:, None] != side[None, :]) | (side[:, None] < 0)
-    return np.where(home, both @ weight, 0)
+    out = np.zeros(m, np.int64)
+    for k in range(0, m, 256):  # some rows at a time: in 64-bit integers the whole takes twice the memory of inter for each step
+        mine = np.arange(k, min(k + 256, m))
+        both = linked(np.rint(inter[mine]).astype(np.int64), size[mine, None], size[None, :], similarity)
+        both[np.arange(len(mine)), mine] = False
+        both &= (side[mine, None] != side[None, :]) | (side[mine, None] < 0)
+        out[mine] = both @ weight
+    return np.where(home, out, 0)
 
 
 def _homes(r: float):

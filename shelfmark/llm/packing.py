@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stash
+from shelfmark.llm.common import stash, trim
 from shelfmark.llm.hashing import CHUNK, hash_spans
 
 CAPACITY = 4096
@@ -222,6 +222,7 @@ def tokenize(
                 types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
                 yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(of)), *arrays], names)
+        trim()
 
     kind = docs.schema[id_col].dataType.simpleString()
     fields = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids

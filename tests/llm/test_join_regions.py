@@ -1,7 +1,9 @@
-"""Regions of the Jaccard join: parted by size and many to a call."""
+"""Regions of the Jaccard join: parted by size, many to a call, and counted within bounded memory."""
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -43,3 +45,21 @@ def test_few_regions_a_call(spark):
     calls = jaccard.by_region(rows, len(keys), 2000, lambda pdf: pd.DataFrame({"m": [len(pdf)], "whole": [bool((pdf.groupby("region").size() == 2).all())]}), "m long, whole boolean").collect()
     assert sum(r.m for r in calls) == len(keys) and all(r.whole for r in calls)
     assert len(calls) < 10_000 / 100
+
+
+def test_links_of_a_family_are_counted_in_bounded_memory():
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 2**63, 100, dtype=np.uint64)
+    sets = [np.unique(np.append(base, rng.integers(0, 2**63, 5, dtype=np.uint64))) for _ in range(1500)]
+    ones = np.ones(len(sets), np.int64)
+    tracemalloc.start()
+    n = jaccard.link_sums(sets, ones, ones.astype(bool), -ones, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.tolist() == [len(sets) - 1] * len(sets)
+    assert peak < 8 * len(sets) ** 2 * 2.5  # before, each step of the test of all pairs made whole squares of 64 bits
+
+
+def test_sums_of_sketches_stay_small_for_many_tasks():
+    """A group that sums sketches holds a blob of each shard, four times as long as a task's."""
+    assert jaccard.SHARDS * 4 * jaccard.CELLS // jaccard.SLICES <= 8 << 20
