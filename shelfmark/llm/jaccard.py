@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import partitions, stash, trim
+from shelfmark.llm.common import partitions, slices, stash, trim
 from shelfmark.llm.hashing import mix, shingle_set, word_hashes
 
 #: Words of a shingle; links need 100 * intersection >= SIMILARITY * union.
@@ -80,7 +80,8 @@ def first_pass(docs: DataFrame, n: int, cells: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n", "key", "part", "cells"]
         count, kind = np.zeros(cells, np.uint8), None
-        for b in batches:
+        trim()
+        for b in slices(batches):
             kind = b.column(0).type
             sets = _sets(b.column(1).to_pylist(), n)
             for s in sets:
@@ -135,7 +136,7 @@ def prefixes(docs: DataFrame, n: int, similarity: int, hot: bytes, cells: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(hot, np.uint8)
-        for b in batches:
+        for b in slices(batches):
             sets = _sets(b.column(1).to_pylist(), n)
             lead, counts = [], []
             for s in sets:
@@ -215,7 +216,7 @@ def candidate_sets(docs: DataFrame, n: int, sieve: bytes, bits: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.frombuffer(sieve, np.uint8)
-        for b in batches:
+        for b in slices(batches):
             sets = _sets(b.column(1).to_pylist(), n)
             key = np.array([set_key(s) for s in sets], np.int64)
             at = (key % SLICES) * (bits // SLICES) + (mix(key.astype(np.uint64)) % np.uint64(bits // SLICES)).astype(np.int64)

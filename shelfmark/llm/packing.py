@@ -15,7 +15,6 @@ from __future__ import annotations
 import binascii
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stash, trim
+from shelfmark.llm.common import lasting, stash, trim
 from shelfmark.llm.hashing import CHUNK, hash_spans
 
 CAPACITY = 4096
@@ -46,7 +45,7 @@ _KIND[:128] = [
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
 
-@lru_cache(maxsize=2)
+@lasting(2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -189,9 +188,9 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
         at = end
 
 
-@lru_cache(maxsize=2)
+@lasting(2)
 def _encoder(path: str, by_word: bool) -> Encoder:
-    """The encoder of this Python worker, which outlives a task."""
+    """The encoder of this Python worker, which outlives a task but not the work of another operator."""
     return Encoder(path, by_word)
 
 
@@ -213,6 +212,7 @@ def tokenize(
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim(_encoder, _tokenizer)
         encode = _encoder(tokenizer_path, by_word)
         for b in batches:
             for k in range(0, b.num_rows, 1000):
@@ -222,7 +222,7 @@ def tokenize(
                 types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
                 yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(of)), *arrays], names)
-        trim()
+        trim(_encoder, _tokenizer)
 
     kind = docs.schema[id_col].dataType.simpleString()
     fields = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids

@@ -21,18 +21,19 @@ import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stash, unused
+from shelfmark.llm.common import lasting, stash, trim, unused
 
 #: At most so many values with a surrogate by rank are sent to executors (some 20 MB); more are joined to the texts that hold them.
 MAX_BROADCAST = 100_000
 #: Candidates that are made in one group, and values that are ranked in one, about.
 GROUP = 10_000
+#: Texts whose surrogates are handed on at a time.
+TEXTS = 1000
 
 # Forms of address before a name, those of languages with two surnames, particles within a name, alphabets,
 # the longest domain of a mail address.
@@ -123,7 +124,7 @@ def _permute_number(x: int, n: int, key: bytes) -> int:
             return x
 
 
-@lru_cache(maxsize=1 << 16)
+@lasting(1 << 16)
 def alphabet(c: str) -> str:
     """The characters that c may become: of its list, else of its kind in its part of Unicode; c itself if it is no letter or digit."""
     if c in _CLASS:
@@ -215,7 +216,7 @@ def longer(mode: str, each: list[str]) -> list[str] | None:
     return [*each, ALPHABETS[0], ALPHABETS[0]] if mode in ("local", "domain") else None
 
 
-@lru_cache(maxsize=1 << 16)
+@lasting(1 << 16)
 def surrogate(kind: str, value: str, key: bytes) -> str:
     """The surrogate of a value by the permutation of its format."""
     mode, each, at = layout(kind, value)
@@ -343,9 +344,11 @@ def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The distinct (kind, value) of a table; each batch emits a value once."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trim()
         for pdf in batches:
             got = {v for t in pdf["text"] if t for s, e, k in find(t) for v in values_of(k, t[s:e])}
             yield pd.DataFrame(sorted(got), columns=["kind", "value"])
+        trim()
 
     return docs.select(F.col(text_col).alias("text")).mapInPandas(each, "kind string, value string").dropDuplicates()
 
@@ -372,14 +375,13 @@ def resolve(values: DataFrame, key: bytes) -> DataFrame:
         formats = [_SEP.join([mode, *each]) for mode, each, _ in (layout(k, v) for k, v in zip(kind, value, strict=True))]
         return pd.DataFrame({"format": formats, "made": made}, dtype=object)
 
-    schema = "kind string, value string, made string"
     every = stash(values.withColumn("x", make("kind", "value")).select("kind", "value", "x.format", "x.made"), "surrogates")
     real = values.select("kind", F.col("value").alias("made"))
     clash = every.join(real, ["kind", "made"], "left_semi").select("kind", "value")
     twice = every.groupBy("kind", "made").agg(F.min("value").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = every.join(twice, ["kind", "made"]).where("value <> first").select("kind", "value")
     todo = stash(every.join(clash.union(later).dropDuplicates(), ["kind", "value"], "left_semi").select("kind", "value", "format", F.lit(0).cast("long").alias("tried")), "colliding")
-    done = values.sparkSession.createDataFrame([], schema)
+    done = every.where(F.lit(False)).select("kind", "value", "made")  # no rows from the driver: they would be read by Python workers of another kind
     taken = real.union(every.join(todo, ["kind", "value"], "left_anti").select("kind", "made"))
     while todo.take(1):
         need = todo.groupBy("kind", "format").agg(F.max("tried").alias("tried"), F.count(F.lit(1)).alias("n"))
@@ -448,8 +450,11 @@ def replace_pii(docs: DataFrame, key: bytes, text_col: str = "text", max_broadca
         held = {(r.kind, r.value): r.made for r in exceptions.collect()}
 
         @F.pandas_udf(result)
-        def each(texts: pd.Series) -> pd.DataFrame:
-            return table([(t, []) if t is None else replaced(t, key, held) for t in texts])
+        def each(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for texts in batches:
+                for k in range(0, len(texts), TEXTS):
+                    yield table([(t, []) if t is None else replaced(t, key, held) for t in texts[k : k + TEXTS]])
+            trim(surrogate, alphabet)
 
         base, done = docs, each(F.col(text_col))
     else:
@@ -460,9 +465,12 @@ def replace_pii(docs: DataFrame, key: bytes, text_col: str = "text", max_broadca
                 yield pd.DataFrame(sorted(rows), columns=["hash", "kind", "value"])
 
         @F.pandas_udf(result)
-        def by_text(texts: pd.Series, rows: pd.Series) -> pd.DataFrame:
-            maps = ({} if r is None else {(x["kind"], x["value"]): x["made"] for x in r} for r in rows)
-            return table([(t, []) if t is None else replaced(t, key, m) for t, m in zip(texts, maps, strict=True)])
+        def by_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            for texts, rows in batches:
+                for k in range(0, len(texts), TEXTS):
+                    maps = ({} if r is None else {(x["kind"], x["value"]): x["made"] for x in r} for r in rows[k : k + TEXTS])
+                    yield table([(t, []) if t is None else replaced(t, key, m) for t, m in zip(texts[k : k + TEXTS], maps, strict=True)])
+            trim(surrogate, alphabet)
 
         # Texts are known by a hash; where two share one, both get the exceptions of both, which does no harm.
         texts = docs.select(F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
